@@ -1,6 +1,7 @@
 """Ranked full-text search over large document collections, as Spark jobs."""
 
-from termlode.functions.text import tokenize
+from termlode.functions.scoring import bm25_idf, bm25_term_score, tfdf_weight
+from termlode.functions.text import term_counts, tokenize
 from termlode.plans.index import (
     SearchIndex,
     build_index,
@@ -28,8 +29,10 @@ from termlode.sources import (
 __all__ = [
     "SearchIndex",
     "as_corpus",
+    "bm25_idf",
     "bm25_scores",
     "bm25_search",
+    "bm25_term_score",
     "build_index",
     "drop_duplicate_ids",
     "known_query_terms",
@@ -37,9 +40,11 @@ __all__ = [
     "read_json_corpus",
     "read_raw_corpus",
     "score_all",
+    "term_counts",
     "tfdf_postings",
     "tfdf_scores",
     "tfdf_search",
+    "tfdf_weight",
     "tokenize",
     "with_metadata",
     "write_index",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,48 +28,51 @@ def tokenize(text: Column) -> Column:
     return F.array_remove(F.split(bare, SEPARATORS), "")
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def term_counts(tokens: Column) -> Column:
+    """Tokens to an array of (term, tf), in term order.
+
+    The tokens are sorted; the last position of each run of equal tokens, less
+    that of the run before it, is the tf of its term. The arrays are bound first,
+    so that the lambdas never compute them again: the work is n log n in the
+    number of tokens.
+    """
+
+    def last_positions(ordered: Column) -> Column:
+        return F.array_compact(
+            F.transform(
+                ordered,
+                lambda term, i: F.when(~F.get(ordered, i + 1).eqNullSafe(term), i + 1),
+            )
+        )
+
+    def runs(ordered: Column, ends: Column) -> Column:
+        def run(end: Column, k: Column) -> Column:
+            start = F.when(k == 0, 0).otherwise(F.get(ends, k - 1))
+            return F.struct(
+                F.get(ordered, end - 1).alias("term"), (end - start).cast("long").alias("tf")
+            )
+
+        return F.transform(ends, run)
+
+    return _bind(
+        F.sort_array(tokens),
+        lambda ordered: _bind(last_positions(ordered), lambda ends: runs(ordered, ends)),
+    )
+
+
 def count_terms(frame: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per input row: id, ``len`` and ``terms`` (array of term and tf).
 
-    All occurrences of a term lie in one row, so counting needs no shuffle: the
-    tokens are sorted, and each run of equal tokens gives its term and length.
-    The arrays appear only as arguments of the higher-order functions, never
-    inside a lambda, so the work stays n log n however the plan is rewritten.
+    All occurrences of a term lie in one row, so counting needs no shuffle.
     """
     tokens = frame.select(F.col(id_col), tokenize(F.col(text_col)).alias("tokens"))
-    ordered = tokens.select(
+    return tokens.select(
         id_col,
         F.size("tokens").cast("long").alias("len"),
-        F.sort_array("tokens").alias("ordered"),
-    )
-    following = F.slice("ordered", F.lit(2), F.size("ordered"))
-    last_of_run = F.zip_with(
-        "ordered",
-        following,
-        lambda term, after: F.when(after.isNull() | (term != after), term),
-    )
-    runs = ordered.select(
-        id_col,
-        "len",
-        F.filter(
-            F.transform(
-                last_of_run,
-                lambda term, i: F.struct(term.alias("term"), (i + 1).cast("long").alias("end")),
-            ),
-            lambda run: run["term"].isNotNull(),
-        ).alias("runs"),
-    )
-    previous_end = F.slice(
-        F.concat(F.array(F.lit(0).cast("long")), F.col("runs.end")), F.lit(1), F.size("runs")
-    )
-    return runs.select(
-        id_col,
-        "len",
-        F.zip_with(
-            "runs",
-            previous_end,
-            lambda run, before: F.struct(
-                run["term"].alias("term"), (run["end"] - before).alias("tf")
-            ),
-        ).alias("terms"),
+        term_counts(F.col("tokens")).alias("terms"),
     )

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from termlode.plans.index import SearchIndex, build_index, write_index
+
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The session's checkpoint folder; a temporary one only on a local master.
@@ -31,3 +34,21 @@ def settle(frame: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return frame.checkpoint()
+
+
+_prepared: dict[tuple[str, str], SearchIndex] = {}
+
+
+def prepared_index(corpus: DataFrame, name: str) -> SearchIndex:
+    """An index of the corpus, written to the shared folder once per session and name.
+
+    Without a shared folder the index stays a plan over the corpus.
+    """
+    spark = corpus.sparkSession
+    folder = shared_folder(spark)
+    if folder is None:
+        return build_index(corpus)
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _prepared:
+        _prepared[key] = write_index(corpus, f"{folder}/termlode-{uuid.uuid4().hex}")
+    return _prepared[key]

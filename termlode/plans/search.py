@@ -19,14 +19,15 @@ from termlode.plans.scratch import settle
 BROADCAST_BYTES = 64 << 20
 # Bytes that a broadcast row takes beside its text.
 ROW_BYTES = 64
-# Up to so many distinct query terms are put into the scan filters.
-FILTER_TERMS = 1000
+# Up to so many query terms are put into the scan filters.
+FILTER_TERMS = 100
 
 
 
 def as_queries(spark: SparkSession, query: str) -> DataFrame:
     """One query text as a frame of query_id and query."""
-    return spark.range(1).select(F.col("id").alias("query_id"), F.lit(query).alias("query"))
+    one_row = spark.range(0, 1, 1, 1)
+    return one_row.select(F.col("id").alias("query_id"), F.lit(query).alias("query"))
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -53,13 +54,12 @@ def _measure(terms: DataFrame, broadcast_bytes: int) -> _Scope:
     size = terms.agg(
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes"),
-        F.count_distinct("term").alias("distinct"),
     ).first()
-    few = size["distinct"] <= FILTER_TERMS
-    found = terms.select("term").distinct().collect() if few else None
+    few = size["rows"] <= FILTER_TERMS
+    found = terms.select("term").collect() if few else []
     return _Scope(
         broadcastable=size["rows"] * ROW_BYTES + size["bytes"] <= broadcast_bytes,
-        terms=sorted(row["term"] for row in found) if few else None,
+        terms=sorted({row["term"] for row in found}) if few else None,
     )
 
 
