@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_TERMS = 20_000
+# Parts into which join_lookup cuts each key.
+LOOKUP_PIECES = 32
 
 
 def is_hot(df: Column, n_postings: Column, hot_terms: int = HOT_TERMS) -> Column:
@@ -36,6 +38,18 @@ def attach_df(
     return frequent.unionByName(rest.join(cold, "term"))
 
 
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: str) -> DataFrame:
+    """Rows joined with a lookup table of unique keys, when one key may fill the rows.
+
+    The rows of a key are cut into pieces by another column; the lookup, one row
+    per key, is repeated once per piece.
+    """
+    cut = rows.withColumn("piece", F.pmod(F.xxhash64(spread), F.lit(LOOKUP_PIECES)))
+    pieces = F.sequence(F.lit(0).cast("long"), F.lit(LOOKUP_PIECES - 1).cast("long"))
+    repeated = lookup.withColumn("piece", F.explode(pieces))
+    return cut.join(repeated, [key, "piece"]).drop("piece")
+
+
 def join_salted(
     postings: DataFrame,
     weights: DataFrame,
@@ -50,14 +64,15 @@ def join_salted(
     piece. The number of pieces of a term follows from its df alone, so both
     sides agree on it.
     """
-    pieces = F.ceil(F.col("df") * hot_terms / n_postings).cast("int")
+    pieces = F.ceil(F.col("df") * hot_terms / n_postings).cast("long")
     hot = frequencies.where(is_hot(F.col("df"), n_postings, hot_terms))
     cut = F.broadcast(hot.select("term", pieces.alias("pieces")))
     left = (
         postings.join(cut, "term", "left")
-        .withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1))))
+        .withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1).cast("long"))))
         .drop("pieces")
     )
-    last = F.when(is_hot(F.col("df"), n_postings, hot_terms), pieces - 1).otherwise(0)
-    right = weights.withColumn("piece", F.explode(F.sequence(F.lit(0), last)).cast("long"))
+    zero = F.lit(0).cast("long")
+    last = F.when(is_hot(F.col("df"), n_postings, hot_terms), pieces - 1).otherwise(zero)
+    right = weights.withColumn("piece", F.explode(F.sequence(zero, last)))
     return left.join(right, ["term", "piece"]).drop("piece")

@@ -28,8 +28,18 @@ def best(scores: DataFrame, n: int) -> DataFrame:
     return ranked.where(F.col("rank") <= n).select("query_id", "rank", "doc_id", "score")
 
 
+def best_of_one(scores: DataFrame, n: int) -> DataFrame:
+    """The n best rows of a single query; each task keeps n rows while it reads."""
+    return scores.orderBy(*rank_order()).limit(n)
+
+
+def first_documents(doc_lengths: DataFrame) -> DataFrame:
+    """The smallest ids of the corpus, as many as pad_with_zeros can ever need."""
+    return doc_lengths.select("doc_id").orderBy("doc_id").limit(2 * MAX_RESULTS)
+
+
 def pad_with_zeros(
-    top_hits: DataFrame, queries: DataFrame, doc_lengths: DataFrame, n: int
+    top_hits: DataFrame, queries: DataFrame, first_docs: DataFrame, n: int
 ) -> DataFrame:
     """Top n over all documents, given the top n of those that match.
 
@@ -39,7 +49,7 @@ def pad_with_zeros(
     zero scores rank below all of them. So at most 3n rows per query are ranked
     here, never queries times documents.
     """
-    smallest = doc_lengths.select("doc_id").orderBy("doc_id").limit(2 * n)
+    smallest = first_docs.orderBy("doc_id").limit(2 * n)
     ids = smallest.agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).scalar()
     zeros = queries.select("query_id", F.explode(ids).alias("doc_id"), F.lit(0.0).alias("score"))
     candidates = top_hits.select("query_id", "doc_id", "score").unionByName(zeros)

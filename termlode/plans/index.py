@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from termlode.functions.scoring import tfdf_weight
 from termlode.operators import tables
 from termlode.operators.joins import attach_df
+from termlode.operators.topn import first_documents
 
 
 @dataclass(frozen=True)
@@ -21,12 +22,14 @@ class SearchIndex:
     postings     doc_id, len, term, tf
     frequencies  term, df
     stats        n_docs, total_len, avg_len, n_postings; one row
+    first_docs   doc_id; the smallest ids, for documents that rank with score zero
     """
 
     forward: DataFrame
     postings: DataFrame
     frequencies: DataFrame
     stats: DataFrame
+    first_docs: DataFrame
 
     @property
     def doc_lengths(self) -> DataFrame:
@@ -50,6 +53,7 @@ def build_index(corpus: DataFrame) -> SearchIndex:
         postings=posting_rows,
         frequencies=tables.document_frequency(posting_rows),
         stats=tables.corpus_stats(forward),
+        first_docs=first_documents(tables.document_lengths(forward)),
     )
 
 
@@ -84,6 +88,9 @@ def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> Sear
     frequencies = tables.document_frequency(posting_rows).sort("term")
     frequencies.write.mode("errorifexists").parquet(f"{root}/frequencies")
 
+    first_docs = first_documents(tables.document_lengths(forward))
+    first_docs.write.mode("errorifexists").parquet(f"{root}/first_docs")
+
     stats = tables.corpus_stats(forward).withColumn("shards", F.lit(shards))
     stats.write.mode("errorifexists").parquet(f"{root}/stats")
     return load_index(spark, root)
@@ -99,6 +106,7 @@ def load_index(spark: SparkSession, root: str) -> SearchIndex:
         postings=_bucketed(spark, root, "postings", shards, ["term", "doc_id"]),
         frequencies=spark.read.parquet(f"{root}/frequencies"),
         stats=stats.drop("shards"),
+        first_docs=spark.read.parquet(f"{root}/first_docs"),
     )
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from termlode.functions import scoring
 from termlode.functions.text import count_terms
-from termlode.operators.joins import HOT_TERMS, join_salted
-from termlode.operators.topn import best, check_result_count, pad_with_zeros
+from termlode.operators.joins import HOT_TERMS, join_lookup, join_salted
+from termlode.operators.topn import best, best_of_one, check_result_count, pad_with_zeros
 from termlode.plans.index import SearchIndex
 from termlode.plans.scratch import settle
 
@@ -46,21 +46,17 @@ class _Scope:
 
 
 def _measure(terms: DataFrame, broadcast_bytes: int) -> _Scope:
-    """Size of the query terms, and the terms themselves if they are few.
+    """Whether the query terms can be broadcast, and the terms themselves if few.
 
-    The only actions of a search before its result is read; they touch the query
+    The only action of a search before its result is read; it touches the query
     texts and nothing else.
     """
-    size = terms.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes"),
-    ).first()
-    few = size["rows"] <= FILTER_TERMS
-    found = terms.select("term").collect() if few else []
-    return _Scope(
-        broadcastable=size["rows"] * ROW_BYTES + size["bytes"] <= broadcast_bytes,
-        terms=sorted({row["term"] for row in found}) if few else None,
-    )
+    head = [row["term"] for row in terms.select("term").limit(FILTER_TERMS + 1).collect()]
+    if len(head) <= FILTER_TERMS:
+        size = len(head) * ROW_BYTES + sum(len(term.encode()) for term in head)
+        return _Scope(size <= broadcast_bytes, sorted(set(head)))
+    size = terms.agg(F.sum(F.octet_length("term") + ROW_BYTES)).first()[0]
+    return _Scope(size <= broadcast_bytes, None)
 
 
 def known_query_terms(
@@ -76,8 +72,12 @@ def _narrow(frame: DataFrame, scope: _Scope) -> DataFrame:
 
 
 def _with_df(index: SearchIndex, terms: DataFrame, scope: _Scope) -> DataFrame:
-    side = F.broadcast(terms) if scope.broadcastable else terms
-    joined = _narrow(index.frequencies, scope).join(side, "term")
+    frequencies = _narrow(index.frequencies, scope)
+    if scope.broadcastable:
+        joined = frequencies.join(F.broadcast(terms), "term")
+    else:
+        asked = frequencies.join(terms.select("term").distinct(), "term")
+        joined = join_lookup(terms, asked, "term", "query_id")
     return joined.select("query_id", "term", "qtf", "df")
 
 
@@ -112,9 +112,12 @@ def _search(
     check_result_count(n)
     single = isinstance(queries, str)
     asked = as_queries(index.stats.sparkSession, queries) if single else queries
-    result = best(scores(asked), n)
+    hits = scores(asked)
+    top = best_of_one(hits, n) if single else best(hits, n)
     if include_zero:
-        result = pad_with_zeros(result, asked, index.doc_lengths, n)
+        result = pad_with_zeros(top, asked, index.first_docs, n)
+    else:
+        result = best(top, n) if single else top
     return result.drop("query_id") if single else result
 
 
