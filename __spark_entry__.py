@@ -45,7 +45,8 @@ def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lazy_index(spark: SparkSession, sf_dir: str) -> termlode.SearchIndex:
-    return termlode.build_index(_documents(spark, sf_dir))
+    corpus = _documents(spark, sf_dir).select("doc_id", "text")
+    return termlode.build_index(termlode.spread_few_splits(corpus))
 
 
 def _index(spark: SparkSession, sf_dir: str) -> termlode.SearchIndex:

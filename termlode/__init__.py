@@ -6,6 +6,7 @@ from termlode.plans.index import (
     SearchIndex,
     build_index,
     load_index,
+    suggest_shards,
     tfdf_postings,
     write_index,
 )
@@ -23,6 +24,7 @@ from termlode.sources import (
     drop_duplicate_ids,
     read_json_corpus,
     read_raw_corpus,
+    spread_few_splits,
     write_ranking,
 )
 
@@ -40,6 +42,8 @@ __all__ = [
     "read_json_corpus",
     "read_raw_corpus",
     "score_all",
+    "spread_few_splits",
+    "suggest_shards",
     "term_counts",
     "tfdf_postings",
     "tfdf_scores",

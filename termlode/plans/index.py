@@ -13,6 +13,10 @@ from termlode.operators import tables
 from termlode.operators.joins import attach_df
 from termlode.operators.topn import first_documents
 
+SPLITS_PER_SHARD = 4
+# Spark's own limit on the buckets of a table, unless it is configured higher.
+MAX_SHARDS = 100_000
+
 
 @dataclass(frozen=True)
 class SearchIndex:
@@ -70,8 +74,9 @@ def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> Sear
     - the filter on the query's terms skips the pages of all other terms.
 
     ``shards`` is the number of buckets, and of tasks per search. It defaults to
-    spark.sql.shuffle.partitions and should leave some GB of text per bucket at
-    most. The statistics are written last: a folder without them is unfinished.
+    spark.sql.shuffle.partitions; suggest_shards gives one that follows the size
+    of the corpus. The statistics are written last: a folder without them is
+    unfinished.
     """
     spark = corpus.sparkSession
     _check_location(root)
@@ -110,6 +115,17 @@ def load_index(spark: SparkSession, root: str) -> SearchIndex:
     )
 
 
+def suggest_shards(corpus: DataFrame) -> int:
+    """A number of shards for a corpus read straight from files.
+
+    The number of splits grows with the size of the files. Four splits per shard
+    give about half a GB of compressed input, few enough tasks for a search and
+    small enough ones for the build; every core gets at least one shard.
+    """
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    return min(MAX_SHARDS, max(cores, corpus.rdd.getNumPartitions() // SPLITS_PER_SHARD))
+
+
 def tfdf_postings(index: SearchIndex) -> DataFrame:
     """doc_id, len, term, weight: the forward index of the tf/df ranking."""
     weighted = attach_df(index.postings, index.frequencies, index.stat("n_postings"))

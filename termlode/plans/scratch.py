@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termlode.plans.index import SearchIndex, build_index, write_index
+from termlode.plans.index import SearchIndex, build_index, suggest_shards, write_index
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -40,7 +40,7 @@ _prepared: dict[tuple[str, str], SearchIndex] = {}
 
 
 def prepared_index(corpus: DataFrame, name: str) -> SearchIndex:
-    """An index of the corpus, written to the shared folder once per session and name.
+    """An index of a corpus straight from files, written once per session and name.
 
     Without a shared folder the index stays a plan over the corpus.
     """
@@ -50,5 +50,6 @@ def prepared_index(corpus: DataFrame, name: str) -> SearchIndex:
         return build_index(corpus)
     key = (spark.sparkContext.applicationId, name)
     if key not in _prepared:
-        _prepared[key] = write_index(corpus, f"{folder}/termlode-{uuid.uuid4().hex}")
+        root = f"{folder}/termlode-{uuid.uuid4().hex}"
+        _prepared[key] = write_index(corpus, root, suggest_shards(corpus))
     return _prepared[key]

@@ -5,6 +5,7 @@ from termlode.sources.corpus import (
     drop_duplicate_ids,
     read_json_corpus,
     read_raw_corpus,
+    spread_few_splits,
 )
 from termlode.sources.ranking import write_ranking
 
@@ -13,5 +14,6 @@ __all__ = [
     "drop_duplicate_ids",
     "read_json_corpus",
     "read_raw_corpus",
+    "spread_few_splits",
     "write_ranking",
 ]

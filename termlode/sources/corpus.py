@@ -56,6 +56,19 @@ def read_raw_corpus(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def spread_few_splits(corpus: DataFrame) -> DataFrame:
+    """A corpus straight from files, over all cores if it has fewer splits than these.
+
+    A row group or a compressed file goes to one task whatever its size, and
+    tokenizing costs more than moving the text. A corpus in enough splits is left
+    where it is, without a shuffle.
+    """
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    if corpus.rdd.getNumPartitions() >= cores:
+        return corpus
+    return corpus.repartition(cores, "doc_id")
+
+
 def drop_duplicate_ids(corpus: DataFrame) -> DataFrame:
     """One row per id, the smallest by text, so that reruns keep the same row.
 
