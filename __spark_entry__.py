@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import termlode
 from termlode.operators import tables
-from termlode.plans.scratch import prepared_index
+from termlode.plans.scratch import prepared_index, scratch_path
 from termlode.plans.search import as_queries
 
 QUERY = "the theory of inter"
@@ -57,6 +57,44 @@ def _rounded(frame: DataFrame, digits: int, column: str = "score") -> DataFrame:
     return frame.withColumn(column, F.round(column, digits))
 
 
+def _dump(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as JSON lines in nested folders; returns the top folder."""
+
+    def quoted(column: str) -> Column:
+        return F.regexp_extract(F.to_json(F.array(column)), r"(?s)^\[(.*)\]$", 1)
+
+    corpus = _documents(spark, sf_dir)
+    line = F.concat(
+        F.lit('{"id": "'),
+        F.col("doc_id").cast("string"),
+        F.lit('", "url": '),
+        quoted("url"),
+        F.lit(', "title": '),
+        quoted("title"),
+        F.lit(', "text": '),
+        quoted("text"),
+        F.lit("}"),
+    )
+    path = scratch_path(spark, "dump")
+    corpus.select("title", line.alias("value")).write.partitionBy("title").text(path)
+    return path
+
+
+def json_source_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = termlode.read_json_corpus(spark, _dump(spark, sf_dir))
+    return termlode.build_index(corpus).postings.select("doc_id", "term", "tf")
+
+
+def raw_source_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = termlode.read_raw_corpus(spark, _dump(spark, sf_dir))
+    return termlode.build_index(corpus).postings.select("doc_id", "term", "tf")
+
+
+def source_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = termlode.read_json_corpus(spark, _dump(spark, sf_dir))
+    return corpus.select("doc_id", "title", "url")
+
+
 def tokenize_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lazy_index(spark, sf_dir).postings.select("doc_id", "term", "tf")
 
@@ -123,6 +161,14 @@ def tfdf_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(termlode.tfdf_search(_index(spark, sf_dir), REPEATED, N), TFDF_DIGITS)
 
 
+def ranked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _index(spark, sf_dir)
+    hits = termlode.bm25_scores(index, as_queries(spark, REPEATED))
+    path = scratch_path(spark, "ranking")
+    termlode.write_ranking(termlode.score_all(index, hits), path)
+    return _rounded(spark.read.parquet(path), BM25_DIGITS)
+
+
 def search_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = termlode.bm25_search(_index(spark, sf_dir), QUERY, N)
     found = termlode.with_metadata(hits, _documents(spark, sf_dir))
@@ -160,6 +206,9 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or pipeline; each takes (spark, sf_dir)."""
     registered = [
+        json_source_terms,
+        raw_source_terms,
+        source_metadata,
         tokenize_terms,
         doc_length,
         document_frequency,
@@ -173,6 +222,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bm25_topn_scaled_tf,
         tfdf_scores,
         tfdf_topn,
+        ranked_scores,
         search_with_metadata,
         page_search,
         batch_bm25_topn,
@@ -277,7 +327,13 @@ def oracle_sql() -> dict[str, str]:
     index = _index_sql()
     bm25 = _bm25_part()
     top = _search_sql(QUERY, bm25, BM25_DIGITS)
+    raw = "' ' || CAST(to_json(text) AS VARCHAR) || '}'"
+    by_text_id = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, term, tf FROM postings"
     return {
+        "json_source_terms": f"{index} {by_text_id}",
+        "raw_source_terms": f"{_index_sql(text=raw)} {by_text_id}",
+        "source_metadata": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang AS title,
+            source AS url FROM documents""",
         "tokenize_terms": f"{index} SELECT doc_id, term, tf FROM postings",
         "doc_length": f"{index} SELECT doc_id, len FROM lengths",
         "document_frequency": f"{index} SELECT term, df FROM frequencies",
@@ -297,6 +353,7 @@ def oracle_sql() -> dict[str, str]:
         "bm25_topn_scaled_tf": _search_sql(QUERY, _bm25_part(10), BM25_DIGITS),
         "tfdf_scores": _all_scores_sql(REPEATED, _TFDF_PART, TFDF_DIGITS),
         "tfdf_topn": _search_sql(REPEATED, _TFDF_PART, TFDF_DIGITS),
+        "ranked_scores": _all_scores_sql(REPEATED, bm25, BM25_DIGITS),
         "search_with_metadata": f"""SELECT rank, doc_id, lang, source, score
             FROM ({top}) found JOIN documents USING (doc_id)""",
         "page_search": _page_sql(),

@@ -39,11 +39,15 @@ def document_frequency(posting_rows: DataFrame) -> DataFrame:
     return posting_rows.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def corpus_stats(forward: DataFrame) -> DataFrame:
-    """One row: n_docs, total_len, avg_len (null if empty), n_postings."""
-    return forward.agg(
+def corpus_stats(lengths: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """One row: n_docs, total_len, avg_len (null if empty), n_postings.
+
+    The number of postings is the sum of all df, which spares a look into the
+    terms of every document.
+    """
+    n_postings = frequencies.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).scalar()
+    return lengths.agg(
         F.count("*").alias("n_docs"),
         F.coalesce(F.sum("len"), F.lit(0)).alias("total_len"),
         F.avg("len").alias("avg_len"),
-        F.coalesce(F.sum(F.size("terms").cast("long")), F.lit(0)).alias("n_postings"),
-    )
+    ).select("n_docs", "total_len", "avg_len", n_postings.alias("n_postings"))

@@ -52,12 +52,14 @@ def build_index(corpus: DataFrame) -> SearchIndex:
     """
     forward = tables.forward_index(corpus)
     posting_rows = tables.postings(forward)
+    frequencies = tables.document_frequency(posting_rows)
+    lengths = tables.document_lengths(forward)
     return SearchIndex(
         forward=forward,
         postings=posting_rows,
-        frequencies=tables.document_frequency(posting_rows),
-        stats=tables.corpus_stats(forward),
-        first_docs=first_documents(tables.document_lengths(forward)),
+        frequencies=frequencies,
+        stats=tables.corpus_stats(lengths, frequencies),
+        first_docs=first_documents(lengths),
     )
 
 
@@ -92,11 +94,13 @@ def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> Sear
 
     frequencies = tables.document_frequency(posting_rows).sort("term")
     frequencies.write.mode("errorifexists").parquet(f"{root}/frequencies")
+    frequencies = spark.read.parquet(f"{root}/frequencies")
 
-    first_docs = first_documents(tables.document_lengths(forward))
+    lengths = tables.document_lengths(forward)
+    first_docs = first_documents(lengths)
     first_docs.write.mode("errorifexists").parquet(f"{root}/first_docs")
 
-    stats = tables.corpus_stats(forward).withColumn("shards", F.lit(shards))
+    stats = tables.corpus_stats(lengths, frequencies).withColumn("shards", F.lit(shards))
     stats.write.mode("errorifexists").parquet(f"{root}/stats")
     return load_index(spark, root)
 

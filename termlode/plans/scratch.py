@@ -36,6 +36,14 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    folder = shared_folder(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{folder}/termlode-{name}-{uuid.uuid4().hex}"
+
+
 _prepared: dict[tuple[str, str], SearchIndex] = {}
 
 
@@ -45,11 +53,10 @@ def prepared_index(corpus: DataFrame, name: str) -> SearchIndex:
     Without a shared folder the index stays a plan over the corpus.
     """
     spark = corpus.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
+    if shared_folder(spark) is None:
         return build_index(corpus)
     key = (spark.sparkContext.applicationId, name)
     if key not in _prepared:
-        root = f"{folder}/termlode-{uuid.uuid4().hex}"
+        root = scratch_path(spark, "index")
         _prepared[key] = write_index(corpus, root, suggest_shards(corpus))
     return _prepared[key]

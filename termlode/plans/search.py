@@ -17,13 +17,12 @@ from termlode.plans.scratch import settle
 
 # Query terms and top hits are broadcast up to this size, measured before.
 BROADCAST_BYTES = 64 << 20
-# Bytes that a broadcast row takes beside its text.
+# Bytes that a broadcast row takes beside its term and id.
 ROW_BYTES = 64
 # Up to so many query terms are put into the scan filters.
 FILTER_TERMS = 100
 
 
-
 def as_queries(spark: SparkSession, query: str) -> DataFrame:
     """One query text as a frame of query_id and query."""
     one_row = spark.range(0, 1, 1, 1)
@@ -51,14 +50,23 @@ def _measure(terms: DataFrame, broadcast_bytes: int) -> _Scope:
     The only action of a search before its result is read; it touches the query
     texts and nothing else.
     """
-    head = [row["term"] for row in terms.select("term").limit(FILTER_TERMS + 1).collect()]
+    sized = terms.select("term", _row_bytes("term", "query_id").alias("bytes"))
+    head = sized.limit(FILTER_TERMS + 1).collect()
     if len(head) <= FILTER_TERMS:
-        size = len(head) * ROW_BYTES + sum(len(term.encode()) for term in head)
-        return _Scope(size <= broadcast_bytes, sorted(set(head)))
-    size = terms.agg(F.sum(F.octet_length("term") + ROW_BYTES)).first()[0]
+        size = sum(row["bytes"] for row in head)
+        return _Scope(size <= broadcast_bytes, sorted({row["term"] for row in head}))
+    size = sized.agg(F.sum("bytes")).first()[0]
     return _Scope(size <= broadcast_bytes, None)
 
 
+def _row_bytes(*columns: str) -> Column:
+    """Bytes of a row with these columns in a broadcast table."""
+    size = F.lit(ROW_BYTES)
+    for column in columns:
+        size = size + F.octet_length(F.col(column).cast("string"))
+    return size
+
+
 def known_query_terms(
     index: SearchIndex, queries: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -168,23 +176,36 @@ def bm25_search(
     b: float = scoring.B,
     tf_scale: float = 1.0,
     include_zero: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The n best documents by BM25: (query_id,) rank, doc_id, score.
 
-    ``queries`` is one text, or a frame of query_id and query; n is 0 to 1000.
-    Documents without any query term score zero and fill up short results, by id,
-    unless ``include_zero`` is false.
+    ``queries`` is one text, or a frame of query_id (unique) and query; n is 0 to
+    1000. Documents without any query term score zero and fill up short results,
+    by id, unless ``include_zero`` is false. Up to ``broadcast_bytes`` of query
+    terms go to every task, and no posting moves; beyond that, postings and query
+    terms are shuffled.
     """
-    return _search(
-        index, queries, n, include_zero, lambda asked: bm25_scores(index, asked, k1, b, tf_scale)
-    )
+
+    def scores(asked: DataFrame) -> DataFrame:
+        return bm25_scores(index, asked, k1, b, tf_scale, broadcast_bytes)
+
+    return _search(index, queries, n, include_zero, scores)
 
 
 def tfdf_search(
-    index: SearchIndex, queries: DataFrame | str, n: int, include_zero: bool = True
+    index: SearchIndex,
+    queries: DataFrame | str,
+    n: int,
+    include_zero: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The n best documents by the tf/df dot product; see bm25_search."""
-    return _search(index, queries, n, include_zero, lambda asked: tfdf_scores(index, asked))
+
+    def scores(asked: DataFrame) -> DataFrame:
+        return tfdf_scores(index, asked, broadcast_bytes)
+
+    return _search(index, queries, n, include_zero, scores)
 
 
 def score_all(index: SearchIndex, hits: DataFrame) -> DataFrame:
@@ -203,12 +224,13 @@ def with_metadata(
     """Search results with the other columns of the corpus, null where it lacks the id.
 
     The results are settled first, as the join uses them twice. If they are small,
-    which is counted, only the corpus rows with their ids go into the join, and the
+    which is measured, only the corpus rows with their ids go into the join, and the
     corpus is never shuffled.
     """
     details = corpus.drop("text")
     results = settle(results)
-    if results.count() * ROW_BYTES <= broadcast_bytes:
+    size = results.agg(F.sum(_row_bytes("doc_id"))).first()[0] or 0
+    if size <= broadcast_bytes:
         ids = results.select("doc_id").distinct()
         details = details.join(F.broadcast(ids), "doc_id", "left_semi")
     return results.join(details, "doc_id", "left")

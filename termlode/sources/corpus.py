@@ -29,8 +29,13 @@ def as_corpus(
 
 
 def read_json_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines (id, url, title, text) from all files below a folder."""
-    records = spark.read.option("recursiveFileLookup", True).schema(RECORD).json(path)
+    """JSON lines (id, url, title, text) from all files below a folder.
+
+    A line that is not JSON fails the job; a record without a text is an empty
+    document.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("mode", "FAILFAST")
+    records = reader.schema(RECORD).json(path)
     return as_corpus(records, "id", "text", "title", "url")
 
 

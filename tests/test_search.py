@@ -145,6 +145,18 @@ def test_queries_too_large_to_broadcast(spark, make_corpus, hot_terms):
         assert found == pytest.approx(expected, rel=1e-9)
 
 
+def test_large_batch_is_filled_up_too(spark, make_corpus, tmp_path):
+    docs = random_docs(5, 30)
+    index = termlode.write_index(make_corpus(docs), str(tmp_path / "index"), shards=3)
+    texts = {1: "rare", 2: "nothing", 3: "the of"}
+    queries = spark.createDataFrame(list(texts.items()), "query_id BIGINT, query STRING")
+    expected = []
+    for query_id, text in texts.items():
+        expected += [(query_id, *row) for row in brute.top(brute.bm25(docs, text), 12)]
+    found = termlode.bm25_search(index, queries, 12, broadcast_bytes=0)
+    same(results(found, "query_id"), expected)
+
+
 def test_bm25_grows_with_tf(make_corpus):
     docs = [(tf, " ".join(["red"] * tf + ["x"] * (20 - tf))) for tf in range(1, 20)]
     found = results(termlode.bm25_search(termlode.build_index(make_corpus(docs)), "red", 19))

@@ -56,6 +56,18 @@ def test_raw_line_without_a_text_key(spark, tmp_path):
     assert (row["doc_id"], row["text"]) == ("7", '7", "url": "u"}')
 
 
+def test_broken_line_fails(spark, tmp_path):
+    (tmp_path / "part").write_text(json.dumps(RECORDS[1]) + '\n{"id": "8", "url\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        termlode.read_json_corpus(spark, str(tmp_path)).collect()
+
+
+def test_record_without_a_text_is_empty(spark, tmp_path):
+    (tmp_path / "part").write_text('{"id": "7", "url": "u"}\n')
+    index = termlode.build_index(termlode.read_json_corpus(spark, str(tmp_path)))
+    assert [tuple(r) for r in index.doc_lengths.collect()] == [("7", 0)]
+
+
 def test_search_over_files(spark, folder, tmp_path):
     corpus = termlode.read_json_corpus(spark, folder)
     index = termlode.write_index(corpus, str(tmp_path / "index"), shards=2)
