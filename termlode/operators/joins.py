@@ -51,28 +51,45 @@ def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: str) -> Da
 
 
 def join_salted(
-    postings: DataFrame,
-    weights: DataFrame,
-    frequencies: DataFrame,
-    n_postings: Column,
-    hot_terms: int = HOT_TERMS,
+    postings: DataFrame, weights: DataFrame, n_postings: Column, hot_terms: int = HOT_TERMS
 ) -> DataFrame:
     """Postings joined with query weights (with their df) that are too many to broadcast.
 
-    A frequent term is cut into pieces of about 1/HOT_TERMS of all postings by
-    document id, and its weights are repeated once per piece; a rare term is one
-    piece. The number of pieces of a term follows from its df alone, so both
-    sides agree on it.
+    A term may be frequent in the documents, in the queries, or in both. Its
+    postings are cut into pieces by document id and its weights by query id, each
+    piece about 1/HOT_TERMS of its side, and every piece of one side is sent to all
+    pieces of the other. The copies stay a small part of the rows the join gives:
+    HOT_TERMS over the number of weights or postings. The terms that are cut are
+    fewer than HOT_TERMS per side, so their list is broadcast.
     """
-    pieces = F.ceil(F.col("df") * hot_terms / n_postings).cast("long")
-    hot = frequencies.where(is_hot(F.col("df"), n_postings, hot_terms))
-    cut = F.broadcast(hot.select("term", pieces.alias("pieces")))
-    left = (
-        postings.join(cut, "term", "left")
-        .withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1).cast("long"))))
-        .drop("pieces")
+    per_term = weights.groupBy("term").agg(
+        F.count("*").alias("asked"), F.max("df").alias("df")
+    )
+    n_weights = per_term.agg(F.sum("asked").alias("n")).scalar()
+    cut = per_term.select(
+        "term",
+        _pieces(F.col("df"), n_postings, hot_terms).alias("doc_pieces"),
+        _pieces(F.col("asked"), n_weights, hot_terms).alias("query_pieces"),
+    ).where((F.col("doc_pieces") > 1) | (F.col("query_pieces") > 1))
+    left = _cut(postings, cut, ("doc_id", "doc"), "query")
+    right = _cut(weights, cut, ("query_id", "query"), "doc")
+    return left.join(right, ["term", "doc_piece", "query_piece"])
+
+
+def _pieces(rows: Column, total: Column, hot_terms: int) -> Column:
+    """Into how many pieces a term with so many of all rows is cut."""
+    return F.least(F.ceil(rows * hot_terms / total).cast("long"), rows)
+
+
+def _cut(rows: DataFrame, cut: DataFrame, own: tuple[str, str], other: str) -> DataFrame:
+    """Each row in one piece of its own side, repeated for all pieces of the other."""
+    id_col, side = own
+    one = F.lit(1).cast("long")
+    number = F.pmod(F.xxhash64(id_col), F.coalesce(f"{side}_pieces", one))
+    all_of_other = F.sequence(one - 1, F.coalesce(f"{other}_pieces", one) - 1)
+    return (
+        rows.join(F.broadcast(cut), "term", "left")
+        .withColumn(f"{side}_piece", number)
+        .withColumn(f"{other}_piece", F.explode(all_of_other))
+        .drop("doc_pieces", "query_pieces")
     )
-    zero = F.lit(0).cast("long")
-    last = F.when(is_hot(F.col("df"), n_postings, hot_terms), pieces - 1).otherwise(zero)
-    right = weights.withColumn("piece", F.explode(F.sequence(zero, last)))
-    return left.join(right, ["term", "piece"]).drop("piece")

@@ -47,8 +47,7 @@ class _Scope:
 def _measure(terms: DataFrame, broadcast_bytes: int) -> _Scope:
     """Whether the query terms can be broadcast, and the terms themselves if few.
 
-    The only action of a search before its result is read; it touches the query
-    texts and nothing else.
+    Runs a small job over the query texts, and over nothing else.
     """
     sized = terms.select("term", _row_bytes("term", "query_id").alias("bytes"))
     head = sized.limit(FILTER_TERMS + 1).collect()
@@ -105,7 +104,7 @@ def _scores(
     if scope.broadcastable:
         matched = rows.join(F.broadcast(weights.drop("df")), "term")
     else:
-        matched = join_salted(rows, weights, index.frequencies, index.stat("n_postings"), hot_terms)
+        matched = join_salted(rows, settle(weights), index.stat("n_postings"), hot_terms)
     added = matched.select("query_id", "doc_id", contribution.alias("part"))
     return added.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
 
@@ -183,8 +182,8 @@ def bm25_search(
     ``queries`` is one text, or a frame of query_id (unique) and query; n is 0 to
     1000. Documents without any query term score zero and fill up short results,
     by id, unless ``include_zero`` is false. Up to ``broadcast_bytes`` of query
-    terms go to every task, and no posting moves; beyond that, postings and query
-    terms are shuffled.
+    terms go to every task, and no posting moves; beyond that, the weights of the
+    terms are settled first, and postings and weights are shuffled.
     """
 
     def scores(asked: DataFrame) -> DataFrame:

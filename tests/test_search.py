@@ -97,13 +97,13 @@ def test_parameters(index):
     same(found, brute.top(brute.bm25(HAND, QUERY, k1=1.2, b=0.5), 4))
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_random_corpora_against_loops(spark, make_corpus, tmp_path, seed):
     docs = random_docs(seed, 60)
     index = termlode.write_index(make_corpus(docs), str(tmp_path / "index"), shards=3)
     texts = {1: "the", 2: "rare x", 3: "rare rare pie", 4: "nothing", 5: "", 6: "of red"}
     queries = spark.createDataFrame(list(texts.items()), "query_id BIGINT, query STRING")
-    for n in (1, 7, 60, 100):
+    for n in (1, 7, 100):
         for search, scorer in (
             (termlode.bm25_search, brute.bm25),
             (termlode.tfdf_search, brute.tfdf),
@@ -123,7 +123,7 @@ def test_single_and_batch_agree(spark, make_corpus):
     same(results(batch), expected)
 
 
-@pytest.mark.parametrize("hot_terms", [2, 10, 20_000])
+@pytest.mark.parametrize("hot_terms", [1, 2, 10, 20_000])
 def test_queries_too_large_to_broadcast(spark, make_corpus, hot_terms):
     docs = random_docs(4, 80)
     index = termlode.build_index(make_corpus(docs))
