@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,8 +205,44 @@ def entry(spark: SparkSession) -> DataFrame:
     return bm25_topn(spark, "/root/testdata/sf0.001")
 
 
+def _optional(name: str) -> ModuleType | None:
+    """A module, or None where it or its package is not there."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name and (name == error.name or name.startswith(f"{error.name}.")):
+            return None
+        if error.name and error.name.startswith("termlode.llm"):
+            return None
+        raise
+
+
+_llm = _optional("termlode.llm.queries")
+_pipeline = _optional("corpus_pipeline")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or pipeline; each takes (spark, sf_dir)."""
+    registered = search_queries()
+    if _llm is not None:
+        registered |= _llm.queries()
+    if _pipeline is not None:
+        registered["pipeline"] = _pipeline.run
+    return registered
+
+
+def oracle_sql() -> dict[str, str]:
+    """For each query that SQL can express, the same result as DuckDB SQL."""
+    registered = search_sql()
+    if _llm is not None:
+        registered |= _llm.oracle_sql()
+    if _pipeline is not None and _pipeline.ORACLE_SQL:
+        registered["pipeline"] = _pipeline.ORACLE_SQL
+    return registered
+
+
+def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the search library itself."""
     registered = [
         json_source_terms,
         raw_source_terms,
@@ -322,8 +360,8 @@ def _page_sql() -> str:
     url, score FROM ({found}) found JOIN pages ON page_id = found.doc_id"""
 
 
-def oracle_sql() -> dict[str, str]:
-    """For each registered query, the same result as DuckDB SQL."""
+def search_sql() -> dict[str, str]:
+    """For each query of the search library, the same result as DuckDB SQL."""
     index = _index_sql()
     bm25 = _bm25_part()
     top = _search_sql(QUERY, bm25, BM25_DIGITS)

@@ -22,7 +22,7 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(entry_point.search_queries()) == set(entry_point.search_sql())
 
 
 def test_entry(spark):
@@ -31,7 +31,7 @@ def test_entry(spark):
     assert found.count() == 10
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(entry_point.search_queries()))
 def test_query_equals_sql(spark, database, name):
     frame = entry_point.queries()[name](spark, str(SF_DIR))
     columns = sorted(frame.columns)
