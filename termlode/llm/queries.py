@@ -6,20 +6,86 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
+from termlode.llm.quality import quality_scores
 from termlode.llm.top_k import top_k
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op7_top_k]
+    registered = [op7_top_k, op9_quality, op10_license_scan]
     return {query.__name__: query for query in registered}
 
 
+def _license_sql() -> str:
+    """Every block against every template, without any filter."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    lowered = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def words(text: str) -> str:
+        return f"regexp_extract_all({lowered.format(text)}, '{word}')"
+
+    def listed(items) -> str:
+        return "[" + ", ".join(f"'{x}'" for x in items) + "]"
+
+    places = " UNION ALL ".join(
+        f"""SELECT doc_id, '{label}' AS label, unnest(list_filter(range(len(w)),
+              lambda i: w[i + 1 : i + {len(phrase.split())}] = {listed(phrase.split())})) AS place
+            FROM docs"""
+        for phrase, label in PHRASES.items()
+    )
+    templates = ", ".join(
+        f"('{label}', {listed(sorted({w.decode() for w in words_of(text)}))})"
+        for label, text in TEMPLATES.items()
+    )
+    step = BLOCK_WORDS // 2
+    return f"""
+        WITH docs AS (SELECT doc_id, {words("text")} AS w, coalesce(text, '') AS text
+                      FROM documents),
+        places AS ({places}),
+        base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+                        list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
+        lines AS (SELECT doc_id, {words("line")} AS w
+                  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)),
+        blocks AS (SELECT row_number() OVER () AS block, doc_id, w[s + 1 : s + {BLOCK_WORDS}] AS w
+                   FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) <= {BLOCK_WORDS} THEN [0]
+                     ELSE range(0, len(w) - {BLOCK_WORDS} + {step}, {step}) END) AS s FROM lines)),
+        templates(label, t) AS (VALUES {templates}),
+        met AS (SELECT * FROM (
+                  SELECT doc_id, block, label, len(list_intersect(t, w)) AS shared, len(t) AS size
+                  FROM blocks, templates) WHERE shared >= ceil(0.8 * size - 1e-9)),
+        found AS (SELECT doc_id, list(DISTINCT label) AS labels,
+                         max(CAST(shared AS DOUBLE) / size) AS score,
+                         count(DISTINCT block) AS blocks FROM met GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+               first_word, last_word,
+               coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(list_concat(
+                 coalesce(base.labels, []), coalesce(found.labels, [])))), ','), '') AS labels,
+               CASE WHEN n_base > 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(score, CAST(0 AS DOUBLE))
+                 END AS score,
+               coalesce(blocks, 0) AS blocks
+        FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op10_license_scan": _license_sql(),
         "op7_top_k": """
             WITH ready AS (
               SELECT vec_id, list_transform(embedding,
