@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
 from termlode.llm.quality import quality_scores
+from termlode.llm.simhash import near_duplicates
 from termlode.llm.top_k import top_k
 
 
@@ -15,6 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    fingerprint = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -28,7 +36,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op7_top_k, op9_quality, op10_license_scan]
+    registered = [op5_simhash, op7_top_k, op9_quality, op10_license_scan]
     return {query.__name__: query for query in registered}
 
 
