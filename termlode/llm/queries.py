@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
 from termlode.llm.quality import quality_scores
+from termlode.llm.repeats import remove_repeats
 from termlode.llm.simhash import near_duplicates
 from termlode.llm.top_k import top_k
 
@@ -17,6 +18,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     fingerprint = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
@@ -36,7 +48,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op5_simhash, op7_top_k, op9_quality, op10_license_scan]
+    registered = [op4_repeats, op5_simhash, op7_top_k, op9_quality, op10_license_scan]
     return {query.__name__: query for query in registered}
 
 
