@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
+from termlode.llm.packing import pack
 from termlode.llm.quality import quality_scores
 from termlode.llm.repeats import remove_repeats
 from termlode.llm.simhash import near_duplicates
@@ -39,6 +40,13 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"))
+    crc = F.crc32("ids").cast("long").alias("ids_crc32")
+    place = ["doc_tokens", "sequence_id", "offset"]
+    return pieces.select("doc_id", "start", "length", crc, *place)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -48,7 +56,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op4_repeats, op5_simhash, op7_top_k, op9_quality, op10_license_scan]
+    registered = [op4_repeats, op5_simhash, op7_top_k, op8_packing, op9_quality, op10_license_scan]
     return {query.__name__: query for query in registered}
 
 
