@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termlode.llm.html_text import extract_text
 from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
 from termlode.llm.packing import pack
 from termlode.llm.quality import quality_scores
@@ -19,6 +20,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(_table(spark, sf_dir, "pages"))
+    n_chars = F.length("text").cast("long").alias("n_chars")
+    return found.select("page_id", "url", "text", n_chars, "blocks", "kept_blocks")
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -56,7 +63,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op4_repeats, op5_simhash, op7_top_k, op8_packing, op9_quality, op10_license_scan]
+    registered = [op1_html_text, op4_repeats, op5_simhash, op7_top_k, op8_packing, op9_quality, op10_license_scan]
     return {query.__name__: query for query in registered}
 
 
