@@ -29,11 +29,14 @@ from termlode.llm.common import stored, text_slices
 
 WINDOW = 2048
 END = 1
-# The sources with the most documents have queues of their own; the rest share one.
+# The sources with the most documents have queues of their own; the rest share one, or,
+# where they are few, that of the largest source.
 QUEUES = 256
 # Rows up to which the starts of queues within partitions are broadcast.
 BROADCAST_ROWS = 200_000
-_WINDOWS_AT_ONCE = 8192
+# A source needs this share of the documents for a queue of its own.
+LEAST_SHARE = 1 / 1024
+_WINDOWS_AT_ONCE, _DOCUMENTS_AT_ONCE = 8192, 500
 
 
 def vocabulary_path(name: str) -> str:
@@ -85,7 +88,7 @@ def token_ids(text: str, vocabulary: str, ranks: str | None = None) -> list[int]
 _TOKENS = "doc_id long, partition long, queue int, start long, n long, ids binary"
 
 
-def _tokenize(queues: dict[str, int], vocabulary: str, ranks: str | None, end: int):
+def _tokenize(queues: dict[str, int], rest: int, vocabulary: str, ranks: str | None, end: int):
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "partition", "queue", "start", "n", "ids"]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
@@ -97,7 +100,7 @@ def _tokenize(queues: dict[str, int], vocabulary: str, ranks: str | None, end: i
             ids = batch.column("doc_id").to_pylist()
             for doc_id, source, text in zip(ids, sources, texts, strict=True):
                 tokens = np.array([*token_ids(text, vocabulary, ranks), end], "<u4")
-                queue = queues.get(source or "", len(queues))
+                queue = queues.get(source or "", rest)
                 start = int(filled[queue])
                 filled[queue] += len(tokens)
                 rows.append((doc_id, partition, queue, start, len(tokens), tokens.tobytes()))
@@ -183,22 +186,40 @@ class Schedule:
                 over[rows] -= sign
         return counts
 
-    def pieces(self, queue: int, start: int, count: int) -> Iterator[tuple[int, int, int, int]]:
-        """(start in the document, length, window, offset) of a document's tokens."""
-        first, last = self._due(queue, np.array([start, start + count - 1])) // self.window
-        window = max(0, int(first) - 1)
-        stop = min(self.windows, int(last) + 2 + len(self.tail))
-        while window < stop:
-            until = min(stop, window + _WINDOWS_AT_ONCE)
-            counts = self.before(np.arange(window, until + 1))
-            own = counts[:, queue]
-            begin = np.maximum(own[:-1], start)
-            end = np.minimum(own[1:], start + count)
-            ahead = (counts[1:, :queue] - counts[:-1, :queue]).sum(axis=1)
-            for k in np.nonzero(end > begin)[0]:
-                offset = int(ahead[k] + begin[k] - own[k])
-                yield int(begin[k]) - start, int(end[k] - begin[k]), window + int(k), offset
-            window = until
+    def pieces(
+        self, queue: np.ndarray, at: np.ndarray, count: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
+        """Pieces of documents at places of their queues, by document and start.
+
+        Each piece's document, start in the document, length, window and offset.
+        """
+        first, last = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        for q in np.unique(queue):
+            own = queue == q
+            first[own] = self._due(q, at[own]) // self.window
+            last[own] = self._due(q, at[own] + count[own] - 1) // self.window
+        # One window more on either side, for due times rounded, and the tail where near.
+        first = np.maximum(first - 1, 0)
+        last = np.minimum(last + 2 + (last + 2 >= self.full) * len(self.tail), self.windows)
+        sizes = last - first + 1
+        doc = np.repeat(np.arange(len(at)), sizes)
+        windows = np.arange(len(doc)) + (first - np.cumsum(sizes) + sizes)[doc]
+        needed, row = np.unique(windows, return_inverse=True)
+        counts = [
+            self.before(needed[k : k + _WINDOWS_AT_ONCE])
+            for k in range(0, len(needed), _WINDOWS_AT_ONCE)
+        ]
+        counts = np.concatenate(counts)
+        ahead = np.cumsum(counts, axis=1) - counts
+        same = np.nonzero(doc[:-1] == doc[1:])[0]
+        here, then, doc = row[same], row[same + 1], doc[same]
+        q = queue[doc]
+        begin = np.maximum(counts[here, q], at[doc])
+        end = np.minimum(counts[then, q], at[doc] + count[doc])
+        offset = ahead[then, q] - ahead[here, q] + begin - counts[here, q]
+        full = end > begin
+        found = (doc, begin - at[doc], end - begin, windows[same], offset)
+        return tuple(x[full] for x in found)
 
 
 _PIECES = (
@@ -210,29 +231,29 @@ _PIECES = (
 def _cut(schedule: Schedule):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in _PIECES.split(", ")]
-        types = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "queue", "at", "n", "ids")]
-            rows = []
-            for doc_id, queue, at, count, ids in zip(*columns, strict=True):
-                for start, length, window, offset in schedule.pieces(queue, at, count):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, count, window, offset, queue, piece))
-                if len(rows) >= 20_000:
-                    yield _batch(rows, names, types)
-                    rows = []
-            if rows:
-                yield _batch(rows, names, types)
+        for whole in batches:
+            for k in range(0, whole.num_rows, _DOCUMENTS_AT_ONCE):
+                batch = whole.slice(k, _DOCUMENTS_AT_ONCE)
+                queue, at, n = (np.asarray(batch.column(c), np.int64) for c in ("queue", "at", "n"))
+                doc, start, length, window, offset = schedule.pieces(queue, at, n)
+                # The pieces of a batch lie one behind the other in its ids.
+                ids = b"".join(batch.column("ids").to_pylist())
+                ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32) * 4
+                buffers = [None, pa.py_buffer(ends), pa.py_buffer(ids)]
+                numbers = [start, length, n[doc], window, offset]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array(doc)),
+                        *[pa.array(x, pa.int64()) for x in numbers],
+                        pa.array(queue[doc].astype(np.int32)),
+                        pa.Array.from_buffers(pa.binary(), len(doc), buffers),
+                    ],
+                    names,
+                )
 
     return cut
 
 
-def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True)
-    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, names)
-
-
 def pack(
     documents: DataFrame,
     vocabulary: str | None = None,
@@ -262,10 +283,15 @@ def pack(
         "text",
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
     )
-    ranked = rows.groupBy("source").count().orderBy(F.desc("count"), "source")
-    names = [row["source"] for row in ranked.limit(queues).collect()]
+    sources = rows.groupBy("source").count()
+    ranked = sources.orderBy(F.desc("count"), "source").limit(queues).collect()
+    everything = sources.agg(F.sum("count")).first()[0] or 0
+    names = [r["source"] for r in ranked if r["count"] >= LEAST_SHARE * everything or r["source"] in (shares or ())]
+    others = everything - sum(r["count"] for r in ranked if r["source"] in names)
     numbers = {name: i for i, name in enumerate(names)}
-    tokens = stored(rows.mapInArrow(_tokenize(numbers, vocabulary, ranks, end), _TOKENS), "tokens")
+    rest = len(names) if others >= LEAST_SHARE * everything or not names or shares else 0
+    tokenize = _tokenize(numbers, rest, vocabulary, ranks, end)
+    tokens = stored(rows.mapInArrow(tokenize, _TOKENS), "tokens")
 
     parts = tokens.groupBy("queue", "partition").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("queue").orderBy("partition").rowsBetween(
