@@ -14,6 +14,7 @@ from termlode.llm.quality import quality_scores
 from termlode.llm.repeats import remove_repeats
 from termlode.llm.simhash import near_duplicates
 from termlode.llm.top_k import top_k
+from termlode.llm.toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint, "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -63,7 +68,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_html_text, op4_repeats, op5_simhash, op7_top_k, op8_packing, op9_quality, op10_license_scan]
+    registered = [op1_html_text, op4_repeats, op5_simhash, op6_toxicity, op7_top_k, op8_packing, op9_quality, op10_license_scan]
     return {query.__name__: query for query in registered}
 
 
