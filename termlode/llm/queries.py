@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termlode.llm.decontaminate import leaks
 from termlode.llm.html_text import extract_text
+from termlode.llm.language import identify
 from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
 from termlode.llm.packing import pack
 from termlode.llm.quality import quality_scores
@@ -32,6 +33,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -73,7 +78,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_html_text, op2_decontamination, op4_repeats, op5_simhash, op6_toxicity, op7_top_k, op8_packing, op9_quality, op10_license_scan]
+    registered = [op1_html_text, op2_decontamination, op3_language, op4_repeats, op5_simhash, op6_toxicity, op7_top_k, op8_packing, op9_quality, op10_license_scan]
     return {query.__name__: query for query in registered}
 
 
