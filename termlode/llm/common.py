@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from termlode.plans.scratch import scratch_path
 
@@ -47,6 +48,32 @@ def text_slices(
             yield batch.slice(start), texts[start:]
 
 
+def appended(
+    documents: DataFrame, name: str, kind: DataType, compute: Callable[[], Callable[[list[str]], pa.Array]]
+) -> DataFrame:
+    """All rows and columns, and one more that is computed from the texts in the tasks.
+
+    ``compute`` is called once per task and returns a function of a list of texts.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values_of = compute()
+        for batch, texts in text_slices(batches):
+            columns = [*batch.columns, values_of(texts)]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
+
+    schema = StructType([*documents.schema.fields, StructField(name, kind)])
+    return documents.mapInArrow(work, schema)
+
+
+def fresh_name(frame: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(column: str = "doc_id"):
     """Whether a row belongs to the fold that labels are not learnt from."""
     fold = F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % FOLDS

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from termlode.llm.common import stored
 from termlode.llm.suffix_sort import sort_suffixes
@@ -323,6 +324,19 @@ def _doc_key() -> list[Column]:
     ]
 
 
+def _shared(frame: DataFrame) -> DataFrame:
+    """Rows whose core stands in several, and whether these differ in their hulls.
+
+    The counts are stored before they are joined: then both sides of the join are plain
+    exchanges, of which Spark can split a part with a very frequent core.
+    """
+    sums = frame.groupBy("core").agg(
+        F.count("*").alias("n"), F.min("hull_1").alias("least"), F.max("hull_1").alias("most")
+    )
+    mixed = (F.col("least") != F.col("most")).alias("mixed")
+    return frame.join(stored(sums.where("n > 1").select("core", mixed), "cores"), "core")
+
+
 def repeated_windows(
     documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, cell: int = CELL
 ) -> DataFrame:
@@ -331,16 +345,7 @@ def repeated_windows(
         raise ValueError("an anchor is shorter than a window, and a cell than an anchor")
     texts = documents.select(*_doc_key(), F.encode("text", "UTF-8").alias("text"))
     found = stored(texts.mapInArrow(_find_anchors(length, anchor), _ANCHORS), "anchors")
-    counted = [
-        F.count("*").alias("n"),
-        F.min("hull_1").alias("least"),
-        F.max("hull_1").alias("most"),
-    ]
-    cores = found.groupBy("core").agg(*counted).where("n > 1")
-    shared = stored(
-        found.join(cores.select("core", (F.col("least") != F.col("most")).alias("mixed")), "core"),
-        "shared-anchors",
-    )
+    shared = stored(_shared(found), "shared-anchors")
     span = ["doc", "print", "first", "last"]
     equal = shared.where(~F.col("mixed")).select(*span)
 
@@ -363,11 +368,7 @@ def repeated_windows(
         "contexts",
     )
     cells = stored(contexts.mapInArrow(_cut_cells(length, cell), _CELLS), "cells")
-    cores = cells.groupBy("core").agg(*counted).where("n > 1")
-    met = stored(
-        cells.join(cores.select("core", (F.col("least") != F.col("most")).alias("mixed")), "core"),
-        "shared-cells",
-    )
+    met = stored(_shared(cells), "shared-cells")
     low_high = F.collect_list(F.struct("low", "high")).alias("cells")
     open_cells = met.where("mixed").groupBy("context").agg(low_high)
     classes = stored(
@@ -389,34 +390,65 @@ def repeated_windows(
     return equal.union(several).union(fine)
 
 
-_KEPT = "doc_id long, n_bytes long, spans array<struct<first:long,end:long>>, kept binary"
+_SPAN = pa.struct([("first", pa.int64()), ("end", pa.int64())])
+_KEPT = ["n_bytes", "spans", "kept"]
+_KEPT_SCHEMA = "n_bytes long, spans array<struct<first:long,end:long>>, kept "
+
+
+def _remove(length: int, raw: str, found: str, as_text: bool):
+    """Replaces the columns of bytes and of found stretches by those of _KEPT.
 
+    As text, a character of which only a part is left goes.
+    """
+    types = [pa.int64(), pa.list_(_SPAN), pa.string() if as_text else pa.binary()]
 
-def _remove(length: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_bytes", "spans", "kept"]
-        pair = pa.struct([("first", pa.int64()), ("end", pa.int64())])
-        types = [pa.int64(), pa.int64(), pa.list_(pair), pa.binary()]
         for batch in _parts(batches, 500):
             rows = []
-            ids, spans = batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist()
-            for doc_id, text, found in zip(ids, batch.column("text"), spans, strict=True):
+            spans = batch.column(found).to_pylist()
+            for text, listed in zip(batch.column(raw), spans, strict=True):
                 text = text.as_py() or b""
                 runs: list[list[int]] = []
-                for first, last in sorted((s["first"], s["last"]) for s in found or ()):
+                for first, last in sorted((s["first"], s["last"]) for s in listed or ()):
                     if runs and first <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], last + length)
                     else:
                         runs.append([first, last + length])
                 cuts = [0, *[x for run in runs for x in run], len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
-                listed = [{"first": a, "end": b} for a, b in runs]
-                rows.append((doc_id, len(text), listed, kept))
-            yield _batch(rows, names, types)
+                kept = kept.decode("utf-8", "ignore") if as_text else kept
+                rows.append((len(text), [{"first": a, "end": b} for a, b in runs], kept))
+            rest = [name for name in batch.schema.names if name not in (raw, found)]
+            columns = [
+                pa.array(column, kind)
+                for column, kind in zip(zip(*rows, strict=True), types, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(name) for name in rest], *columns],
+                [*rest, *_KEPT],
+            )
 
     return remove
 
 
+def _removed(
+    documents: DataFrame, length: int, anchor: int, cell: int, as_text: bool = False
+) -> DataFrame:
+    """All columns but the text, under free names, with n_bytes, spans and kept bytes."""
+    stretches = repeated_windows(documents, length, anchor, cell)
+    listed = stretches.groupBy("doc", "print").agg(
+        F.collect_list(F.struct("first", "last")).alias("found")
+    )
+    rest = [name for name in documents.columns if name.lower() != "text"]
+    renamed = [F.col(name).alias(f"column_{i}") for i, name in enumerate(rest)]
+    texts = documents.select(*renamed, *_doc_key(), F.encode("text", "UTF-8").alias("raw"))
+    joined = texts.join(listed.hint("shuffle_hash"), ["doc", "print"], "left").drop("doc", "print")
+    fields = [joined.schema[f"column_{i}"] for i in range(len(rest))]
+    kept = StructType.fromDDL(_KEPT_SCHEMA + ("string" if as_text else "binary"))
+    remove = _remove(length, "raw", "found", as_text)
+    return joined.mapInArrow(remove, StructType([*fields, *kept.fields]))
+
+
 def remove_repeats(
     documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, cell: int = CELL
 ) -> DataFrame:
@@ -428,14 +460,28 @@ def remove_repeats(
     shorter text loses nothing. Repeated rows count as documents of their own, so a long
     enough text that stands twice is removed from both.
     """
-    spans = repeated_windows(documents, length, anchor, cell)
-    listed = spans.groupBy("doc", "print").agg(
-        F.collect_list(F.struct("first", "last")).alias("spans")
-    )
-    texts = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        *_doc_key(),
-        F.encode("text", "UTF-8").alias("text"),
-    )
-    joined = texts.join(listed.hint("shuffle_hash"), ["doc", "print"], "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(_remove(length), _KEPT)
+    found = _removed(documents.select("doc_id", "text"), length, anchor, cell)
+    return found.select(F.col("column_0").cast("long").alias("doc_id"), *_KEPT)
+
+
+def without_repeats(
+    documents: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, cell: int = CELL
+) -> DataFrame:
+    """The documents with their repeats removed and all their columns.
+
+    A character that is cut in two goes; n_chars, if there is such a column, is counted
+    anew. A null text becomes empty.
+    """
+    found = _removed(documents, length, anchor, cell, as_text=True)
+    text = F.col("kept")
+    rest = iter(range(len(documents.columns)))
+    columns = []
+    for name in documents.columns:
+        if name.lower() == "text":
+            columns.append(text.alias(name))
+            continue
+        number = next(rest)
+        counted = F.length(text).cast(documents.schema[name].dataType)
+        own = counted if name.lower() == "n_chars" else F.col(f"column_{number}")
+        columns.append(own.alias(name))
+    return found.select(*columns)
