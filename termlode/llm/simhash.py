@@ -23,8 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from termlode.llm.common import stored, text_slices
+from termlode.llm.common import appended, fresh_name, stored, text_slices
 from termlode.llm.components import components
 
 BITS = 64
@@ -186,3 +187,38 @@ def near_duplicates(
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("print", "component_id")
     return rows.join(classes, "print").select("doc_id", "print", "component_id")
+
+
+def one_of_each(
+    documents: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    radius: int = RADIUS,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """One document of each component, that with the smallest id, with all its columns.
+
+    Where several rows of a component share the smallest id, or have none, any one of them
+    stays.
+    """
+    found = near_duplicates(documents, shingle_words, radius, bucket_rows)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ids = stored(
+        first.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows")), "kept-ids"
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id"))
+    single = ids.where("rows = 1 AND kept_id IS NOT NULL").hint("shuffle_hash")
+    kept = documents.join(single, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    # A repeated id may stand for rows of several components: these are told by their print.
+    name = fresh_name(documents, "print")
+    several = documents.join(ids.where("rows > 1 OR kept_id IS NULL"), same, "left_semi")
+
+    def compute():
+        return lambda texts: pa.array(
+            np.array([fingerprint(t, shingle_words) for t in texts], np.uint64).view(np.int64)
+        )
+
+    printed = appended(several, name, LongType(), compute)
+    firsts = first.groupBy("component_id").agg(F.min(F.struct("doc_id", "print")).alias("of"))
+    firsts = firsts.select(F.col("of.doc_id").alias("kept_id"), F.col("of.print").alias("kept_print"))
+    chosen = printed.join(firsts, same & (F.col(name) == F.col("kept_print")), "left_semi")
+    return kept.unionByName(chosen.dropDuplicates(["doc_id", name]).drop(name))

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from termlode.llm.common import held_out, text_slices
+from termlode.llm.common import appended, fresh_name, held_out, text_slices
 
 WORDS, STEP = 64, 48
 WORD_ROWS, TRIGRAM_ROWS = 1 << 16, 1 << 16
@@ -428,3 +429,22 @@ def toxicity_scores(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(
+    documents: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The documents whose score is below the threshold, with all their columns."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    network = fit_network(*labelled_sample(rows, labels, label, TOXIC_ROWS, OTHER_ROWS))
+    name = fresh_name(documents, "toxicity")
+
+    def compute():
+        reader = Reader(network)
+        return lambda texts: pa.array(reader.scores(texts), pa.float64())
+
+    scored = appended(documents, name, DoubleType(), compute)
+    return scored.where(F.col(name) < threshold).drop(name)
