@@ -36,8 +36,8 @@ RATE, TABLE_RATE = 0.01, 0.001
 # learnt by heart.
 LEAST_TEXTS = 5
 THRESHOLD = 0.7
-# Words whose inputs a task remembers, and windows that are read together.
-REMEMBERED, WINDOWS = 200_000, 2048
+# Words whose inputs a task remembers; windows, and in training texts, read together.
+REMEMBERED, WINDOWS, TEXTS = 200_000, 2048, 200
 
 _STRIPPED = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -52,7 +52,7 @@ def _trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     middle = np.nonzero(line[1:-1] != 10)[0] + 1
     codes = (line[middle - 1] << 16 | line[middle] << 8 | line[middle + 1]) * np.uint32(2654435761)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    return (codes >> np.uint32(16)).astype(np.int64), np.cumsum(lengths) - lengths
+    return (codes >> np.uint32(16)).astype(np.int32), np.cumsum(lengths) - lengths
 
 
 def _word_rows(words: list[bytes]) -> np.ndarray:
@@ -286,12 +286,14 @@ def fit_network(texts: list[str], labels: list[int], share: float | None = None)
         base = float(np.log((ones + 0.5) / (len(target) - ones + 0.5)))
         network.scale = np.array([0.0, 0.0, base])
         return network
-    listed = [words_of(t) for t in texts]
-    counts = np.fromiter(map(len, listed), np.int64, len(listed))
-    vocabulary = list(dict.fromkeys(w for words in listed for w in words))
-    row = {w: i for i, w in enumerate(vocabulary, 1)}
-    flat = np.fromiter((row[w] for words in listed for w in words), np.int64, int(counts.sum()))
-    flat = np.append(flat, np.zeros(WORDS, np.int64))
+    row: dict[bytes, int] = {}
+    coded = [
+        np.array([row.setdefault(w, len(row) + 1) for w in words_of(t)], np.int32) for t in texts
+    ]
+    vocabulary = list(row)
+    del row
+    counts = np.fromiter(map(len, coded), np.int64, len(coded))
+    flat = np.concatenate([*coded, np.zeros(WORDS, np.int32)])
     word_row = np.append(0, _word_rows(vocabulary))
     trigrams, begin = _trigrams(vocabulary)
     sizes = np.diff(np.append(begin, len(trigrams)))
@@ -301,22 +303,22 @@ def fit_network(texts: list[str], labels: list[int], share: float | None = None)
     mask = (step < length[:, None]).astype(np.float32)
 
     # Start two inputs from how much more often toxic texts hold a word, or a trigram.
-    owners = np.repeat(np.arange(len(counts)), counts) * (len(vocabulary) + 1)
-    seen = np.unique(owners + flat[:-WORDS])
-    seen_in, seen_word = np.divmod(seen, len(vocabulary) + 1)
-    near, repeats = _listed(begin[seen_word - 1], sizes[seen_word - 1])
+    held = {
+        "word": np.zeros((2, WORD_ROWS), np.int64),
+        "trigram": np.zeros((2, TRIGRAM_ROWS), np.int64),
+    }
+    for words, kind in zip(coded, target, strict=True):
+        seen = np.unique(words)
+        near, _ = _listed(begin[seen - 1], sizes[seen - 1])
+        held["word"][int(kind), np.unique(word_row[seen])] += 1
+        held["trigram"][int(kind), np.unique(trigrams[near])] += 1
+    del coded
     frequent = {}
-    for name, texts_of, rows_of, size, place in (
-        ("word", seen_in, word_row[seen_word], WORD_ROWS, 0),
-        ("trigram", seen_in[repeats], trigrams[near], TRIGRAM_ROWS, 1),
-    ):
-        pairs = np.unique(texts_of * size + rows_of)
-        kind = target[pairs // size]
-        held = [np.bincount(pairs[kind == k] % size, minlength=size) for k in (0, 1)]
-        odds = np.log((held[1] + 0.2) / ones) - np.log((held[0] + 0.2) / (len(target) - ones))
-        odds *= held[1] / (held[1] + 5)
+    for place, (name, (without, with_it)) in enumerate(held.items()):
+        odds = np.log((with_it + 0.2) / ones) - np.log((without + 0.2) / (len(target) - ones))
+        odds *= with_it / (with_it + 5)
         network.weights[name][:, place] = 0.3 * np.clip(odds, 0, 6)
-        frequent[name] = (held[0] + held[1] >= LEAST_TEXTS)[:, None]
+        frequent[name] = (without + with_it >= LEAST_TEXTS)[:, None]
         network.weights[name] *= frequent[name]
 
     random = np.random.default_rng(6)
@@ -367,7 +369,8 @@ def fit_network(texts: list[str], labels: list[int], share: float | None = None)
                 rate = TABLE_RATE if name in frequent else RATE
                 w[name] -= (rate * mean_slope / (1 - 0.9**beats) / size).astype(np.float32)
         reader = Reader(network)
-        logits = reader.logits(texts)[1]
+        some = range(0, len(texts), TEXTS)
+        logits = np.concatenate([reader.logits(texts[i : i + TEXTS])[1] for i in some])
     known = tried if tried.any() else ~tried
     network.scale = _fit_scale(evidence(logits, spans[:-1])[known], target[known])
     if share is not None and 0 < share < 1:
