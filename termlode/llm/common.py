@@ -5,7 +5,9 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -14,10 +16,21 @@ from termlode.plans.scratch import scratch_path
 
 # Texts are handled in pieces of about so many bytes, which bounds a task's arrays.
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 # Labels are learnt from rows whose crc32(doc_id as text) mod 3 is not 1.
 FOLDS, HELD_OUT_FOLD = 3, 1
 
 
+def to_tasks(frame: DataFrame, work, schema) -> DataFrame:
+    """frame.mapInArrow with batches of bounded size.
+
+    Spark fills a batch to 64 MB by default, of which a task holds several copies. The
+    session's setting is lowered, as it is read when the frame is executed.
+    """
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return frame.mapInArrow(work, schema)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read again.
 
@@ -32,20 +45,22 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Arrow batches cut into slices of about ``limit`` characters, with their texts.
+    """Arrow batches cut into slices of about ``limit`` bytes, with their texts.
 
     A null text is an empty one. A longer text is a slice of its own.
     """
     for batch in batches:
-        texts = [t or "" for t in batch.column(column).to_pylist()]
-        start = size = 0
-        for i, text in enumerate(texts):
-            if size and size + len(text) > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(text)
-        if len(texts) > start:
-            yield batch.slice(start), texts[start:]
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
+        size, cuts = 0, [0]
+        for i, length in enumerate(lengths.tolist()):
+            if size and size + length > limit:
+                cuts.append(i)
+                size = 0
+            size += length
+        for start, end in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+            if end > start:
+                part = batch.slice(start, end - start)
+                yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
 def appended(
@@ -63,7 +78,7 @@ def appended(
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, name])
 
     schema = StructType([*documents.schema.fields, StructField(name, kind)])
-    return documents.mapInArrow(work, schema)
+    return to_tasks(documents, work, schema)
 
 
 def fresh_name(frame: DataFrame, name: str) -> str:

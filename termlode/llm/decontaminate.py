@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.llm.common import stored
+from termlode.llm.common import stored, to_tasks
 
 WINDOW, LEAST_WINDOW = 10, 5
 # Share of a window that must be words, not slots; share of an item's windows in a leak.
@@ -274,7 +274,7 @@ def leaks(
     items = benchmark.select(
         F.col("item_id").cast("long").alias("id"), F.encode("text", "UTF-8").alias("text")
     )
-    asked = stored(items.mapInArrow(_read(None, None), _FOUND), "item-windows")
+    asked = stored(to_tasks(items, _read(None, None), _FOUND), "item-windows")
     first = asked.groupBy("template").agg(
         F.min("id").alias("id"), F.count_distinct("id").alias("n_items")
     )
@@ -302,7 +302,7 @@ def leaks(
     texts = documents.select(
         F.col("doc_id").cast("long").alias("id"), F.encode("text", "UTF-8").alias("text")
     )
-    held = stored(texts.mapInArrow(_read(sizes, bitmap), _FOUND), "document-windows")
+    held = stored(to_tasks(texts, _read(sizes, bitmap), _FOUND), "document-windows")
     met = held.select(F.col("id").alias("doc_id"), "word", "key", "slots").join(wanted, "key")
     pairs = F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("held"))
     occurrence = met.groupBy(

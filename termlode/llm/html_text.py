@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlode.llm.common import text_slices
+from termlode.llm.common import text_slices, to_tasks
 
 # Elements whose content is no text, that break blocks, or that hold chrome.
 RAW = "script style noscript template iframe svg object textarea select title head button".split()
@@ -324,4 +324,4 @@ def extract_text(pages: DataFrame, labelled: np.ndarray | None = None) -> DataFr
     tree = train_tree(labelled_table() if labelled is None else labelled)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     schema = "page_id long, url string, text string, blocks long, kept_blocks long"
-    return rows.mapInArrow(_extract(tree), schema)
+    return to_tasks(rows, _extract(tree), schema)

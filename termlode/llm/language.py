@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termlode.llm.common import stored, text_slices
+from termlode.llm.common import stored, text_slices, to_tasks
 
 # The sample: of the languages with the most documents, those with the smallest hash of
 # id, of at most so many characters.
@@ -165,7 +165,7 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
         return rows.select(
             "page_id", "url", *none, nothing.alias("text_lang"), nothing.alias("declared")
         )
-    read = stored(rows.mapInArrow(_read(chances), _READ), "page-evidence")
+    read = stored(to_tasks(rows, _read(chances), _READ), "page-evidence")
     hosts = _sums(read, ["host", "domain"], size, "belief", "host_n")
     domains = _sums(hosts, ["domain"], size, "host_n", "domain_n")
     everything = _sums(domains, [], size, "domain_n", "all_n")

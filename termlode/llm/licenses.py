@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlode.llm.common import text_slices
+from termlode.llm.common import text_slices, to_tasks
 
 # Phrases and the labels they stand for.
 PHRASES = {
@@ -142,7 +142,7 @@ def _count(vocabulary: frozenset[bytes]):
 def word_frequencies(documents: DataFrame, templates: dict[str, str]) -> dict[bytes, int]:
     """In how many documents each word of the templates stands; one row per word."""
     vocabulary = frozenset().union(*(words_of(t) for t in templates.values()))
-    counted = documents.select("text").mapInArrow(_count(vocabulary), "word string, n long")
+    counted = to_tasks(documents.select("text"), _count(vocabulary), "word string, n long")
     rows = counted.groupBy("word").agg(F.sum("n").alias("n")).collect()
     return {row["word"].encode(): row["n"] for row in rows}
 
@@ -204,4 +204,4 @@ def license_scan(
     phrases = PHRASES if phrases is None else phrases
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     index = _Index(templates, word_frequencies(rows, templates), threshold)
-    return rows.mapInArrow(_scan(index, phrases), SCHEMA)
+    return to_tasks(rows, _scan(index, phrases), SCHEMA)

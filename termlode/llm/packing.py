@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.llm.common import stored, text_slices
+from termlode.llm.common import stored, text_slices, to_tasks
 
 WINDOW = 2048
 END = 1
@@ -291,7 +291,7 @@ def pack(
     numbers = {name: i for i, name in enumerate(names)}
     rest = len(names) if others >= LEAST_SHARE * everything or not names or shares else 0
     tokenize = _tokenize(numbers, rest, vocabulary, ranks, end)
-    tokens = stored(rows.mapInArrow(tokenize, _TOKENS), "tokens")
+    tokens = stored(to_tasks(rows, tokenize, _TOKENS), "tokens")
 
     parts = tokens.groupBy("queue", "partition").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("queue").orderBy("partition").rowsBetween(
@@ -311,4 +311,4 @@ def pack(
     placed = tokens.join(before, ["queue", "partition"]).select(
         "doc_id", "queue", (F.col("start") + F.col("before")).alias("at"), "n", "ids"
     )
-    return placed.mapInArrow(_cut(schedule), _PIECES)
+    return to_tasks(placed, _cut(schedule), _PIECES)

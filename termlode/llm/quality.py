@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlode.llm.common import held_out, stored, text_slices
+from termlode.llm.common import held_out, stored, text_slices, to_tasks
 
 # At most so many labelled rows are used for fitting, those with the smallest hash of id.
 SAMPLE_ROWS = 20_000
@@ -193,7 +193,7 @@ def quality_scores(
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stored(
-        rows.mapInArrow(_measure, "doc_id long, statistics array<double>"), "statistics"
+        to_tasks(rows, _measure, "doc_id long, statistics array<double>"), "statistics"
     )
     trees = fit_trees(*labelled_sample(measured, labels, label, sample_rows))
 
@@ -205,7 +205,7 @@ def quality_scores(
                 [batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"]
             )
 
-    scored = measured.mapInArrow(score, "doc_id long, score double")
+    scored = to_tasks(measured, score, "doc_id long, score double")
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from termlode.llm.common import stored
+from termlode.llm.common import stored, to_tasks
 from termlode.llm.suffix_sort import sort_suffixes
 
 LENGTH = 400
@@ -344,7 +344,7 @@ def repeated_windows(
     if not 8 <= anchor < length or not 1 <= cell <= anchor:
         raise ValueError("an anchor is shorter than a window, and a cell than an anchor")
     texts = documents.select(*_doc_key(), F.encode("text", "UTF-8").alias("text"))
-    found = stored(texts.mapInArrow(_find_anchors(length, anchor), _ANCHORS), "anchors")
+    found = stored(to_tasks(texts, _find_anchors(length, anchor), _ANCHORS), "anchors")
     shared = stored(_shared(found), "shared-anchors")
     span = ["doc", "print", "first", "last"]
     equal = shared.where(~F.col("mixed")).select(*span)
@@ -362,17 +362,17 @@ def repeated_windows(
         ["doc", "print"]
     )
     contexts = stored(
-        with_text.mapInArrow(_cut_contexts(length), _CONTEXTS).withColumn(
+        to_tasks(with_text, _cut_contexts(length), _CONTEXTS).withColumn(
             "context", F.monotonically_increasing_id()
         ),
         "contexts",
     )
-    cells = stored(contexts.mapInArrow(_cut_cells(length, cell), _CELLS), "cells")
+    cells = stored(to_tasks(contexts, _cut_cells(length, cell), _CELLS), "cells")
     met = stored(_shared(cells), "shared-cells")
     low_high = F.collect_list(F.struct("low", "high")).alias("cells")
     open_cells = met.where("mixed").groupBy("context").agg(low_high)
     classes = stored(
-        contexts.join(open_cells, "context").mapInArrow(_sort_windows(length), _CLASSES),
+        to_tasks(contexts.join(open_cells, "context"), _sort_windows(length), _CLASSES),
         "window-classes",
     )
     twice = classes.groupBy(*hull).agg(F.sum("n").alias("n")).where("n > 1").select(*hull)
@@ -446,7 +446,7 @@ def _removed(
     fields = [joined.schema[f"column_{i}"] for i in range(len(rest))]
     kept = StructType.fromDDL(_KEPT_SCHEMA + ("string" if as_text else "binary"))
     remove = _remove(length, "raw", "found", as_text)
-    return joined.mapInArrow(remove, StructType([*fields, *kept.fields]))
+    return to_tasks(joined, remove, StructType([*fields, *kept.fields]))
 
 
 def remove_repeats(

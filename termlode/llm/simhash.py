@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from termlode.llm.common import appended, fresh_name, stored, text_slices
+from termlode.llm.common import appended, fresh_name, stored, text_slices, to_tasks
 from termlode.llm.components import components
 
 BITS = 64
@@ -72,7 +72,7 @@ def fingerprints(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Da
             )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(work, "doc_id long, print long")
+    return to_tasks(rows, work, "doc_id long, print long")
 
 
 def _signed(mask: int) -> int:
@@ -149,9 +149,13 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
         larger = sizes.where((F.col("n") > 2) & (F.col("n") <= bucket_rows)).select(*bucket)
         members = table.join(larger, bucket).groupBy(*bucket)
         lists = members.agg(F.collect_list("print").alias("prints")).select("prints")
-        found.append(lists.mapInArrow(_link(radius), "a long, b long"))
+        found.append(to_tasks(lists, _link(radius), "a long, b long"))
 
-        hot = sizes.where(F.col("n") > bucket_rows).select(*bucket)
+        # With no more hidden positions than the radius, all of a bucket are linked.
+        hot, narrow = sizes.where(F.col("n") > bucket_rows), F.bit_count("mask") >= BITS - radius
+        star = table.join(hot.where(narrow).select(*bucket, "a"), bucket)
+        found.append(star.where(F.col("print") != F.col("a")).select("a", F.col("print").alias("b")))
+        hot = hot.where(~narrow).select(*bucket)
         # Masks depend on the radius and the depth alone, not on the data.
         hot_masks = [row["mask"] for row in hot.select("mask").distinct().collect()]
         if not hot_masks:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.llm.common import stored
+from termlode.llm.common import stored, to_tasks
 
 RANGES = 4
 VECTOR_ROWS, QUERY_ROWS = 2048, 256
@@ -167,7 +167,7 @@ def _meet(blocks: DataFrame, queries: DataFrame, extra: list[str], work) -> Data
     """Every block of queries with every block of vectors of its dimension."""
     spark = blocks.sparkSession
     shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    asked = queries.mapInArrow(_pack(QUERY_ROWS, extra), _BLOCK).select(
+    asked = to_tasks(queries, _pack(QUERY_ROWS, extra), _BLOCK).select(
         "dim",
         F.col("ids").alias("query_ids"),
         F.col("items").alias("query_items"),
@@ -175,7 +175,8 @@ def _meet(blocks: DataFrame, queries: DataFrame, extra: list[str], work) -> Data
     )
     placed = blocks.withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(shards)).cast("int"))
     pairs = placed.join(asked.hint("merge"), ["shard", "dim"])
-    return pairs.select("dim", "ids", "items", "query_ids", "query_items").mapInArrow(work, _FOUND)
+    met = pairs.select("dim", "ids", "items", "query_ids", "query_items")
+    return to_tasks(met, work, _FOUND)
 
 
 def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 256) -> DataFrame:
@@ -189,7 +190,7 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 25
     an empty table gives no rows.
     """
     ready = quantised(vectors, scale)
-    blocks = stored(ready.mapInArrow(_pack(VECTOR_ROWS, []), _BLOCK), "vector-blocks")
+    blocks = stored(to_tasks(ready, _pack(VECTOR_ROWS, []), _BLOCK), "vector-blocks")
     queries = stored(ready.where(F.col("vec_id") % query_every == 0), "vector-queries")
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from termlode.llm.common import appended, fresh_name, held_out, text_slices
+from termlode.llm.common import appended, fresh_name, held_out, text_slices, to_tasks
 
 WORDS, STEP = 64, 48
 WORD_ROWS, TRIGRAM_ROWS = 1 << 16, 1 << 16
@@ -426,7 +426,7 @@ def toxicity_scores(
             scores = pa.array(reader.scores(texts), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
-    return rows.mapInArrow(score, "doc_id long, score double").select(
+    return to_tasks(rows, score, "doc_id long, score double").select(
         "doc_id",
         held_out().alias("held_out"),
         "score",
