@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 import termlode
 from termlode.operators import tables
 from termlode.plans.scratch import prepared_index, scratch_path
-from termlode.plans.search import as_queries
 
 QUERY = "the theory of inter"
 REPEATED = "the theory of inter inter"
 PAGE_QUERY = "De la ouier en pour"
 UNKNOWN = "Xyzzyx 1999 qqqqqqq"
-N = 10
+N, MOST = 10, 1000
+# Small enough that the batch is cut into several slices.
+SLICE_BYTES = 20_000
 # Scores are compared after rounding: BM25, tf/df product, tf/df weight.
 BM25_DIGITS, TFDF_DIGITS, WEIGHT_DIGITS = 6, 9, 9
 
@@ -59,8 +60,18 @@ def _rounded(frame: DataFrame, digits: int, column: str = "score") -> DataFrame:
     return frame.withColumn(column, F.round(column, digits))
 
 
+_dumps: dict[tuple[str, str], str] = {}
+
+
 def _dump(spark: SparkSession, sf_dir: str) -> str:
-    """The documents as JSON lines in nested folders; returns the top folder."""
+    """The documents as JSON lines in nested folders, once per session; the top folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _dumps:
+        _dumps[key] = _write_dump(spark, sf_dir)
+    return _dumps[key]
+
+
+def _write_dump(spark: SparkSession, sf_dir: str) -> str:
 
     def quoted(column: str) -> Column:
         return F.regexp_extract(F.to_json(F.array(column)), r"(?s)^\[(.*)\]$", 1)
@@ -140,7 +151,7 @@ def bm25_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bm25_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _index(spark, sf_dir)
-    hits = termlode.bm25_scores(index, as_queries(spark, QUERY))
+    hits = termlode.bm25_scores(index, QUERY)
     return _rounded(termlode.score_all(index, hits), BM25_DIGITS)
 
 
@@ -155,7 +166,7 @@ def bm25_topn_scaled_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tfdf_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _index(spark, sf_dir)
-    hits = termlode.tfdf_scores(index, as_queries(spark, REPEATED))
+    hits = termlode.tfdf_scores(index, REPEATED)
     return _rounded(termlode.score_all(index, hits), TFDF_DIGITS)
 
 
@@ -165,15 +176,33 @@ def tfdf_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ranked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _index(spark, sf_dir)
-    hits = termlode.bm25_scores(index, as_queries(spark, REPEATED))
+    hits = termlode.bm25_scores(index, REPEATED)
     path = scratch_path(spark, "ranking")
     termlode.write_ranking(termlode.score_all(index, hits), path)
-    return _rounded(spark.read.parquet(path), BM25_DIGITS)
+    return _rounded(spark.read.parquet(path).drop("position"), BM25_DIGITS)
+
+
+def ranked_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _index(spark, sf_dir)
+    path = scratch_path(spark, "ranking")
+    scores = termlode.score_all(index, termlode.bm25_scores(index, QUERY))
+    termlode.write_ranking(scores, path)
+    return _rounded(termlode.read_ranking(spark, path, MOST), BM25_DIGITS)
+
+
+def bm25_top1000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(termlode.bm25_search(_index(spark, sf_dir), QUERY, MOST), BM25_DIGITS)
+
+
+def bm25_long_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of the first benchmark item as one query of many terms."""
+    asked = _benchmark(spark, sf_dir).orderBy("query_id").first()["query"]
+    return _rounded(termlode.bm25_search(_index(spark, sf_dir), asked, N), BM25_DIGITS)
 
 
 def search_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = termlode.bm25_search(_index(spark, sf_dir), QUERY, N)
-    found = termlode.with_metadata(hits, _documents(spark, sf_dir))
+    found = termlode.with_details(_index(spark, sf_dir), hits)
     columns = ["rank", "doc_id", F.col("title").alias("lang"), F.col("url").alias("source")]
     return _rounded(found.select(*columns, "score"), BM25_DIGITS)
 
@@ -181,7 +210,7 @@ def search_with_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
     index = prepared_index(pages, f"{sf_dir}/pages")
-    found = termlode.with_metadata(termlode.bm25_search(index, PAGE_QUERY, N), pages)
+    found = termlode.with_details(index, termlode.bm25_search(index, PAGE_QUERY, N))
     columns = ["rank", F.col("doc_id").alias("page_id"), "title", "url", "score"]
     return _rounded(found.select(*columns), BM25_DIGITS)
 
@@ -196,6 +225,36 @@ def batch_tfdf_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found.withColumnRenamed("query_id", "item_id"), TFDF_DIGITS)
 
 
+def batch_bm25_topn_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a batch too large to broadcast at once."""
+    index, queries = _index(spark, sf_dir), _benchmark(spark, sf_dir)
+    found = termlode.bm25_search(index, queries, N, broadcast_bytes=SLICE_BYTES)
+    return _rounded(found.withColumnRenamed("query_id", "item_id"), BM25_DIGITS)
+
+
+def batch_tfdf_topn_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, queries = _index(spark, sf_dir), _benchmark(spark, sf_dir)
+    found = termlode.tfdf_search(index, queries, N, broadcast_bytes=SLICE_BYTES)
+    return _rounded(found.withColumnRenamed("query_id", "item_id"), TFDF_DIGITS)
+
+
+def tfdf_forward_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tfdf")
+    forward = termlode.write_tfdf_index(_index(spark, sf_dir), path)
+    values = F.transform(F.map_values("weights"), lambda w: F.round(w * 1e9).cast("long"))
+    total = F.aggregate(values, F.lit(0).cast("long"), lambda a, w: a + w)
+    n_terms = F.size("weights").cast("long").alias("n_terms")
+    return forward.select("doc_id", "len", n_terms, total.alias("weight_sum"))
+
+
+def unique_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents and an altered copy of some, with one row per id."""
+    corpus = _documents(spark, sf_dir)
+    copies = corpus.where(F.col("doc_id") % 5 == 0).withColumn("text", F.concat(F.lit("A "), "text"))
+    once = termlode.drop_duplicate_ids(corpus.unionByName(copies))
+    return once.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def unknown_term_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return termlode.bm25_search(_index(spark, sf_dir), UNKNOWN, N)
 
@@ -266,12 +325,20 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         batch_bm25_topn,
         batch_tfdf_topn,
         unknown_term_query,
+        ranked_positions,
+        bm25_top1000,
+        bm25_long_query,
+        batch_bm25_topn_sliced,
+        batch_tfdf_topn_sliced,
+        tfdf_forward_index,
+        unique_documents,
     ]
     return {query.__name__: query for query in registered}
 
 
 def _tokens_sql(text: str) -> str:
     """Tokens of a text, following the rule step by step and token by token."""
+    # The characters that a token loses, and those that part tokens.
     strip = r"""[\\0-9~`!@#$%^&*()\-_+=,.<>?/''":;{}\[\]|]"""
     spaced = (
         rf"regexp_replace(regexp_replace(lower(coalesce({text}, '')), '\\[a-z]', ' ', 'g'),"
@@ -309,6 +376,7 @@ def _one(query: str) -> str:
 
 
 _BENCHMARK_SQL = "(SELECT item_id AS query_id, text AS query FROM benchmark)"
+_FIRST_SQL = "(SELECT 0 AS query_id, text AS query FROM benchmark ORDER BY item_id LIMIT 1)"
 _IDF_SQL = "ln((n_docs - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE)) + 1)"
 _TFDF_PART = "(CAST(qtf AS DOUBLE) / df) * (CAST(tf AS DOUBLE) / df)"
 
@@ -335,10 +403,12 @@ def _scores_sql(part: str) -> str:
                FROM scores)"""
 
 
-def _search_sql(query: str, part: str, digits: int, index: str | None = None) -> str:
-    start = (index or _index_sql()) + _query_sql(_one(query)) + _scores_sql(part)
+def _search_sql(
+    query: str, part: str, digits: int, index: str | None = None, n: int = N, asked: str = ""
+) -> str:
+    start = (index or _index_sql()) + _query_sql(asked or _one(query)) + _scores_sql(part)
     return f"""{start}
-    SELECT rank, doc_id, round(score, {digits}) AS score FROM ranked WHERE rank <= {N}"""
+    SELECT rank, doc_id, round(score, {digits}) AS score FROM ranked WHERE rank <= {n}"""
 
 
 def _all_scores_sql(query: str, part: str, digits: int) -> str:
@@ -398,4 +468,18 @@ def search_sql() -> dict[str, str]:
         "batch_bm25_topn": _batch_sql(bm25, BM25_DIGITS),
         "batch_tfdf_topn": _batch_sql(_TFDF_PART, TFDF_DIGITS),
         "unknown_term_query": _search_sql(UNKNOWN, bm25, BM25_DIGITS),
+        "ranked_positions": _search_sql(QUERY, bm25, BM25_DIGITS, n=MOST),
+        "bm25_top1000": _search_sql(QUERY, bm25, BM25_DIGITS, n=MOST),
+        "bm25_long_query": _search_sql("", bm25, BM25_DIGITS, asked=_FIRST_SQL),
+        "batch_bm25_topn_sliced": _batch_sql(bm25, BM25_DIGITS),
+        "batch_tfdf_topn_sliced": _batch_sql(_TFDF_PART, TFDF_DIGITS),
+        "tfdf_forward_index": f"""{index} SELECT l.doc_id, any_value(len) AS len,
+            count(term) AS n_terms,
+            CAST(coalesce(sum(CAST(round(CAST(tf AS DOUBLE) / df * 1e9) AS BIGINT)), 0) AS BIGINT)
+              AS weight_sum
+            FROM lengths l LEFT JOIN (postings JOIN frequencies USING (term)) p
+              ON p.doc_id = l.doc_id GROUP BY l.doc_id""",
+        "unique_documents": """SELECT doc_id,
+            md5(CASE WHEN doc_id % 5 = 0 THEN least(text, 'A ' || text) ELSE text END) AS text_md5
+            FROM documents""",
     }

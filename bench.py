@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import termlode
-from termlode.plans.search import as_queries
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -67,7 +66,7 @@ def main() -> None:
 
     def build() -> None:
         root = f"{scratch}/index-{len(built)}"
-        built.append(termlode.write_index(corpus, root, termlode.suggest_shards(corpus)))
+        built.append(termlode.write_index(corpus, root))
 
     start = time.perf_counter()
     build()
@@ -75,17 +74,21 @@ def main() -> None:
     timed = {"index_build": best_of(build, 2)}
     index = built[-1]
     lazy = termlode.build_index(termlode.spread_few_splits(corpus.select("doc_id", "text")))
-    one = as_queries(spark, QUERY)
+    long_query = queries.orderBy("query_id").first()["query"]
     searches: dict[str, Callable[[], DataFrame]] = {
         "document_frequency": lambda: lazy.frequencies,
         "tfdf_postings": lambda: termlode.tfdf_postings(index),
         "bm25_single": lambda: termlode.bm25_search(index, QUERY, N),
         "tfdf_single": lambda: termlode.tfdf_search(index, QUERY, N),
-        "bm25_all_documents": lambda: termlode.score_all(index, termlode.bm25_scores(index, one)),
+        "bm25_all_documents": lambda: termlode.score_all(index, termlode.bm25_scores(index, QUERY)),
         "bm25_batch": lambda: termlode.bm25_search(index, queries, N),
         "tfdf_batch": lambda: termlode.tfdf_search(index, queries, N),
-        "search_with_metadata": lambda: termlode.with_metadata(
-            termlode.bm25_search(index, QUERY, N), corpus
+        "search_with_metadata": lambda: termlode.with_details(
+            index, termlode.bm25_search(index, QUERY, N)
+        ),
+        "bm25_long_query": lambda: termlode.bm25_search(index, long_query, N),
+        "bm25_batch_sliced": lambda: termlode.bm25_search(
+            index, queries, N, broadcast_bytes=100_000
         ),
     }
     for name, search in searches.items():

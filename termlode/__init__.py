@@ -6,9 +6,12 @@ from termlode.plans.index import (
     SearchIndex,
     build_index,
     load_index,
+    load_tfdf_index,
     suggest_shards,
+    tfdf_forward,
     tfdf_postings,
     write_index,
+    write_tfdf_index,
 )
 from termlode.plans.search import (
     bm25_scores,
@@ -17,6 +20,7 @@ from termlode.plans.search import (
     score_all,
     tfdf_scores,
     tfdf_search,
+    with_details,
     with_metadata,
 )
 from termlode.sources import (
@@ -25,8 +29,8 @@ from termlode.sources import (
     read_json_corpus,
     read_raw_corpus,
     spread_few_splits,
-    write_ranking,
 )
+from termlode.sources.ranking import read_ranking, write_ranking
 
 __all__ = [
     "SearchIndex",
@@ -39,18 +43,23 @@ __all__ = [
     "drop_duplicate_ids",
     "known_query_terms",
     "load_index",
+    "load_tfdf_index",
     "read_json_corpus",
+    "read_ranking",
     "read_raw_corpus",
     "score_all",
     "spread_few_splits",
     "suggest_shards",
     "term_counts",
+    "tfdf_forward",
     "tfdf_postings",
     "tfdf_scores",
     "tfdf_search",
     "tfdf_weight",
     "tokenize",
+    "with_details",
     "with_metadata",
     "write_index",
     "write_ranking",
+    "write_tfdf_index",
 ]

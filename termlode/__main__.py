@@ -1,11 +1,11 @@
 """The two batch jobs, for spark-submit or ``python -m termlode``.
 
     index CORPUS INDEX
-    search QUERY N CORPUS INDEX OUTPUT
+    search QUERY N INDEX OUTPUT
 
 CORPUS is a folder of JSON lines (id, url, title, text). INDEX and OUTPUT must not
 exist when they are written. A search writes the scores of all documents to OUTPUT
-and prints the best N with title and URL.
+and prints the best N as lines of rank, id, title, URL and score.
 """
 
 from __future__ import annotations
@@ -14,11 +14,9 @@ import argparse
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 import termlode
-from termlode.operators.topn import best, best_of_one, check_result_count
-from termlode.plans.search import as_queries
+from termlode.operators.topn import check_result_count
 
 
 def _location(path: str) -> str:
@@ -32,30 +30,22 @@ def _corpus(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def index(spark: SparkSession, args: argparse.Namespace) -> None:
-    corpus = _corpus(spark, args)
-    shards = args.shards or termlode.suggest_shards(corpus)
-    termlode.write_index(corpus, _location(args.index), shards)
+    termlode.write_index(_corpus(spark, args), _location(args.index), args.shards)
 
 
 def search(spark: SparkSession, args: argparse.Namespace) -> None:
     check_result_count(args.n)
     stored = termlode.load_index(spark, _location(args.index))
-    asked = as_queries(spark, args.query)
     if args.ranking == "bm25":
-        hits = termlode.bm25_scores(stored, asked, tf_scale=args.tf_scale)
+        hits = termlode.bm25_scores(stored, args.query, tf_scale=args.tf_scale)
     else:
-        hits = termlode.tfdf_scores(stored, asked)
+        hits = termlode.tfdf_scores(stored, args.query)
     output = _location(args.output)
     termlode.write_ranking(termlode.score_all(stored, hits), output)
 
-    ranking = spark.read.parquet(output).withColumn("query_id", F.lit(0))
-    top = best(best_of_one(ranking, args.n), args.n).drop("query_id")
-    found = termlode.with_metadata(top, _corpus(spark, args)).orderBy("rank")
-    for row in found.collect():
-        print(
-            f"Id: {row['doc_id']}    Title: {row['title']}"
-            f"    URL: {row['url']}   Score: {row['score']}"
-        )
+    top = termlode.read_ranking(spark, output, args.n)
+    for row in termlode.with_details(stored, top).orderBy("rank").collect():
+        print(*[row[c] for c in ("rank", "doc_id", "title", "url", "score")], sep="\t")
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -71,15 +61,13 @@ def main(arguments: list[str] | None = None) -> None:
     ask = jobs.add_parser("search", help="rank all documents for one query")
     ask.add_argument("query")
     ask.add_argument("n", type=int, help="number of results to print, 0 to 1000")
-    ask.add_argument("corpus")
     ask.add_argument("index")
     ask.add_argument("output")
     ask.add_argument("--ranking", choices=["bm25", "tfdf"], default="bm25")
     ask.add_argument("--tf-scale", type=float, default=1.0, help="factor on tf in BM25")
     ask.set_defaults(job=search)
 
-    for job in (build, ask):
-        job.add_argument("--raw", action="store_true", help="do not decode escapes in the text")
+    build.add_argument("--raw", action="store_true", help="do not decode escapes in the text")
 
     args = parser.parse_args(arguments)
     args.job(SparkSession.builder.appName("termlode").getOrCreate(), args)

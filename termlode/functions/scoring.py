@@ -15,10 +15,19 @@ def bm25_idf(df: Column, n_docs: Column) -> Column:
     return F.log((n_docs - df + 0.5) / (df + 0.5) + 1.0)
 
 
+def check_bm25(k1: float, b: float, tf_scale: float = 1.0) -> None:
+    """Outside of these bounds scores can be negative or without bound."""
+    if not k1 >= 0 or not 0 <= b <= 1 or not tf_scale > 0:
+        raise ValueError(
+            f"BM25 needs k1 >= 0, b from 0 to 1 and tf_scale > 0, not {k1!r}, {b!r}, {tf_scale!r}"
+        )
+
+
 def bm25_term_score(
     idf: Column, tf: Column, length: Column, avg_len: Column, k1: float = K1, b: float = B
 ) -> Column:
     """Score that one term adds to one document."""
+    check_bm25(k1, b)
     dampening = tf + k1 * (1.0 - b + b * length / avg_len)
     return idf * (tf * (k1 + 1.0)) / dampening
 

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_TERMS = 20_000
-# Parts into which join_lookup cuts each key.
-LOOKUP_PIECES = 32
 
 
 def is_hot(df: Column, n_postings: Column, hot_terms: int = HOT_TERMS) -> Column:
@@ -36,60 +34,3 @@ def attach_df(
     frequent = postings.join(F.broadcast(hot), "term")
     rest = postings.join(F.broadcast(hot.select("term")), "term", "left_anti")
     return frequent.unionByName(rest.join(cold, "term"))
-
-
-def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: str) -> DataFrame:
-    """Rows joined with a lookup table of unique keys, when one key may fill the rows.
-
-    The rows of a key are cut into pieces by another column; the lookup, one row
-    per key, is repeated once per piece.
-    """
-    cut = rows.withColumn("piece", F.pmod(F.xxhash64(spread), F.lit(LOOKUP_PIECES)))
-    pieces = F.sequence(F.lit(0).cast("long"), F.lit(LOOKUP_PIECES - 1).cast("long"))
-    repeated = lookup.withColumn("piece", F.explode(pieces))
-    return cut.join(repeated, [key, "piece"]).drop("piece")
-
-
-def join_salted(
-    postings: DataFrame, weights: DataFrame, n_postings: Column, hot_terms: int = HOT_TERMS
-) -> DataFrame:
-    """Postings joined with query weights (with their df) that are too many to broadcast.
-
-    A term may be frequent in the documents, in the queries, or in both. Its
-    postings are cut into pieces by document id and its weights by query id, each
-    piece about 1/HOT_TERMS of its side, and every piece of one side is sent to all
-    pieces of the other. The copies stay a small part of the rows the join gives:
-    HOT_TERMS over the number of weights or postings. The terms that are cut are
-    fewer than HOT_TERMS per side, so their list is broadcast.
-    """
-    per_term = weights.groupBy("term").agg(
-        F.count("*").alias("asked"), F.max("df").alias("df")
-    )
-    n_weights = per_term.agg(F.sum("asked").alias("n")).scalar()
-    cut = per_term.select(
-        "term",
-        _pieces(F.col("df"), n_postings, hot_terms).alias("doc_pieces"),
-        _pieces(F.col("asked"), n_weights, hot_terms).alias("query_pieces"),
-    ).where((F.col("doc_pieces") > 1) | (F.col("query_pieces") > 1))
-    left = _cut(postings, cut, ("doc_id", "doc"), "query")
-    right = _cut(weights, cut, ("query_id", "query"), "doc")
-    return left.join(right, ["term", "doc_piece", "query_piece"])
-
-
-def _pieces(rows: Column, total: Column, hot_terms: int) -> Column:
-    """Into how many pieces a term with so many of all rows is cut."""
-    return F.least(F.ceil(rows * hot_terms / total).cast("long"), rows)
-
-
-def _cut(rows: DataFrame, cut: DataFrame, own: tuple[str, str], other: str) -> DataFrame:
-    """Each row in one piece of its own side, repeated for all pieces of the other."""
-    id_col, side = own
-    one = F.lit(1).cast("long")
-    number = F.pmod(F.xxhash64(id_col), F.coalesce(f"{side}_pieces", one))
-    all_of_other = F.sequence(one - 1, F.coalesce(f"{other}_pieces", one) - 1)
-    return (
-        rows.join(F.broadcast(cut), "term", "left")
-        .withColumn(f"{side}_piece", number)
-        .withColumn(f"{other}_piece", F.explode(all_of_other))
-        .drop("doc_pieces", "query_pieces")
-    )

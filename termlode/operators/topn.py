@@ -59,3 +59,17 @@ def pad_with_zeros(
         .agg(F.max("score").alias("score"))
     )
     return best(scores, n)
+
+
+def pad_short_lists(
+    top_hits: DataFrame, query_ids: DataFrame, first_docs: DataFrame, n: int
+) -> DataFrame:
+    """Top n of many queries; only those with fewer than n hits are padded with zeros.
+
+    ``top_hits`` is read several times, so it should be settled.
+    """
+    counts = top_hits.groupBy("query_id").agg(F.count("*").alias("hits"))
+    short = query_ids.join(counts, "query_id", "left").where(F.coalesce("hits", F.lit(0)) < n)
+    short = short.select("query_id")
+    padded = pad_with_zeros(top_hits.join(short, "query_id", "left_semi"), short, first_docs, n)
+    return top_hits.join(short, "query_id", "left_anti").unionByName(padded)

@@ -12,10 +12,12 @@ from termlode.functions.scoring import tfdf_weight
 from termlode.operators import tables
 from termlode.operators.joins import attach_df
 from termlode.operators.topn import first_documents
+from termlode.sources.corpus import estimated_bytes
 
-SPLITS_PER_SHARD = 4
-# Spark's own limit on the buckets of a table, unless it is configured higher.
-MAX_SHARDS = 100_000
+# Bytes of input per shard.
+SHARD_BYTES = 512 << 20
+# The planner gives such sizes to what it knows nothing of.
+UNKNOWN_BYTES = 1 << 60
 
 
 @dataclass(frozen=True)
@@ -27,6 +29,7 @@ class SearchIndex:
     frequencies  term, df
     stats        n_docs, total_len, avg_len, n_postings; one row
     first_docs   doc_id; the smallest ids, for documents that rank with score zero
+    details      doc_id, title, url; what is shown of a result, sorted by id when stored
     """
 
     forward: DataFrame
@@ -34,6 +37,7 @@ class SearchIndex:
     frequencies: DataFrame
     stats: DataFrame
     first_docs: DataFrame
+    details: DataFrame
 
     @property
     def doc_lengths(self) -> DataFrame:
@@ -60,9 +64,18 @@ def build_index(corpus: DataFrame) -> SearchIndex:
         frequencies=frequencies,
         stats=tables.corpus_stats(lengths, frequencies),
         first_docs=first_documents(lengths),
+        details=_details(corpus),
     )
 
 
+def _details(corpus: DataFrame) -> DataFrame:
+    shown = [
+        F.col(c) if c in corpus.columns else F.lit(None).cast("string").alias(c)
+        for c in ("title", "url")
+    ]
+    return corpus.select("doc_id", *shown)
+
+
 def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> SearchIndex:
     """Build an index below a new folder and return it as load_index does.
 
@@ -75,18 +88,22 @@ def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> Sear
       shuffle;
     - the filter on the query's terms skips the pages of all other terms.
 
-    ``shards`` is the number of buckets, and of tasks per search. It defaults to
-    spark.sql.shuffle.partitions; suggest_shards gives one that follows the size
-    of the corpus. The statistics are written last: a folder without them is
-    unfinished.
+    ``shards`` is the number of buckets, and of tasks per search; by default it follows
+    the size of the corpus (suggest_shards). Ids that repeat are an error, found in the
+    buckets without a shuffle; drop_duplicate_ids removes them. The statistics are
+    written last: a folder without them is unfinished.
     """
     spark = corpus.sparkSession
     _check_location(root)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or suggest_shards(corpus)
 
     placed = corpus.select("doc_id", "text").repartition(shards, "doc_id")
     _write_bucketed(tables.forward_index(placed), root, "forward", shards, ["doc_id"])
     forward = _bucketed(spark, root, "forward", shards, ["doc_id"])
+    repeated = forward.groupBy("doc_id").count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"ids must be unique, and {repeated[0]['doc_id']!r} is not")
+    _details(corpus).sort("doc_id").write.mode("errorifexists").parquet(f"{root}/details")
 
     rows = tables.postings(forward)
     _write_bucketed(rows, root, "postings", shards, ["term", "doc_id"])
@@ -116,18 +133,25 @@ def load_index(spark: SparkSession, root: str) -> SearchIndex:
         frequencies=spark.read.parquet(f"{root}/frequencies"),
         stats=stats.drop("shards"),
         first_docs=spark.read.parquet(f"{root}/first_docs"),
+        details=spark.read.parquet(f"{root}/details"),
     )
 
 
 def suggest_shards(corpus: DataFrame) -> int:
-    """A number of shards for a corpus read straight from files.
+    """A number of shards that follows the size of a corpus, without running a job.
 
-    The number of splits grows with the size of the files. Four splits per shard
-    give about half a GB of compressed input, few enough tasks for a search and
-    small enough ones for the build; every core gets at least one shard.
+    The size is the planner's estimate, which for files is their bytes, split or not. One
+    shard takes half a GB: few enough tasks for a search, small enough ones for the build.
+    Every core gets at least one shard, and no table more buckets than Spark allows. A
+    corpus of unknown size gets as many as spark.sql.shuffle.partitions.
     """
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    return min(MAX_SHARDS, max(cores, corpus.rdd.getNumPartitions() // SPLITS_PER_SHARD))
+    spark = corpus.sparkSession
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    cores = spark.sparkContext.defaultParallelism
+    size = estimated_bytes(corpus)
+    if size >= UNKNOWN_BYTES:
+        return max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return min(most, max(cores, -(-size // SHARD_BYTES)))
 
 
 def tfdf_postings(index: SearchIndex) -> DataFrame:
@@ -137,6 +161,28 @@ def tfdf_postings(index: SearchIndex) -> DataFrame:
     return weighted.select("doc_id", "len", "term", weight)
 
 
+def tfdf_forward(index: SearchIndex) -> DataFrame:
+    """doc_id, len, weights (map of term to tf/df): every document, the empty ones too."""
+    pairs = F.collect_list(F.struct("term", "weight"))
+    weights = tfdf_postings(index).groupBy("doc_id").agg(F.map_from_entries(pairs).alias("weights"))
+    empty = F.create_map().cast("map<string,double>")
+    joined = index.doc_lengths.join(weights, "doc_id", "left")
+    return joined.select("doc_id", "len", F.coalesce("weights", empty).alias("weights"))
+
+
+def write_tfdf_index(index: SearchIndex, root: str) -> DataFrame:
+    """Store the forward index of the tf/df ranking in a new folder; returns it read back."""
+    _check_location(root)
+    tfdf_forward(index).write.mode("errorifexists").parquet(root)
+    return load_tfdf_index(index.stats.sparkSession, root)
+
+
+def load_tfdf_index(spark: SparkSession, root: str) -> DataFrame:
+    """A forward index of the tf/df ranking written before."""
+    _check_location(root)
+    return spark.read.parquet(root)
+
+
 def _check_location(root: str) -> None:
     if not (root.startswith("/") or ":/" in root):
         raise ValueError(f"an index needs an absolute path or a URI, not {root!r}")
@@ -170,12 +216,13 @@ def _bucketed(
     name = _table_name(root, part, shards)
     if not spark.catalog.tableExists(name):
         path = f"{root}/{part}"
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
         schema = spark.read.parquet(path).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet"
             f" CLUSTERED BY (doc_id) SORTED BY ({', '.join(order)}) INTO {shards} BUCKETS"
-            f" LOCATION '{path}'"
+            f" LOCATION '{quoted}'"
         )
     spark.catalog.refreshTable(name)
     return spark.table(name)

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termlode.plans.index import SearchIndex, build_index, suggest_shards, write_index
+from termlode.plans.index import SearchIndex, write_index
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -26,37 +26,34 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 
 def settle(frame: DataFrame) -> DataFrame:
-    """The frame as a checkpoint, for a result used twice; as it is without a folder."""
+    """The frame as a checkpoint, for what is used twice and must be the same each time."""
     spark = frame.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return frame
+    folder = _required_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return frame.checkpoint()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
+def _required_folder(spark: SparkSession) -> str:
     folder = shared_folder(spark)
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-    return f"{folder}/termlode-{name}-{uuid.uuid4().hex}"
+    return folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{_required_folder(spark)}/termlode-{name}-{uuid.uuid4().hex}"
 
 
 _prepared: dict[tuple[str, str], SearchIndex] = {}
 
 
 def prepared_index(corpus: DataFrame, name: str) -> SearchIndex:
-    """An index of a corpus straight from files, written once per session and name.
-
-    Without a shared folder the index stays a plan over the corpus.
-    """
+    """An index of a corpus straight from files, written once per session and name."""
     spark = corpus.sparkSession
-    if shared_folder(spark) is None:
-        return build_index(corpus)
     key = (spark.sparkContext.applicationId, name)
     if key not in _prepared:
         root = scratch_path(spark, "index")
-        _prepared[key] = write_index(corpus, root, suggest_shards(corpus))
+        _prepared[key] = write_index(corpus, root)
     return _prepared[key]

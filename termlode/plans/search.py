@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.functions import scoring
 from termlode.functions.text import count_terms
-from termlode.operators.joins import HOT_TERMS, join_lookup, join_salted
-from termlode.operators.topn import best, best_of_one, check_result_count, pad_with_zeros
+from termlode.operators.topn import (
+    best,
+    best_of_one,
+    check_result_count,
+    pad_short_lists,
+    pad_with_zeros,
+)
 from termlode.plans.index import SearchIndex
 from termlode.plans.scratch import settle
 
-# Query terms and top hits are broadcast up to this size, measured before.
+# Query terms are broadcast in slices of this size, and top hits up to it, measured before.
 BROADCAST_BYTES = 64 << 20
 # Bytes that a broadcast row takes beside its term and id.
 ROW_BYTES = 64
@@ -31,31 +38,51 @@ def as_queries(spark: SparkSession, query: str) -> DataFrame:
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """query_id, term, qtf, for queries of query_id (unique) and query."""
-    counted = count_terms(queries, "query_id", "query")
-    terms = counted.select("query_id", F.inline_outer("terms").alias("term", "qtf"))
-    return terms.where(F.col("term").isNotNull())
+    return _terms_of(count_terms(queries, "query_id", "query"))
 
 
 @dataclass(frozen=True)
-class _Scope:
-    """What was measured of the query terms before planning."""
+class _Asked:
+    """Queries after tokenizing, the same in every use: query_id, terms (term, qtf)."""
+
+    queries: DataFrame
+    slices: list[DataFrame]
+    known: list[str] | None
 
-    broadcastable: bool
-    terms: list[str] | None
+    @property
+    def ids(self) -> DataFrame:
+        return self.queries.select("query_id")
 
 
-def _measure(terms: DataFrame, broadcast_bytes: int) -> _Scope:
-    """Whether the query terms can be broadcast, and the terms themselves if few.
+def _ask(queries: DataFrame | str, spark: SparkSession, broadcast_bytes: int) -> _Asked:
+    """Tokenizes the queries once, and cuts their terms into slices that can be broadcast.
 
-    Runs a small job over the query texts, and over nothing else.
+    A frame of queries is settled first: it may give other rows when it is read again, and
+    everything below must speak of the same queries. Measuring runs a small job over the
+    terms, and over nothing else. Few terms are collected, for the scan filters.
     """
+    if isinstance(queries, str):
+        counted = count_terms(as_queries(spark, queries), "query_id", "query")
+    else:
+        counted = settle(count_terms(queries, "query_id", "query"))
+    terms = _terms_of(counted)
     sized = terms.select("term", _row_bytes("term", "query_id").alias("bytes"))
     head = sized.limit(FILTER_TERMS + 1).collect()
-    if len(head) <= FILTER_TERMS:
-        size = sum(row["bytes"] for row in head)
-        return _Scope(size <= broadcast_bytes, sorted({row["term"] for row in head}))
-    size = sized.agg(F.sum("bytes")).first()[0]
-    return _Scope(size <= broadcast_bytes, None)
+    few = len(head) <= FILTER_TERMS
+    known = sorted({row["term"] for row in head}) if few else None
+    size = sum(row["bytes"] for row in head) if few else sized.agg(F.sum("bytes")).first()[0]
+    number = max(1, -(-size // max(1, broadcast_bytes)))
+    if number == 1:
+        return _Asked(counted, [terms], known)
+    # A slice has at least one query.
+    number = min(number, counted.count())
+    place = F.pmod(F.xxhash64("query_id"), F.lit(number))
+    return _Asked(counted, [terms.where(place == i) for i in range(number)], known)
+
+
+def _terms_of(counted: DataFrame) -> DataFrame:
+    terms = counted.select("query_id", F.inline_outer("terms").alias("term", "qtf"))
+    return terms.where(F.col("term").isNotNull())
 
 
 def _row_bytes(*columns: str) -> Column:
@@ -67,46 +94,47 @@ def _row_bytes(*columns: str) -> Column:
 
 
 def known_query_terms(
-    index: SearchIndex, queries: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    index: SearchIndex, queries: DataFrame | str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """query_id, term, qtf, df; terms that no document contains are left out."""
-    terms = query_terms(queries)
-    return _with_df(index, terms, _measure(terms, broadcast_bytes))
+    asked = _ask(queries, index.stats.sparkSession, broadcast_bytes)
+    return _all([_with_df(index, terms, asked.known) for terms in asked.slices])
 
 
-def _narrow(frame: DataFrame, scope: _Scope) -> DataFrame:
-    return frame if scope.terms is None else frame.where(F.col("term").isin(scope.terms))
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def _with_df(index: SearchIndex, terms: DataFrame, scope: _Scope) -> DataFrame:
-    frequencies = _narrow(index.frequencies, scope)
-    if scope.broadcastable:
-        joined = frequencies.join(F.broadcast(terms), "term")
-    else:
-        asked = frequencies.join(terms.select("term").distinct(), "term")
-        joined = join_lookup(terms, asked, "term", "query_id")
+def _narrow(frame: DataFrame, known: list[str] | None) -> DataFrame:
+    """Only rows with these terms, as a chain of equalities.
+
+    A list of more than ten values would reach the scan as its minimum and maximum.
+    """
+    if known is None:
+        return frame
+    return frame.where(reduce(or_, [F.col("term") == t for t in known], F.lit(False)))
+
+
+def _with_df(index: SearchIndex, terms: DataFrame, known: list[str] | None) -> DataFrame:
+    joined = _narrow(index.frequencies, known).join(F.broadcast(terms), "term")
     return joined.select("query_id", "term", "qtf", "df")
 
 
-def _scores(
-    index: SearchIndex,
-    queries: DataFrame,
-    weight: Column,
-    contribution: Column,
-    broadcast_bytes: int,
-    hot_terms: int = HOT_TERMS,
-) -> DataFrame:
-    """query_id, doc_id, score of all documents with at least one query term."""
-    terms = query_terms(queries)
-    scope = _measure(terms, broadcast_bytes)
-    weights = _with_df(index, terms, scope).select("query_id", "term", "df", weight.alias("weight"))
-    rows = _narrow(index.postings, scope)
-    if scope.broadcastable:
-        matched = rows.join(F.broadcast(weights.drop("df")), "term")
-    else:
-        matched = join_salted(rows, settle(weights), index.stat("n_postings"), hot_terms)
-    added = matched.select("query_id", "doc_id", contribution.alias("part"))
-    return added.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
+def _scores(index: SearchIndex, asked: _Asked, weight: Column, contribution: Column) -> DataFrame:
+    """query_id, doc_id, score of all documents with at least one query term.
+
+    One pass over the postings for each slice of the queries. The weights of a slice go to
+    every task, so that no posting moves: the scores of a document add up in its bucket.
+    """
+    rows = _narrow(index.postings, asked.known)
+    parts = []
+    for terms in asked.slices:
+        weights = _with_df(index, terms, asked.known)
+        weights = weights.select("query_id", "term", weight.alias("weight"))
+        matched = rows.join(F.broadcast(weights), "term")
+        added = matched.select("query_id", "doc_id", contribution.alias("part"))
+        parts.append(added.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score")))
+    return _all(parts)
 
 
 def _search(
@@ -114,28 +142,48 @@ def _search(
     queries: DataFrame | str,
     n: int,
     include_zero: bool,
-    scores: Callable[[DataFrame], DataFrame],
+    broadcast_bytes: int,
+    scores: Callable[[_Asked], DataFrame],
 ) -> DataFrame:
     check_result_count(n)
-    single = isinstance(queries, str)
-    asked = as_queries(index.stats.sparkSession, queries) if single else queries
+    asked = _ask(queries, index.stats.sparkSession, broadcast_bytes)
     hits = scores(asked)
-    top = best_of_one(hits, n) if single else best(hits, n)
-    if include_zero:
-        result = pad_with_zeros(top, asked, index.first_docs, n)
-    else:
-        result = best(top, n) if single else top
-    return result.drop("query_id") if single else result
+    if isinstance(queries, str):
+        top = best_of_one(hits, n)
+        if include_zero:
+            return pad_with_zeros(top, asked.ids, index.first_docs, n).drop("query_id")
+        return best(top, n).drop("query_id")
+    top = best(hits, n)
+    if not include_zero:
+        return top
+    return pad_short_lists(settle(top), asked.ids, index.first_docs, n)
+
+
+def _bm25(
+    index: SearchIndex, asked: _Asked, k1: float, b: float, tf_scale: float
+) -> DataFrame:
+    scoring.check_bm25(k1, b, tf_scale)
+    weight = scoring.bm25_idf(F.col("df"), index.stat("n_docs"))
+    part = scoring.bm25_term_score(
+        F.col("weight"), F.col("tf") * tf_scale, F.col("len"), index.stat("avg_len"), k1, b
+    )
+    return _scores(index, asked, weight, part)
+
+
+def _tfdf(index: SearchIndex, asked: _Asked) -> DataFrame:
+    df = F.col("df")
+    weight = F.struct(scoring.tfdf_weight(F.col("qtf"), df).alias("query"), df.alias("df"))
+    part = F.col("weight.query") * scoring.tfdf_weight(F.col("tf"), F.col("weight.df"))
+    return _scores(index, asked, weight, part)
 
 
 def bm25_scores(
     index: SearchIndex,
-    queries: DataFrame,
+    queries: DataFrame | str,
     k1: float = scoring.K1,
     b: float = scoring.B,
     tf_scale: float = 1.0,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_terms: int = HOT_TERMS,
 ) -> DataFrame:
     """query_id, doc_id, BM25 score, without the documents that score zero.
 
@@ -143,28 +191,19 @@ def bm25_scores(
     frequency; 10 gives the scores of an index whose frequencies were stored with
     one decimal and read back without the point.
     """
-    weight = scoring.bm25_idf(F.col("df"), index.stat("n_docs"))
-    part = scoring.bm25_term_score(
-        F.col("weight"), F.col("tf") * tf_scale, F.col("len"), index.stat("avg_len"), k1, b
-    )
-    return _scores(index, queries, weight, part, broadcast_bytes, hot_terms)
+    asked = _ask(queries, index.stats.sparkSession, broadcast_bytes)
+    return _bm25(index, asked, k1, b, tf_scale)
 
 
 def tfdf_scores(
-    index: SearchIndex,
-    queries: DataFrame,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_terms: int = HOT_TERMS,
+    index: SearchIndex, queries: DataFrame | str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """query_id, doc_id, dot product of qtf/df and tf/df, without zero scores.
 
     The query side carries the df of its terms, so the document weights are
     computed here for the matching postings alone.
     """
-    df = F.col("df")
-    weight = F.struct(scoring.tfdf_weight(F.col("qtf"), df).alias("query"), df.alias("df"))
-    part = F.col("weight.query") * scoring.tfdf_weight(F.col("tf"), F.col("weight.df"))
-    return _scores(index, queries, weight, part, broadcast_bytes, hot_terms)
+    return _tfdf(index, _ask(queries, index.stats.sparkSession, broadcast_bytes))
 
 
 def bm25_search(
@@ -181,15 +220,15 @@ def bm25_search(
 
     ``queries`` is one text, or a frame of query_id (unique) and query; n is 0 to
     1000. Documents without any query term score zero and fill up short results,
-    by id, unless ``include_zero`` is false. Up to ``broadcast_bytes`` of query
-    terms go to every task, and no posting moves; beyond that, the weights of the
-    terms are settled first, and postings and weights are shuffled.
+    by id, unless ``include_zero`` is false. A frame is read once. Its terms go to
+    every task in slices of ``broadcast_bytes``, with a pass over the postings each;
+    no posting moves.
     """
 
-    def scores(asked: DataFrame) -> DataFrame:
-        return bm25_scores(index, asked, k1, b, tf_scale, broadcast_bytes)
+    def scores(asked: _Asked) -> DataFrame:
+        return _bm25(index, asked, k1, b, tf_scale)
 
-    return _search(index, queries, n, include_zero, scores)
+    return _search(index, queries, n, include_zero, broadcast_bytes, scores)
 
 
 def tfdf_search(
@@ -201,10 +240,10 @@ def tfdf_search(
 ) -> DataFrame:
     """The n best documents by the tf/df dot product; see bm25_search."""
 
-    def scores(asked: DataFrame) -> DataFrame:
-        return tfdf_scores(index, asked, broadcast_bytes)
+    def scores(asked: _Asked) -> DataFrame:
+        return _tfdf(index, asked)
 
-    return _search(index, queries, n, include_zero, scores)
+    return _search(index, queries, n, include_zero, broadcast_bytes, scores)
 
 
 def score_all(index: SearchIndex, hits: DataFrame) -> DataFrame:
@@ -233,3 +272,20 @@ def with_metadata(
         ids = results.select("doc_id").distinct()
         details = details.join(F.broadcast(ids), "doc_id", "left_semi")
     return results.join(details, "doc_id", "left")
+
+
+def with_details(
+    index: SearchIndex, results: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Search results with the title and url that the index keeps; the corpus is not read.
+
+    The details are sorted by id. A few ids are pushed into their scan as equalities, so
+    that it opens the pages with these ids alone.
+    """
+    results = settle(results)
+    details = index.details
+    ids = results.select("doc_id").distinct().limit(FILTER_TERMS + 1).collect()
+    if len(ids) > FILTER_TERMS:
+        return with_metadata(results, details, broadcast_bytes)
+    chosen = reduce(or_, [F.col("doc_id") == row["doc_id"] for row in ids], F.lit(False))
+    return results.join(F.broadcast(details.where(chosen)), "doc_id", "left")

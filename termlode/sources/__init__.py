@@ -1,4 +1,4 @@
-"""Reading a corpus and writing a ranking."""
+"""Reading a corpus; the ranking sink is in ranking.py."""
 
 from termlode.sources.corpus import (
     as_corpus,
@@ -7,7 +7,6 @@ from termlode.sources.corpus import (
     read_raw_corpus,
     spread_few_splits,
 )
-from termlode.sources.ranking import write_ranking
 
 __all__ = [
     "as_corpus",
@@ -15,5 +14,4 @@ __all__ = [
     "read_json_corpus",
     "read_raw_corpus",
     "spread_few_splits",
-    "write_ranking",
 ]

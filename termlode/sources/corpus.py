@@ -68,23 +68,35 @@ def spread_few_splits(corpus: DataFrame) -> DataFrame:
     tokenizing costs more than moving the text. A corpus in enough splits is left
     where it is, without a shuffle.
     """
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    if corpus.rdd.getNumPartitions() >= cores:
+    spark = corpus.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    if estimated_bytes(corpus) >= cores * split:
         return corpus
     return corpus.repartition(cores, "doc_id")
 
 
+def estimated_bytes(frame: DataFrame) -> int:
+    """The planner's estimate of a frame's size; no job runs."""
+    size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))
+
+
 def drop_duplicate_ids(corpus: DataFrame) -> DataFrame:
     """One row per id, the smallest by text, so that reruns keep the same row.
 
-    An index needs unique ids; this is for a corpus that may repeat them. The
-    minimum is taken in each task before the shuffle, so an id that holds a large
-    part of the corpus arrives as one row per task.
+    An index needs unique ids; this is for a corpus that may repeat them. Repeated ids
+    are found from the ids alone, and only their rows go through the minimum, which is
+    taken in each task first. All other rows pass as they are.
     """
     rest = [name for name in corpus.columns if name not in ("doc_id", "text")]
+    columns = ["doc_id", "text", *rest]
+    counts = corpus.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    repeated = counts.where("rows > 1").select("doc_id").hint("shuffle_hash")
     row = F.struct("text", *rest)
-    return (
-        corpus.groupBy("doc_id")
-        .agg(F.min(row).alias("row"))
-        .select("doc_id", *[F.col(f"row.{name}").alias(name) for name in ["text", *rest]])
-    )
+    least = corpus.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
+    chosen = least.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in columns[1:]])
+    once = corpus.join(repeated, "doc_id", "left_anti").select(*columns)
+    return once.unionByName(chosen)

@@ -100,6 +100,35 @@ def test_duplicate_ids_keep_one_row(make_corpus):
     assert kept.columns == ["doc_id", "text", "title", "url"]
 
 
+def test_repeated_ids_are_refused(make_corpus, tmp_path):
+    with pytest.raises(ValueError, match="unique"):
+        termlode.write_index(make_corpus([(1, "a"), (1, "b"), (2, "c")]), str(tmp_path / "i"), 2)
+
+
+def test_a_quote_in_the_path(spark, make_corpus, tmp_path):
+    root = str(tmp_path / "reader's index")
+    termlode.write_index(make_corpus(HAND), root, shards=2)
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("termlode_")]:
+        spark.sql(f"DROP TABLE {name}")
+    assert termlode.load_index(spark, root).forward.count() == len(HAND)
+
+
+def test_shards_follow_the_size_without_a_job(spark, make_corpus, tmp_path):
+    path = str(tmp_path / "big")
+    spark.range(2000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text")).write.parquet(path)
+    corpus = termlode.as_corpus(spark.read.parquet(path), "doc_id", "text")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    cores = spark.sparkContext.defaultParallelism
+    assert termlode.suggest_shards(termlode.drop_duplicate_ids(corpus)) >= cores
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_tfdf_index_is_stored_with_empty_documents(spark, hand_index, tmp_path):
+    forward = termlode.write_tfdf_index(hand_index, str(tmp_path / "tfdf"))
+    found = {r["doc_id"]: (r["len"], r["weights"]) for r in forward.collect()}
+    assert found[3] == (0, {}) and found[1] == (4, {"red": 2.0, "apple": 0.5, "pear": 1.0})
+
+
 def weights(docs):
     counts, df = brute._tables(docs)
     return {(d, t): tf / df[t] for d, count in counts.items() for t, tf in count.items()}

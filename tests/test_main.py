@@ -24,16 +24,16 @@ def test_index_and_search(spark, corpus, tmp_path, capsys, raw):
     root = str(tmp_path / "index")
     main(["index", corpus, root, "--shards", "2", *raw])
     query = "red red apple zebra"
-    main(["search", query, "3", corpus, root, str(tmp_path / "bm25"), *raw])
+    main(["search", query, "3", root, str(tmp_path / "bm25")])
     lines = capsys.readouterr().out.splitlines()
-    assert [line.split()[1] for line in lines] == ["1", "2", "3"]
-    assert lines[0].startswith("Id: 1    Title: Fruit    URL: u1   Score: 1.897")
-    assert lines[2].endswith("Score: 0.0")
+    assert [line.split("\t")[1] for line in lines] == ["1", "2", "3"]
+    assert lines[0].startswith("1\t1\tFruit\tu1\t1.897")
+    assert lines[2].endswith("\t0.0")
     assert spark.read.parquet(str(tmp_path / "bm25")).count() == 4
 
-    main(["search", query, "1", corpus, root, str(tmp_path / "dot"), "--ranking", "tfdf", *raw])
-    assert capsys.readouterr().out.endswith("Score: 4.25\n")
+    main(["search", query, "1", root, str(tmp_path / "dot"), "--ranking", "tfdf"])
+    assert capsys.readouterr().out.endswith("\t4.25\n")
     with pytest.raises(ValueError):
-        main(["search", query, "1001", corpus, root, str(tmp_path / "no"), *raw])
+        main(["search", query, "1001", root, str(tmp_path / "no")])
     with pytest.raises(Exception, match="(?i)exists"):
-        main(["search", query, "1", corpus, root, str(tmp_path / "bm25"), *raw])
+        main(["search", query, "1", root, str(tmp_path / "bm25")])

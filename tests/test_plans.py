@@ -27,7 +27,32 @@ def test_scoring_a_stored_index_moves_no_postings(spark, stored, no_small_tables
     text = plan(termlode.bm25_scores(stored[1], as_queries(spark, "red apple")))
     assert "Exchange hashpartitioning" not in text
     assert "SortMergeJoin" not in text
-    assert "In(term, [apple,red])" in text
+    assert "Or(EqualTo(term,apple),EqualTo(term,red))" in text
+
+
+def test_many_terms_reach_the_scan_as_equalities(spark, stored):
+    words = " ".join(f"word{c}" for c in "abcdefghijklmnop")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    text = plan(termlode.bm25_scores(stored[1], words))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(term,wordp)" in text and "In(term" not in text
+
+
+def test_large_batches_move_no_hits(spark, stored, no_small_tables):
+    queries = spark.createDataFrame([(i, "red apple tree") for i in range(9)], "query_id long, query string")
+    text = plan(termlode.bm25_scores(stored[1], queries, broadcast_bytes=500))
+    assert "Union" in text and "Exchange hashpartitioning" not in text
+
+
+def test_details_are_found_by_id(stored):
+    hits = termlode.bm25_search(stored[1], "red", 2)
+    assert "EqualTo(doc_id,1)" in plan(termlode.with_details(stored[1], hits))
+
+
+def test_unique_ids_pass_without_sorting(spark, make_corpus):
+    text = plan(termlode.drop_duplicate_ids(make_corpus([(1, "a"), (2, "b")])))
+    once, repeated = text[: text.index("SortAggregate")], text[text.index("SortAggregate") :]
+    assert "LeftAnti" in once and "LeftSemi" in repeated
 
 
 def test_scores_of_all_documents_move_no_rows(spark, stored, no_small_tables):

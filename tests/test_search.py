@@ -123,8 +123,8 @@ def test_single_and_batch_agree(spark, make_corpus):
     same(results(batch), expected)
 
 
-@pytest.mark.parametrize("hot_terms", [1, 2, 10, 20_000])
-def test_queries_too_large_to_broadcast(spark, make_corpus, hot_terms):
+@pytest.mark.parametrize("broadcast_bytes", [3000, 10_000])
+def test_queries_too_large_to_broadcast(spark, make_corpus, broadcast_bytes):
     docs = random_docs(4, 80)
     index = termlode.build_index(make_corpus(docs))
     texts = [(i, " ".join(random.Random(i).choices(WORDS, k=3)) + " the zebra") for i in range(50)]
@@ -133,7 +133,7 @@ def test_queries_too_large_to_broadcast(spark, make_corpus, hot_terms):
         (termlode.bm25_scores, brute.bm25),
         (termlode.tfdf_scores, brute.tfdf),
     ):
-        large = scores(index, queries, broadcast_bytes=0, hot_terms=hot_terms).collect()
+        large = scores(index, queries, broadcast_bytes=broadcast_bytes).collect()
         found = {(row["query_id"], row["doc_id"]): row["score"] for row in large}
         assert len(found) == len(large)
         expected = {
@@ -157,6 +157,31 @@ def test_large_batch_is_filled_up_too(spark, make_corpus, tmp_path):
     same(results(found, "query_id"), expected)
 
 
+@pytest.mark.parametrize("count", [8, 150])
+def test_queries_are_read_once(spark, make_corpus, count):
+    index = termlode.build_index(make_corpus([(i, w) for i, w in enumerate(WORDS * 3)]))
+    read = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    words = F.array(*[F.lit(w) for w in WORDS])
+    drawn = F.element_at(words, (1 + F.rand() * len(WORDS)).cast("int"))
+    queries = spark.range(count).select(F.col("id").alias("query_id"), drawn.alias("query"))
+    queries = queries.mapInArrow(note, queries.schema)
+    found = termlode.bm25_search(index, queries, 3, include_zero=False)
+    assert found.select("query_id").distinct().count() == count
+    assert read.value == count
+
+
+def test_bm25_parameters_are_checked(index):
+    for wrong in ({"k1": -1.0}, {"b": 3.0}, {"b": -0.1}, {"tf_scale": 0.0}):
+        with pytest.raises(ValueError, match="BM25"):
+            termlode.bm25_search(index, "red", 3, **wrong)
+
+
 def test_bm25_grows_with_tf(make_corpus):
     docs = [(tf, " ".join(["red"] * tf + ["x"] * (20 - tf))) for tf in range(1, 20)]
     found = results(termlode.bm25_search(termlode.build_index(make_corpus(docs)), "red", 19))
@@ -193,7 +218,10 @@ def test_ranking_sink(spark, hand_index, tmp_path):
     scores = termlode.score_all(hand_index, hits)
     path = str(tmp_path / "ranking")
     termlode.write_ranking(scores, path)
+    found = termlode.read_ranking(spark, path, 3).orderBy("rank").collect()
+    assert [(r["rank"], r["doc_id"]) for r in found] == [(1, 1), (2, 2), (3, 3)]
     kept = spark.read.parquet(path)
+    assert [r["doc_id"] for r in kept.orderBy("position").collect()] == [1, 2, 3, 4]
     assert {r["doc_id"] for r in kept.collect()} == {1, 2, 3, 4}
     parts = kept.withColumn("file", F.input_file_name()).collect()
     ordered = sorted(parts, key=lambda r: (r["file"].rsplit("/", 1)[-1], -r["score"], r["doc_id"]))
