@@ -102,8 +102,8 @@ def canonical(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
     A word is a run of letters and digits (any byte beyond ASCII is a letter), with single
     points and commas between digits. It is a number if it starts with a digit, a unit if
-    it is one and follows a number, and a name if it starts with one capital and no
-    sentence starts before it.
+    it is one and follows a number, and a name if it starts with one capital, is
+    longer than it, and no sentence starts before it.
     """
     none = np.zeros(0, np.int64)
     if not len(text):
@@ -133,7 +133,7 @@ def canonical(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     second = np.minimum(starts + width, len(text) - 1)
     shout = capital[second] & (starts + width < ends)
     number = digit[starts]
-    name = capital[starts] & ~shout & ~new
+    name = capital[starts] & ~shout & ~new & (starts + width < ends)
     unit = np.zeros(len(starts), bool)
     unit[1:] = number[:-1] & np.isin(value[1:], _UNIT_HASHES)
     code = value.copy()

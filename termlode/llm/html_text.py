@@ -52,7 +52,7 @@ _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _STATE_NAMES = ("has-", "has_", "with-", "with_", "no-", "no_", "is-", "is_", "show-", "show_")
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
+    r"<!---?>|<!--.*?(?:-->|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
@@ -192,6 +192,8 @@ _PLAIN = """
   1 1    2 1    1 1   0  0
   3 1    2 1    4 1   0  0
   2 1   50 0    3 1   0  0
+  1 1    0 0   60 0   0  0
+  4 1    0 0   25 0   0  0
  12 0.9 40 0   10 0.9 0  0
  30 0.8  9 1   25 0.7 0  0
   4 0    2 1    3 1   0  0

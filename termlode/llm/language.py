@@ -35,7 +35,8 @@ BUCKETS = 1 << 16
 TEXT_WEIGHT, SMOOTHING = 100.0, 5.0
 
 _RAW = re.compile(r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
-_TAG = re.compile(r"<[^>]*(?:>|\Z)|&[#\w]+;?|[\d\W_]+")
+_TAG = re.compile(r"<[^>]*(?:>|\Z)|&[#\w]+;?")
+_NO_LETTER = re.compile(r"[\d\W_]+")
 _DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-zA-Z]{2,3})\b", re.I)
 _META = re.compile(
     r"<meta\b[^>]*content-language[^>]*content\s*=\s*[\"']?\s*([a-zA-Z]{2,3})\b", re.I
@@ -45,7 +46,7 @@ _HOST = re.compile(r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)")
 
 def page_words(page: str) -> str:
     """The letters of a page's text, lower case, with one space between words."""
-    return _TAG.sub(" ", _RAW.sub(" ", page)).lower()
+    return _NO_LETTER.sub(" ", _TAG.sub(" ", _RAW.sub(" ", page))).lower()
 
 
 def trigram_rows(text: str) -> np.ndarray:
