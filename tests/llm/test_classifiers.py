@@ -85,9 +85,12 @@ def test_toxicity_is_learnt(labelled, hard_documents, hard_texts, no_documents,
     documents, labels = labelled
     scores = toxicity_scores(documents, labels)
     assert accuracy(scores, labels, "toxic") > 0.9
+    scored = toxicity_scores(hard_documents, labels)
+    assert scored.count() == len(hard_texts)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in scored.collect())
     kept = without_toxic(hard_documents, labels)
     assert kept.columns == hard_documents.columns
-    assert kept.count() == len(hard_texts)
+    assert kept.count() == scored.where("predicted = 0").count()
     assert without_toxic(no_documents, labels).count() == 0
     unlearnt = toxicity_scores(hard_documents, labels.where("false")).collect()
     assert {r["score"] for r in unlearnt} == {0.5}
