@@ -17,6 +17,8 @@ from termlode.plans.scratch import scratch_path
 # Texts are handled in pieces of about so many bytes, which bounds a task's arrays.
 SLICE_BYTES = 1 << 20
 BATCH_BYTES = 8 << 20
+# Rows of a few numbers each up to which a side of a join is broadcast.
+BROADCAST_ROWS = 500_000
 # Labels are learnt from rows whose crc32(doc_id as text) mod 3 is not 1.
 FOLDS, HELD_OUT_FOLD = 3, 1
 
@@ -39,7 +41,21 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    written = spark.read.schema(frame.schema).parquet(path)
+    written.scratch_path = path
+    return written
+
+
+def discard(written: DataFrame) -> None:
+    """Deletes a stored frame of which nothing more is read."""
+    spark = written.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(written.scratch_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored frame of a few numbers a row, broadcast if it has at most so many rows."""
+    return F.broadcast(frame) if frame.count() <= rows else frame
 
 
 def text_slices(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.llm.common import stored, to_tasks
+from termlode.llm.common import broadcast_if_small, stored, to_tasks
 
 WINDOW, LEAST_WINDOW = 10, 5
 # Share of a window that must be words, not slots; share of an item's windows in a leak.
@@ -329,8 +329,7 @@ def without_leaks(
     documents: DataFrame, benchmark: DataFrame, leak_share: float = LEAK_SHARE
 ) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    leaked = leaks(documents, benchmark, leak_share).select(
-        F.col("doc_id").alias("leaked_id")
-    ).distinct()
+    ids = leaks(documents, benchmark, leak_share).select(F.col("doc_id").alias("leaked_id"))
+    leaked = broadcast_if_small(stored(ids.distinct(), "leaked-ids"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("leaked_id"))
     return documents.join(leaked, same, "left_anti")

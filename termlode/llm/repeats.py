@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from termlode.llm.common import stored, to_tasks
+from termlode.llm.common import discard, stored, to_tasks
 from termlode.llm.suffix_sort import sort_suffixes
 
 LENGTH = 400
@@ -346,6 +346,7 @@ def repeated_windows(
     texts = documents.select(*_doc_key(), F.encode("text", "UTF-8").alias("text"))
     found = stored(to_tasks(texts, _find_anchors(length, anchor), _ANCHORS), "anchors")
     shared = stored(_shared(found), "shared-anchors")
+    discard(found)
     span = ["doc", "print", "first", "last"]
     equal = shared.where(~F.col("mixed")).select(*span)
 
@@ -369,6 +370,7 @@ def repeated_windows(
     )
     cells = stored(to_tasks(contexts, _cut_cells(length, cell), _CELLS), "cells")
     met = stored(_shared(cells), "shared-cells")
+    discard(cells)
     low_high = F.collect_list(F.struct("low", "high")).alias("cells")
     open_cells = met.where("mixed").groupBy("context").agg(low_high)
     classes = stored(

@@ -25,7 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from termlode.llm.common import appended, fresh_name, stored, text_slices, to_tasks
+from termlode.llm.common import (
+    appended,
+    broadcast_if_small,
+    fresh_name,
+    stored,
+    text_slices,
+    to_tasks,
+)
 from termlode.llm.components import components
 
 BITS = 64
@@ -136,6 +143,8 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
     spark = prints.sparkSession
     bucket = ["mask", "kept"]
     kept = F.col("print").bitwiseAND(F.col("mask")).alias("kept")
+    # A few small files become many rows: spread them first.
+    prints = prints.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "print")
     masks = F.explode(F.array(*[F.lit(m).cast("long") for m in covering_masks(radius)]))
     table = prints.select("print", masks.alias("mask")).select("mask", kept, "print")
     found = []
@@ -147,10 +156,12 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
         near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
         found.append(sizes.where((F.col("n") == 2) & near).select("a", "b"))
         larger = sizes.where((F.col("n") > 2) & (F.col("n") <= bucket_rows)).select(*bucket)
-        members = table.join(larger, bucket).groupBy(*bucket)
+        members = table.join(broadcast_if_small(larger), bucket).groupBy(*bucket)
         lists = members.agg(F.collect_list("print").alias("prints")).select("prints")
         found.append(to_tasks(lists, _link(radius), "a long, b long"))
 
+        if not sizes.where(F.col("n") > bucket_rows).head(1):
+            return reduce(DataFrame.union, found)
         # With no more hidden positions than the radius, all of a bucket are linked.
         hot, narrow = sizes.where(F.col("n") > bucket_rows), F.bit_count("mask") >= BITS - radius
         star = table.join(hot.where(narrow).select(*bucket, "a"), bucket)
@@ -175,10 +186,11 @@ def near_duplicates(
     radius: int = RADIUS,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """doc_id, print, component_id for every document (doc_id, text).
+    """doc_id, print, component_id, root for every document (doc_id, text).
 
     Documents are linked if their fingerprints differ in at most ``radius`` bits;
-    component_id is the smallest id reachable over links. A null text is an empty one,
+    component_id is the smallest id reachable over links, and root one fingerprint for each
+    component. A null text is an empty one,
     with fingerprint zero. Repeated rows give a row each; a null id is never the smallest,
     unless a component has no other. Further columns are ignored.
     """
@@ -189,8 +201,8 @@ def near_duplicates(
         "print", "first", F.coalesce("root", "print").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("print", "component_id")
-    return rows.join(classes, "print").select("doc_id", "print", "component_id")
+    classes = rooted.join(smallest, "root").select("print", "component_id", "root")
+    return rows.join(classes, "print").select("doc_id", "print", "component_id", "root")
 
 
 def one_of_each(
@@ -222,7 +234,7 @@ def one_of_each(
         )
 
     printed = appended(several, name, LongType(), compute)
-    firsts = first.groupBy("component_id").agg(F.min(F.struct("doc_id", "print")).alias("of"))
+    firsts = first.groupBy("root").agg(F.min(F.struct("doc_id", "print")).alias("of"))
     firsts = firsts.select(F.col("of.doc_id").alias("kept_id"), F.col("of.print").alias("kept_print"))
     chosen = printed.join(firsts, same & (F.col(name) == F.col("kept_print")), "left_semi")
     return kept.unionByName(chosen.dropDuplicates(["doc_id", name]).drop(name))
