@@ -1,5 +1,5 @@
-import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -10,11 +10,15 @@ from termlode.llm.packing import Schedule, pack, token_ids, vocabulary_path
 public = pytest.importorskip("public_tokenizers")
 
 
-def plain_ids(text):
+@lru_cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+
+
+def plain_ids(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def check(pieces, texts, window):
@@ -100,4 +104,3 @@ def test_the_fast_coder_agrees_with_the_tokenizer():
         assert token_ids(text, vocabulary, ranks) == plain_ids(text)
     for text in ("a <|endoftext|> b", "漢字 и é", ""):
         assert token_ids(text, vocabulary, ranks) == plain_ids(text)
-    assert zlib.crc32(b"") == 0
