@@ -80,7 +80,10 @@ def text_slices(
 
 
 def appended(
-    documents: DataFrame, name: str, kind: DataType, compute: Callable[[], Callable[[list[str]], pa.Array]]
+    documents: DataFrame,
+    name: str,
+    kind: DataType,
+    compute: Callable[[], Callable[[list[str]], pa.Array]],
 ) -> DataFrame:
     """All rows and columns, and one more that is computed from the texts in the tasks.
 

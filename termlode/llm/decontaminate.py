@@ -226,7 +226,8 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                     rows.append((owners[d], w - int(first[d]), *rest, 0, 0))
 
             stop = np.frombuffer(b"\n", np.uint8)
-            for key, value in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+            ids = batch.column("id").to_pylist()
+            for key, value in zip(ids, batch.column("text"), strict=True):
                 buffer = value.as_buffer()
                 raw = np.frombuffer(buffer, np.uint8) if buffer is not None else stop[:0]
                 if sizes is None:
@@ -234,7 +235,8 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                     whole = np.array([len(code)])
                     if len(code) < LEAST_WINDOW:
                         continue
-                    template = int(_mixed(_Sums(code, _STEP).of(whole - whole, whole)).view(np.int64)[0])
+                    hashed = _mixed(_Sums(code, _STEP).of(whole - whole, whole))
+                    template = int(hashed.view(np.int64)[0])
                     own = [min(WINDOW, len(code))]
                     for window in template_windows(raw, own, None):
                         rows.append((key, *window, len(code), template))
@@ -305,9 +307,8 @@ def leaks(
     held = stored(to_tasks(texts, _read(sizes, bitmap), _FOUND), "document-windows")
     met = held.select(F.col("id").alias("doc_id"), "word", "key", "slots").join(wanted, "key")
     pairs = F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("held"))
-    occurrence = met.groupBy(
-        "doc_id", "item_id", "windows", "n_items", (F.col("word") - F.col("item_word")).alias("shift")
-    ).agg(
+    shift = (F.col("word") - F.col("item_word")).alias("shift")
+    occurrence = met.groupBy("doc_id", "item_id", "windows", "n_items", shift).agg(
         F.collect_set("item_word").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )

@@ -88,7 +88,8 @@ def _is_chrome(tag: str, rest: str, in_article: bool) -> bool:
             for word in value.split():
                 if word.lower().startswith(_STATE_NAMES):
                     continue
-                parts = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", word).lower()))
+                apart = re.sub(r"([a-z])([A-Z])", r"\1 \2", word).lower()
+                parts = set(re.findall(r"[a-z]+", apart))
                 if parts & _CHROME_NAMES or not in_article and parts & _CHROME_OUTSIDE:
                     return True
     return False

@@ -34,7 +34,9 @@ BUCKETS = 1 << 16
 # Weight of a text in trigrams, and of the smoothing in pages.
 TEXT_WEIGHT, SMOOTHING = 100.0, 5.0
 
-_RAW = re.compile(r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
+_RAW = re.compile(
+    r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I
+)
 _TAG = re.compile(r"<[^>]*(?:>|\Z)|&[#\w]+;?")
 _NO_LETTER = re.compile(r"[\d\W_]+")
 _DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-zA-Z]{2,3})\b", re.I)

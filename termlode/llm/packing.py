@@ -286,10 +286,11 @@ def pack(
     sources = rows.groupBy("source").count()
     ranked = sources.orderBy(F.desc("count"), "source").limit(queues).collect()
     everything = sources.agg(F.sum("count")).first()[0] or 0
-    names = [r["source"] for r in ranked if r["count"] >= LEAST_SHARE * everything or r["source"] in (shares or ())]
+    least, named = LEAST_SHARE * everything, shares or ()
+    names = [r["source"] for r in ranked if r["count"] >= least or r["source"] in named]
     others = everything - sum(r["count"] for r in ranked if r["source"] in names)
     numbers = {name: i for i, name in enumerate(names)}
-    rest = len(names) if others >= LEAST_SHARE * everything or not names or shares else 0
+    rest = len(names) if others >= least or not names or shares else 0
     tokenize = _tokenize(numbers, rest, vocabulary, ranks, end)
     tokens = stored(to_tasks(rows, tokenize, _TOKENS), "tokens")
 

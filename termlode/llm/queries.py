@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,14 +79,25 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_html_text, op2_decontamination, op3_language, op4_repeats, op5_simhash, op6_toxicity, op7_top_k, op8_packing, op9_quality, op10_license_scan]
+    registered = [
+        op1_html_text,
+        op2_decontamination,
+        op3_language,
+        op4_repeats,
+        op5_simhash,
+        op6_toxicity,
+        op7_top_k,
+        op8_packing,
+        op9_quality,
+        op10_license_scan,
+    ]
     return {query.__name__: query for query in registered}
 
 
 def _license_sql() -> str:
     """Every block against every template, without any filter."""
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    lowered = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    lowered = f"translate(coalesce({{}}, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
 
     def words(text: str) -> str:
         return f"regexp_extract_all({lowered.format(text)}, '{word}')"
@@ -108,8 +120,8 @@ def _license_sql() -> str:
         WITH docs AS (SELECT doc_id, {words("text")} AS w, coalesce(text, '') AS text
                       FROM documents),
         places AS ({places}),
-        base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
-                        list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
+        base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word,
+                        max(place) AS last_word, list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
         lines AS (SELECT doc_id, {words("line")} AS w
                   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)),
         blocks AS (SELECT row_number() OVER () AS block, doc_id, w[s + 1 : s + {BLOCK_WORDS}] AS w

@@ -165,7 +165,8 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
         # With no more hidden positions than the radius, all of a bucket are linked.
         hot, narrow = sizes.where(F.col("n") > bucket_rows), F.bit_count("mask") >= BITS - radius
         star = table.join(hot.where(narrow).select(*bucket, "a"), bucket)
-        found.append(star.where(F.col("print") != F.col("a")).select("a", F.col("print").alias("b")))
+        star = star.where(F.col("print") != F.col("a"))
+        found.append(star.select("a", F.col("print").alias("b")))
         hot = hot.where(~narrow).select(*bucket)
         # Masks depend on the radius and the depth alone, not on the data.
         hot_masks = [row["mask"] for row in hot.select("mask").distinct().collect()]
@@ -235,6 +236,7 @@ def one_of_each(
 
     printed = appended(several, name, LongType(), compute)
     firsts = first.groupBy("root").agg(F.min(F.struct("doc_id", "print")).alias("of"))
-    firsts = firsts.select(F.col("of.doc_id").alias("kept_id"), F.col("of.print").alias("kept_print"))
+    kept_print = F.col("of.print").alias("kept_print")
+    firsts = firsts.select(F.col("of.doc_id").alias("kept_id"), kept_print)
     chosen = printed.join(firsts, same & (F.col(name) == F.col("kept_print")), "left_semi")
     return kept.unionByName(chosen.dropDuplicates(["doc_id", name]).drop(name))
