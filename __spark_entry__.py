@@ -250,7 +250,8 @@ def tfdf_forward_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unique_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents and an altered copy of some, with one row per id."""
     corpus = _documents(spark, sf_dir)
-    copies = corpus.where(F.col("doc_id") % 5 == 0).withColumn("text", F.concat(F.lit("A "), "text"))
+    some = corpus.where(F.col("doc_id") % 5 == 0)
+    copies = some.withColumn("text", F.concat(F.lit("A "), "text"))
     once = termlode.drop_duplicate_ids(corpus.unionByName(copies))
     return once.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 

@@ -96,7 +96,8 @@ def drop_duplicate_ids(corpus: DataFrame) -> DataFrame:
     counts = corpus.groupBy("doc_id").agg(F.count("*").alias("rows"))
     repeated = counts.where("rows > 1").select("doc_id").hint("shuffle_hash")
     row = F.struct("text", *rest)
-    least = corpus.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
+    several = corpus.join(repeated, "doc_id", "left_semi")
+    least = several.groupBy("doc_id").agg(F.min(row).alias("row"))
     chosen = least.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in columns[1:]])
     once = corpus.join(repeated, "doc_id", "left_anti").select(*columns)
     return once.unionByName(chosen)
