@@ -6,8 +6,8 @@ product with v. At most ``radius`` differing positions span less than the whole
 some v is orthogonal to all of them: the mask of that table hides every difference, and
 the pair meets in it. No pair within the radius is missed, and no chance is involved.
 
-Tables hold distinct fingerprints only. A bucket (mask and masked value) of two is settled
-by its minimum and maximum; a larger one is compared in one task up to a size, and linked
+Tables hold distinct fingerprints only. A bucket (mask and masked value) of two or three is
+settled by its minimum, maximum and bitwise sum; a larger one is compared in one task up to a size, and linked
 as stars, not pairs. Beyond that size it is split: the positions that its mask hides fall
 into radius + 1 parts, of which a pair within the radius agrees on one, so each part is
 added to the mask in turn, again without loss, until buckets are small.
@@ -150,20 +150,29 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
     found = []
     while True:
         sizes = table.groupBy(*bucket).agg(
-            F.count("*").alias("n"), F.min("print").alias("a"), F.max("print").alias("b")
+            F.count("*").alias("n"),
+            F.min("print").alias("a"),
+            F.max("print").alias("b"),
+            F.bit_xor("print").alias("all"),
         )
         sizes = stored(sizes.where("n > 1"), "buckets")
-        near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+        a, b = F.col("a"), F.col("b")
+        near = F.bit_count(a.bitwiseXOR(b)) <= radius
         found.append(sizes.where((F.col("n") == 2) & near).select("a", "b"))
-        larger = sizes.where((F.col("n") > 2) & (F.col("n") <= bucket_rows)).select(*bucket)
+        # Of three, the one in the middle is what is left of their sum.
+        middle = F.col("all").bitwiseXOR(a).bitwiseXOR(b)
+        pairs = [F.struct(x.alias("a"), y.alias("b")) for x, y in ((a, b), (a, middle), (b, middle))]
+        three = sizes.where(F.col("n") == 3).select(F.inline(F.array(*pairs)))
+        found.append(three.where(near))
+        larger = sizes.where((F.col("n") > 3) & (F.col("n") <= bucket_rows)).select(*bucket)
         members = table.join(broadcast_if_small(larger), bucket).groupBy(*bucket)
         lists = members.agg(F.collect_list("print").alias("prints")).select("prints")
         found.append(to_tasks(lists, _link(radius), "a long, b long"))
 
-        if not sizes.where(F.col("n") > bucket_rows).head(1):
+        if not sizes.where(F.col("n") > max(bucket_rows, 3)).head(1):
             return reduce(DataFrame.union, found)
         # With no more hidden positions than the radius, all of a bucket are linked.
-        hot, narrow = sizes.where(F.col("n") > bucket_rows), F.bit_count("mask") >= BITS - radius
+        hot, narrow = sizes.where(F.col("n") > max(bucket_rows, 3)), F.bit_count("mask") >= BITS - radius
         star = table.join(hot.where(narrow).select(*bucket, "a"), bucket)
         star = star.where(F.col("print") != F.col("a"))
         found.append(star.select("a", F.col("print").alias("b")))
@@ -218,16 +227,23 @@ def one_of_each(
     stays.
     """
     found = near_duplicates(documents, shingle_words, radius, bucket_rows)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = stored(
-        first.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows")), "kept-ids"
+        found.groupBy(F.col("doc_id").alias("id"))
+        .agg(F.count("*").alias("rows"), F.count_if(is_first).alias("firsts")),
+        "first-ids",
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id"))
-    single = ids.where("rows = 1 AND kept_id IS NOT NULL").hint("shuffle_hash")
-    kept = documents.join(single, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    plain = F.col("id").isNotNull() & (F.col("rows") == 1)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id"))
+    # All ids but those of a single row that stays: they are fewer, and often few.
+    others = stored(ids.where(~(plain & (F.col("firsts") == 1))).select("id"), "other-ids")
+    kept = documents.join(broadcast_if_small(others), same, "left_anti")
+    repeated = stored(ids.where(~plain & (F.col("firsts") > 0)).select("id"), "repeated-ids")
+    if not repeated.head(1):
+        return kept
     # A repeated id may stand for rows of several components: these are told by their print.
     name = fresh_name(documents, "print")
-    several = documents.join(ids.where("rows > 1 OR kept_id IS NULL"), same, "left_semi")
+    several = documents.join(broadcast_if_small(repeated), same, "left_semi")
 
     def compute():
         return lambda texts: pa.array(
@@ -235,8 +251,9 @@ def one_of_each(
         )
 
     printed = appended(several, name, LongType(), compute)
-    firsts = first.groupBy("root").agg(F.min(F.struct("doc_id", "print")).alias("of"))
-    kept_print = F.col("of.print").alias("kept_print")
-    firsts = firsts.select(F.col("of.doc_id").alias("kept_id"), kept_print)
+    firsts = found.where(is_first).groupBy("root").agg(
+        F.min(F.struct("doc_id", "print")).alias("of")
+    )
+    firsts = firsts.select(F.col("of.doc_id").alias("id"), F.col("of.print").alias("kept_print"))
     chosen = printed.join(firsts, same & (F.col(name) == F.col("kept_print")), "left_semi")
     return kept.unionByName(chosen.dropDuplicates(["doc_id", name]).drop(name))

@@ -37,7 +37,7 @@ RATE, TABLE_RATE = 0.01, 0.001
 LEAST_TEXTS = 5
 THRESHOLD = 0.7
 # Words whose inputs a task remembers; windows, and in training texts, read together.
-REMEMBERED, WINDOWS, TEXTS = 200_000, 2048, 200
+REMEMBERED, WINDOWS, TEXTS = 100_000, 1024, 200
 
 _STRIPPED = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
