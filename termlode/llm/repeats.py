@@ -41,7 +41,7 @@ ANCHOR, CELL = 128, 12
 PIECE = 1 << 17
 _PLACE_BITS = np.uint64(18)
 # Windows that are sorted together in a task.
-SORTED = 200_000
+SORTED = 40_000
 
 _random = np.random.default_rng(20)
 _TABLES = _random.integers(1, 1 << 63, (2, 256), np.uint64)
@@ -239,6 +239,19 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
+def _parts_by_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of about SORTED windows in their open cells."""
+    for batch in batches:
+        start = windows = 0
+        for i, cells in enumerate(batch.column("cells")):
+            more = sum(c["high"] - c["low"] + 1 for c in cells.as_py())
+            if windows and windows + more > SORTED:
+                yield batch.slice(start, i - start)
+                start, windows = i, 0
+            windows += more
+        yield batch.slice(start)
+
+
 _CELLS = "context long, low int, high int, core long, hull_1 long, hull_2 long"
 
 
@@ -288,7 +301,7 @@ def _sort_windows(length: int):
         names = ["hull_1", "hull_2", "n", "members"]
         member = pa.struct([("context", pa.int64()), ("low", pa.int32())])
         types = [pa.int64()] * 3 + [pa.list_(member)]
-        for batch in _parts(batches, SORTED // 40):
+        for batch in _parts_by_windows(batches):
             text, starts = _joined(batch)
             ids = batch.column("context").to_pylist()
             before = batch.column("before").to_pylist()
