@@ -111,6 +111,8 @@ def _link(radius: int):
             left, right = [], []
             for prints in batch.column("prints").to_pylist():
                 values = np.sort(np.array(prints, np.int64))
+                # Unsigned, as numpy counts the bits of an absolute value.
+                bits = values.view(np.uint64)
                 rest = np.ones(len(values), bool)
                 for first in range(len(values)):
                     if not rest[first]:
@@ -120,7 +122,7 @@ def _link(radius: int):
                     while front:
                         at = front.pop()
                         open_ = np.nonzero(rest)[0]
-                        near = np.bitwise_count(values[open_] ^ values[at]) <= radius
+                        near = np.bitwise_count(bits[open_] ^ bits[at]) <= radius
                         new = open_[near]
                         rest[new] = False
                         front += new.tolist()

@@ -3,12 +3,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from termlode.llm.components import components
 from termlode.llm.simhash import (
+    _link,
     covering_masks,
     fingerprint,
     links,
@@ -75,6 +77,12 @@ def test_links_equal_brute_force(spark, bucket_rows):
     assert [values.index(root[v]) for v in values] == expected
 
 
+def test_buckets_of_many_link_over_the_sign_bit():
+    batch = pa.record_batch({"prints": pa.array([[5, 5 - (1 << 63), 7, 4, 1 << 40]])})
+    edges = next(iter(_link(1)([batch]))).to_pydict()
+    assert set(zip(edges["a"], edges["b"], strict=True)) == {(5 - (1 << 63), x) for x in (4, 5, 7)}
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 99), (7, 7)]
     got = found(components(spark.createDataFrame(edges, "a long, b long")), "node", "root")
