@@ -198,7 +198,25 @@ def _windows(code, slot, value, sizes, bitmap, doc, skipped) -> list[tuple]:
     return found
 
 
-_FOUND = "id long, word long, size int, key long, slots array<long>, words long, template long"
+_FOUND = "id long, word long, size int, key long, slots array<long>, family long, values long"
+
+
+def _family(code: np.ndarray, slot: np.ndarray, value: np.ndarray) -> list[int]:
+    """Hashes of an item's template with the places where its values recur, and of its values.
+
+    Items of one family are one question with other values: what one's slots are
+    consistent with, those of all are.
+    """
+    held = value[slot]
+    _, first, which = np.unique(held, return_index=True, return_inverse=True)
+    parts = code, first[which].astype(np.uint64) + np.uint64(1), held
+    hashes = [_Sums(_mixed(x + np.uint64(1)), _STEP).of(*_ends(x))[0] for x in parts]
+    family = _mixed(hashes[0] ^ _mixed(hashes[1] + np.uint64(len(code))))
+    return np.array([family, hashes[2]], np.uint64).view(np.int64).tolist()
+
+
+def _ends(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros(1, np.int64), np.array([len(values)])
 
 
 def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
@@ -231,15 +249,13 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                 buffer = value.as_buffer()
                 raw = np.frombuffer(buffer, np.uint8) if buffer is not None else stop[:0]
                 if sizes is None:
-                    _, code, _, _ = canonical(raw)
-                    whole = np.array([len(code)])
+                    _, code, slot, values = canonical(raw)
                     if len(code) < LEAST_WINDOW:
                         continue
-                    hashed = _mixed(_Sums(code, _STEP).of(whole - whole, whole))
-                    template = int(hashed.view(np.int64)[0])
+                    family = _family(code, slot, values)
                     own = [min(WINDOW, len(code))]
                     for window in template_windows(raw, own, None):
-                        rows.append((key, *window, len(code), template))
+                        rows.append((key, *window, *family))
                 elif len(raw) > PART_BYTES:
                     for window in template_windows(raw, sizes, bitmap):
                         rows.append((key, *window, 0, 0))
@@ -267,9 +283,11 @@ def leaks(
     """A row for each document (doc_id, text) and benchmark item (item_id, text) that it holds.
 
     doc_id, item_id, matched and windows (of the item), share = matched / windows,
-    reworded (some slot has another value), n_items (items of the same template, of which
-    item_id is the smallest). A leak has at least ``leak_share`` of an item's windows, in
-    occurrences whose slots are consistent. Items of fewer than five words, or without a
+    reworded (some slot has another value), n_items. A leak has at least ``leak_share`` of an
+    item's windows, in occurrences whose slots are consistent. n_items counts the items of
+    one family: they have the same template, and their values recur in the same places. Each of
+    them whose own values the document holds in such a share has a row. If none has, the smallest id stands
+    for the family. Items of fewer than five words, or without a
     window of enough words, have no windows and are never found. Null texts are empty.
     Rows that repeat a document's id are judged together; further columns are ignored.
     """
@@ -277,20 +295,21 @@ def leaks(
         F.col("item_id").cast("long").alias("id"), F.encode("text", "UTF-8").alias("text")
     )
     asked = stored(to_tasks(items, _read(None, None), _FOUND), "item-windows")
-    first = asked.groupBy("template").agg(
-        F.min("id").alias("id"), F.count_distinct("id").alias("n_items")
-    )
+    named = asked.select("family", "values", "id").distinct()
+    least = F.min(F.struct(F.col("id").isNull(), "id", "values")).alias("least")
+    first = named.groupBy("family").agg(least, F.count_distinct("id").alias("n_items"))
+    first = first.select("family", "least.values", F.col("least.id").alias("first"), "n_items")
+    texts = asked.dropDuplicates(["family", "values", "word", "key"])
     wanted = stored(
-        asked.join(first, ["template", "id"])
-        .dropDuplicates(["id", "word", "key"])
-        .select(
-            F.col("id").alias("item_id"),
+        texts.join(first, ["family", "values"]).select(
+            "family",
+            "first",
             F.col("word").alias("item_word"),
             "key",
             "size",
             F.col("slots").alias("item_slots"),
             "n_items",
-            F.count("*").over(Window.partitionBy("id")).alias("windows"),
+            F.count("*").over(Window.partitionBy("family")).alias("windows"),
         ),
         "items",
     )
@@ -301,29 +320,68 @@ def leaks(
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     np.bitwise_or.at(bitmap, places >> 3, (1 << (places & 7)).astype(np.uint8))
 
-    texts = documents.select(
+    docs = documents.select(
         F.col("doc_id").cast("long").alias("id"), F.encode("text", "UTF-8").alias("text")
     )
-    held = stored(to_tasks(texts, _read(sizes, bitmap), _FOUND), "document-windows")
+    held = stored(to_tasks(docs, _read(sizes, bitmap), _FOUND), "document-windows")
     met = held.select(F.col("id").alias("doc_id"), "word", "key", "slots").join(wanted, "key")
     pairs = F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("held"))
     shift = (F.col("word") - F.col("item_word")).alias("shift")
-    occurrence = met.groupBy("doc_id", "item_id", "windows", "n_items", shift).agg(
+    # What a window holds at its place in the item; of all windows, the one with most slots.
+    filled = F.when(F.size("slots") > 0, F.xxhash64("item_word", "slots"))
+    family = ["doc_id", "family"]
+    occurrence = met.groupBy(*family, "first", "windows", "n_items", shift).agg(
         F.collect_set("item_word").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+        F.collect_set(filled).alias("filled"),
+        F.coalesce(F.max_by(filled, F.size("slots")), F.lit(0)).alias("fullest"),
     )
     one_to_one = (
         F.size(F.array_distinct(F.transform("pairs", lambda p: p["asked"]))) == F.size("pairs")
     ) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["held"]))) == F.size("pairs"))
-    consistent = occurrence.where(one_to_one)
-    found = consistent.groupBy("doc_id", "item_id", "windows", "n_items").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
-        F.max(F.exists("pairs", lambda p: p["asked"] != p["held"])).alias("reworded"),
+    consistent = stored(occurrence.where(one_to_one), "occurrences")
+    matched = F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long")
+    found = consistent.groupBy(*family, "first", "windows", "n_items").agg(
+        matched.alias("matched"),
+        F.count("*").alias("occurrences"),
+        F.max(F.exists("pairs", lambda p: p["asked"] != p["held"])).alias("first_reworded"),
     )
     share = F.col("matched") / F.col("windows")
-    return found.withColumn("share", share).where(F.col("share") >= leak_share).select(
-        "doc_id", "item_id", "matched", "windows", "share", "reworded", "n_items"
+    found = found.withColumn("share", share).where(F.col("share") >= leak_share)
+
+    # Texts whose own values an occurrence holds: they agree on its fullest window, then on all.
+    own = F.xxhash64(F.col("word"), F.col("slots"))
+    texts = texts.select("family", "values", F.when(F.size("slots") > 0, own).alias("own"))
+    whole = texts.groupBy("family", "values").agg(F.collect_set("own").alias("all"))
+    keys = texts.dropna(subset=["own"]).union(whole.select("family", "values", F.lit(0)))
+    keys = keys.select("family", "values", F.col("own").alias("fullest"))
+    same = consistent.select(*family, "windows", "places", "filled", "fullest")
+    same = same.join(keys, ["family", "fullest"]).join(whole, ["family", "values"])
+    same = same.where(F.size(F.array_except("filled", "all")) == 0)
+    verbatim = same.groupBy(*family, "windows", "values").agg(
+        matched.alias("same"), F.count("*").alias("same_occurrences")
+    )
+    verbatim = verbatim.where(F.col("same") / F.col("windows") >= leak_share)
+    verbatim = verbatim.join(named, ["family", "values"]).select(
+        F.col("doc_id").alias("doc"), F.col("family").alias("of"), "id", "same_occurrences"
+    )
+    of = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("family") == F.col("of"))
+    either = found.join(verbatim, of, "left")
+    result = either.select(
+        "doc_id",
+        F.when(F.col("of").isNull(), F.col("first")).otherwise(F.col("id")).alias("item_id"),
+        "matched",
+        "windows",
+        "share",
+        F.when(F.col("of").isNull(), F.col("first_reworded"))
+        .otherwise(F.col("same_occurrences") < F.col("occurrences"))
+        .alias("reworded"),
+        "n_items",
     )
+    # Texts of one item id, or of none, may be several: the one held most stands for it.
+    best = F.max(F.struct("share", "matched", "windows", ~F.col("reworded"), "reworded", "n_items"))
+    result = result.groupBy("doc_id", "item_id").agg(best.alias("best"))
+    return result.select("doc_id", "item_id", "best.matched", "best.windows", "best.share", "best.reworded", "best.n_items")
 
 
 def without_leaks(

@@ -72,3 +72,16 @@ def test_words_and_slots():
     lower = canonical(np.frombuffer("école abc".encode(), np.uint8))[3]
     assert upper.tolist() == lower.tolist()
     assert len(canonical(np.zeros(0, np.uint8))[0]) == 0 == len(canonical(np.frombuffer(b" .,", np.uint8))[0])
+
+
+def test_every_item_of_a_template_is_found(spark):
+    asked = "Please add {} to the large heap of stones and then add {} to the other heap as well"
+    items = [(1, asked.format(5, 3)), (2, asked.format(4, 4)), (3, asked.format(8, 6)), (4, asked.format(8, 6))]
+    texts = [asked.format(4, 4), asked.format(8, 6), asked.format(7, 7), asked.format(9, 2)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = found(leaks(frame, bench), "doc_id", "item_id", "reworded", "n_items", "share")
+    # Two equal texts are two items; values that nobody asked stand for the smallest id that fits.
+    verbatim = [(0, 2, False, 1, 1.0), (1, 3, False, 3, 1.0), (1, 4, False, 3, 1.0)]
+    assert got == [*verbatim, (2, 2, True, 1, 1.0), (3, 1, True, 3, 1.0)]
+    assert without_leaks(frame, bench).count() == 0
