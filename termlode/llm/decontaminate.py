@@ -98,16 +98,23 @@ _UNIT_HASHES = _hash_list(UNITS)
 
 
 def canonical(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, code, slot flag and value of every word of a text's bytes.
+    """Start, code, slot flag and value of every word of a text's bytes; see ``_words``."""
+    return _words(text)[:4]
+
+
+def _words(text: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, code, slot flag, value and opening flag of every word of a text's bytes.
 
     A word is a run of letters and digits (any byte beyond ASCII is a letter), with single
     points and commas between digits. It is a number if it starts with a digit, a unit if
     it is one and follows a number, and a name if it starts with one capital, is
-    longer than it, and no sentence starts before it.
+    longer than it, and no sentence starts before it. Where one does, the word may be a name or
+    not: it is an opening, and windows are read both ways.
     """
     none = np.zeros(0, np.int64)
     if not len(text):
-        return none, none.astype(np.uint64), none.astype(bool), none.astype(np.uint64)
+        flags = none.astype(bool)
+        return none, none.astype(np.uint64), flags, none.astype(np.uint64), flags
     digit = _DIGIT[text]
     word = _WORD[text]
     inner = np.zeros(len(text), bool)
@@ -116,7 +123,8 @@ def canonical(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     edge = np.diff(word.astype(np.int8), prepend=0, append=0)
     starts, ends = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
     if not len(starts):
-        return none, none.astype(np.uint64), none.astype(bool), none.astype(np.uint64)
+        flags = none.astype(bool)
+        return none, none.astype(np.uint64), flags, none.astype(np.uint64), flags
     # Capitals of Latin-1 beyond ASCII are two bytes, of which the second is lowered.
     after = np.zeros(len(text), bool)
     after[1:] = text[:-1] == 0xC3
@@ -133,12 +141,14 @@ def canonical(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     second = np.minimum(starts + width, len(text) - 1)
     shout = capital[second] & (starts + width < ends)
     number = digit[starts]
-    name = capital[starts] & ~shout & ~new & (starts + width < ends)
+    name = capital[starts] & ~shout & (starts + width < ends) & ~number
+    opening = name & new
+    name &= ~new
     unit = np.zeros(len(starts), bool)
     unit[1:] = number[:-1] & np.isin(value[1:], _UNIT_HASHES)
     code = value.copy()
     code[number], code[name], code[unit] = _NUMBER, _NAME, _UNIT
-    return starts, code, number | name | unit, value
+    return starts, code, number | name | unit, value, opening & ~unit
 
 
 def _parts(raw: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
@@ -159,13 +169,13 @@ def _parts(raw: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
 
 def template_windows(
     raw: np.ndarray, sizes: list[int], bitmap: np.ndarray | None
-) -> list[tuple[int, int, int, list[int]]]:
-    """(word, size, hash, slot values) of windows with enough words that the bitmap holds."""
+) -> list[tuple[int, int, int, list[int], int]]:
+    """Windows as of ``_windows``, for a text of any length."""
     found, base = [], 0
     for part, offset in _parts(raw):
-        starts, code, slot, value = canonical(part)
-        found += [(base + w, *rest) for w, *rest in _windows(code, slot, value, sizes, bitmap,
-                                                             None, int(offset > 0))]
+        starts, *words = _words(part)
+        rows = _windows(*words, sizes, bitmap, None, int(offset > 0))
+        found += [(base + w, *rest) for w, *rest in rows]
         if offset + len(part) < len(raw):
             # The next part begins at the first blank of the overlap.
             back = np.nonzero(part[-OVERLAP_BYTES:-1] == 32)[0]
@@ -174,9 +184,26 @@ def template_windows(
     return found
 
 
-def _windows(code, slot, value, sizes, bitmap, doc, skipped) -> list[tuple]:
+def _windows(code, slot, value, opening, sizes, bitmap, doc, skipped) -> list[tuple]:
+    """(word, size, hash, slot values, loose) of windows that the bitmap holds.
+
+    Those with enough words, and, loose, those with openings as names. With a bitmap also
+    those of the words as they are, as short items are looked for.
+    """
+    named, loose = np.where(opening, _NAME, code), slot | opening
+    found = _hashed(code, slot, value, sizes, bitmap, doc, skipped, 0, slot)
+    found += _hashed(named, loose, value, sizes, bitmap, doc, skipped, 1, slot)
+    if bitmap is not None:
+        found += _hashed(value, None, value, sizes, bitmap, doc, skipped, 0, None)
+    return found
+
+
+def _hashed(code, slot, value, sizes, bitmap, doc, skipped, loose, strict) -> list[tuple]:
     sums = _Sums(code, _STEP)
+    inexact = slot is not None
+    slot = slot if inexact else np.zeros(len(code), bool)
     slots = np.concatenate([[0], np.cumsum(slot)])
+    before = np.concatenate([[0], np.cumsum(strict)]) if loose else None
     found = []
     for size in sizes:
         count = len(code) - size + 1
@@ -186,30 +213,35 @@ def _windows(code, slot, value, sizes, bitmap, doc, skipped) -> list[tuple]:
         fits = slots[at + size] - slots[at] <= size - LITERAL_SHARE * size
         if doc is not None:
             fits &= doc[at] == doc[at + size - 1]
+        if loose:
+            fits &= slots[at + size] - slots[at] > before[at + size] - before[at]
         at = at[fits]
-        keys = _mixed(sums.of(at, at + size) ^ np.uint64(size))
+        keys = _mixed(sums.of(at, at + size) ^ np.uint64(size if inexact else ~size & 0xFFFF))
         if bitmap is not None:
             place = keys & np.uint64((1 << BITMAP_BITS) - 1)
             held = bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
             at, keys = at[held > 0], keys[held > 0]
         for w, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
             inside = value[w : w + size][slot[w : w + size]]
-            found.append((w, size, key, inside.view(np.int64).tolist()))
+            found.append((w, size, key, inside.view(np.int64).tolist(), loose))
     return found
 
 
-_FOUND = "id long, word long, size int, key long, slots array<long>, family long, values long"
+_FOUND = "id long, word long, size int, key long, slots array<long>, loose int,"
+_FOUND += " family long, values long"
 
 
-def _family(code: np.ndarray, slot: np.ndarray, value: np.ndarray) -> list[int]:
+def _family(code, slot, value, opening) -> list[int]:
     """Hashes of an item's template with the places where its values recur, and of its values.
 
     Items of one family are one question with other values: what one's slots are
     consistent with, those of all are.
     """
-    held = value[slot]
+    held = value[slot | opening]
     _, first, which = np.unique(held, return_index=True, return_inverse=True)
-    parts = code, first[which].astype(np.uint64) + np.uint64(1), held
+    # Openings count by their word and as names.
+    again = np.concatenate([opening.astype(np.uint64), first[which].astype(np.uint64)])
+    parts = code, again, held
     hashes = [_Sums(_mixed(x + np.uint64(1)), _STEP).of(*_ends(x))[0] for x in parts]
     family = _mixed(hashes[0] ^ _mixed(hashes[1] + np.uint64(len(code))))
     return np.array([family, hashes[2]], np.uint64).view(np.int64).tolist()
@@ -225,7 +257,7 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in _FOUND.split(", ")]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-        types += [pa.int64(), pa.int64()]
+        types += [pa.int32(), pa.int64(), pa.int64()]
         for batch in batches:
             rows = []
             joined: list[np.ndarray] = []
@@ -236,10 +268,10 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                 # Texts of a slice are read as one, with a full stop between them.
                 text = np.concatenate(joined)
                 ends = np.cumsum([len(x) for x in joined])
-                starts, code, slot, value = canonical(text)
+                starts, *words = _words(text)
                 doc = np.searchsorted(ends, starts, side="right")
                 first = np.searchsorted(doc, np.arange(len(ends)))
-                for w, *rest in _windows(code, slot, value, sizes, bitmap, doc, 0):
+                for w, *rest in _windows(*words, sizes, bitmap, doc, 0):
                     d = doc[w]
                     rows.append((owners[d], w - int(first[d]), *rest, 0, 0))
 
@@ -249,13 +281,20 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                 buffer = value.as_buffer()
                 raw = np.frombuffer(buffer, np.uint8) if buffer is not None else stop[:0]
                 if sizes is None:
-                    _, code, slot, values = canonical(raw)
+                    _, *words = _words(raw)
+                    code, values = words[0], words[2]
                     if len(code) < LEAST_WINDOW:
                         continue
-                    family = _family(code, slot, values)
+                    family = _family(*words)
                     own = [min(WINDOW, len(code))]
                     for window in template_windows(raw, own, None):
                         rows.append((key, *window, *family))
+                    if len(code) <= WINDOW:
+                        # As exact words too, a family of its own.
+                        none = np.zeros(len(code), bool)
+                        exact = _family(values, none, values, none)
+                        for window in _hashed(values, None, values, own, None, None, 0, 0, None):
+                            rows.append((key, *window, ~exact[0], exact[1]))
                 elif len(raw) > PART_BYTES:
                     for window in template_windows(raw, sizes, bitmap):
                         rows.append((key, *window, 0, 0))
@@ -287,7 +326,8 @@ def leaks(
     item's windows, in occurrences whose slots are consistent. n_items counts the items of
     one family: they have the same template, and their values recur in the same places. Each of
     them whose own values the document holds in such a share has a row. If none has, the smallest id stands
-    for the family. Items of fewer than five words, or without a
+    for the family. Words that begin a sentence match as words and as names. Items of five to ten
+    words are looked for as exact words too. Items of fewer than five words, and longer ones without a
     window of enough words, have no windows and are never found. Null texts are empty.
     Rows that repeat a document's id are judged together; further columns are ignored.
     """
@@ -309,7 +349,10 @@ def leaks(
             "size",
             F.col("slots").alias("item_slots"),
             "n_items",
-            F.count("*").over(Window.partitionBy("family")).alias("windows"),
+            F.size(F.collect_set("word").over(Window.partitionBy("family")))
+            .cast("long")
+            .alias("windows"),
+            F.col("loose").alias("item_loose"),
         ),
         "items",
     )
@@ -324,13 +367,17 @@ def leaks(
         F.col("doc_id").cast("long").alias("id"), F.encode("text", "UTF-8").alias("text")
     )
     held = stored(to_tasks(docs, _read(sizes, bitmap), _FOUND), "document-windows")
-    met = held.select(F.col("id").alias("doc_id"), "word", "key", "slots").join(wanted, "key")
+    met = held.select(F.col("id").alias("doc_id"), "word", "key", "slots", "loose")
+    met = met.join(wanted, "key")
+    # Without loose windows, and with them, so that these take no consistent slots away.
+    levels = F.when(F.col("loose") + F.col("item_loose") > 0, F.array(F.lit(1)))
+    met = met.withColumn("level", F.explode(levels.otherwise(F.array(F.lit(0), F.lit(1)))))
     pairs = F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("held"))
     shift = (F.col("word") - F.col("item_word")).alias("shift")
     # What a window holds at its place in the item; of all windows, the one with most slots.
-    filled = F.when(F.size("slots") > 0, F.xxhash64("item_word", "slots"))
+    filled = F.when(F.size("slots") > 0, F.xxhash64("item_word", "key", "slots"))
     family = ["doc_id", "family"]
-    occurrence = met.groupBy(*family, "first", "windows", "n_items", shift).agg(
+    occurrence = met.groupBy(*family, "first", "windows", "n_items", "level", shift).agg(
         F.collect_set("item_word").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
         F.collect_set(filled).alias("filled"),
@@ -350,7 +397,7 @@ def leaks(
     found = found.withColumn("share", share).where(F.col("share") >= leak_share)
 
     # Texts whose own values an occurrence holds: they agree on its fullest window, then on all.
-    own = F.xxhash64(F.col("word"), F.col("slots"))
+    own = F.xxhash64("word", "key", "slots")
     texts = texts.select("family", "values", F.when(F.size("slots") > 0, own).alias("own"))
     whole = texts.groupBy("family", "values").agg(F.collect_set("own").alias("all"))
     keys = texts.dropna(subset=["own"]).union(whole.select("family", "values", F.lit(0)))

@@ -85,3 +85,15 @@ def test_every_item_of_a_template_is_found(spark):
     verbatim = [(0, 2, False, 1, 1.0), (1, 3, False, 3, 1.0), (1, 4, False, 3, 1.0)]
     assert got == [*verbatim, (2, 2, True, 1, 1.0), (3, 1, True, 3, 1.0)]
     assert without_leaks(frame, bench).count() == 0
+
+
+def test_openings_are_words_and_names(spark):
+    asked = "{0} has {1} apples. {0} buys {2} more apples. How many apples does {0} have?"
+    items = [(1, asked.format("Tom", 5, 3)), (2, "What is the capital of France"), (3, "Is Paris in France or Spain")]
+    texts = [asked.format("Anna", 8, 2), "as asked before, What is the capital of France", "it says: Is Paris in France or Spain"]
+    texts += ["as asked before, Is Paris in France or Spain", "what is the river of France", "Is Rome in Italy or Spain"]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = found(leaks(frame, bench), "doc_id", "item_id", "reworded", "share")
+    pairs = [(0, 1, True), (1, 2, False), (2, 3, False), (3, 3, False), (5, 3, True)]
+    assert got == [(*pair, 1.0) for pair in pairs]
