@@ -25,6 +25,8 @@ from termlode.llm.common import broadcast_if_small, stored, to_tasks
 WINDOW, LEAST_WINDOW = 10, 5
 # Share of a window that must be words, not slots; share of an item's windows in a leak.
 LITERAL_SHARE, LEAK_SHARE = 0.5, 0.5
+# So many words in a row as they are in an item are a leak, whatever their share.
+RUN_WORDS = 50
 BITMAP_BITS = 22
 PART_BYTES, OVERLAP_BYTES = 1 << 19, 1 << 14
 # Words that are units after a number.
@@ -227,7 +229,7 @@ def _hashed(code, slot, value, sizes, bitmap, doc, skipped, loose, strict) -> li
     return found
 
 
-_FOUND = "id long, word long, size int, key long, slots array<long>, loose int,"
+_FOUND = "id long, document long, word long, size int, key long, slots array<long>, loose int,"
 _FOUND += " family long, values long"
 
 
@@ -256,12 +258,12 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in _FOUND.split(", ")]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
         types += [pa.int32(), pa.int64(), pa.int64()]
         for batch in batches:
             rows = []
             joined: list[np.ndarray] = []
-            owners: list[int | None] = []
+            owners: list[tuple[int | None, int]] = []
             size = 0
 
             def flush(joined=joined, owners=owners, rows=rows):
@@ -273,10 +275,10 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                 first = np.searchsorted(doc, np.arange(len(ends)))
                 for w, *rest in _windows(*words, sizes, bitmap, doc, 0):
                     d = doc[w]
-                    rows.append((owners[d], w - int(first[d]), *rest, 0, 0))
+                    rows.append((*owners[d], w - int(first[d]), *rest, 0, 0))
 
             stop = np.frombuffer(b"\n", np.uint8)
-            ids = batch.column("id").to_pylist()
+            ids = zip(*(batch.column(n).to_pylist() for n in ("id", "document")), strict=True)
             for key, value in zip(ids, batch.column("text"), strict=True):
                 buffer = value.as_buffer()
                 raw = np.frombuffer(buffer, np.uint8) if buffer is not None else stop[:0]
@@ -288,16 +290,16 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                     family = _family(*words)
                     own = [min(WINDOW, len(code))]
                     for window in template_windows(raw, own, None):
-                        rows.append((key, *window, *family))
+                        rows.append((*key, *window, *family))
                     if len(code) <= WINDOW:
                         # As exact words too, a family of its own.
                         none = np.zeros(len(code), bool)
                         exact = _family(values, none, values, none)
                         for window in _hashed(values, None, values, own, None, None, 0, 0, None):
-                            rows.append((key, *window, ~exact[0], exact[1]))
+                            rows.append((*key, *window, ~exact[0], exact[1]))
                 elif len(raw) > PART_BYTES:
                     for window in template_windows(raw, sizes, bitmap):
-                        rows.append((key, *window, 0, 0))
+                        rows.append((*key, *window, 0, 0))
                 elif len(raw):
                     if size + len(raw) > PART_BYTES and joined:
                         flush()
@@ -316,23 +318,14 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
     return read
 
 
-def leaks(
-    documents: DataFrame, benchmark: DataFrame, leak_share: float = LEAK_SHARE
+def _leaks(
+    documents: DataFrame, benchmark: DataFrame, leak_share: float, run_words: int
 ) -> DataFrame:
-    """A row for each document (doc_id, text) and benchmark item (item_id, text) that it holds.
-
-    doc_id, item_id, matched and windows (of the item), share = matched / windows,
-    reworded (some slot has another value), n_items. A leak has at least ``leak_share`` of an
-    item's windows, in occurrences whose slots are consistent. n_items counts the items of
-    one family: they have the same template, and their values recur in the same places. Each of
-    them whose own values the document holds in such a share has a row. If none has, the smallest id stands
-    for the family. Words that begin a sentence match as words and as names. Items of five to ten
-    words are looked for as exact words too. Items of fewer than five words, and longer ones without a
-    window of enough words, have no windows and are never found. Null texts are empty.
-    Rows that repeat a document's id are judged together; further columns are ignored.
-    """
+    """The rows of ``leaks`` and document, the hash of the text: there may be several of an item."""
     items = benchmark.select(
-        F.col("item_id").cast("long").alias("id"), F.encode("text", "UTF-8").alias("text")
+        F.col("item_id").cast("long").alias("id"),
+        F.lit(0).cast("long").alias("document"),
+        F.encode("text", "UTF-8").alias("text"),
     )
     asked = stored(to_tasks(items, _read(None, None), _FOUND), "item-windows")
     named = asked.select("family", "values", "id").distinct()
@@ -343,6 +336,7 @@ def leaks(
     wanted = stored(
         texts.join(first, ["family", "values"]).select(
             "family",
+            "values",
             "first",
             F.col("word").alias("item_word"),
             "key",
@@ -364,10 +358,12 @@ def leaks(
     np.bitwise_or.at(bitmap, places >> 3, (1 << (places & 7)).astype(np.uint8))
 
     docs = documents.select(
-        F.col("doc_id").cast("long").alias("id"), F.encode("text", "UTF-8").alias("text")
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64("text").alias("document"),
+        F.encode("text", "UTF-8").alias("text"),
     )
     held = stored(to_tasks(docs, _read(sizes, bitmap), _FOUND), "document-windows")
-    met = held.select(F.col("id").alias("doc_id"), "word", "key", "slots", "loose")
+    met = held.select(F.col("id").alias("doc_id"), "document", "word", "key", "slots", "loose")
     met = met.join(wanted, "key")
     # Without loose windows, and with them, so that these take no consistent slots away.
     levels = F.when(F.col("loose") + F.col("item_loose") > 0, F.array(F.lit(1)))
@@ -376,7 +372,7 @@ def leaks(
     shift = (F.col("word") - F.col("item_word")).alias("shift")
     # What a window holds at its place in the item; of all windows, the one with most slots.
     filled = F.when(F.size("slots") > 0, F.xxhash64("item_word", "key", "slots"))
-    family = ["doc_id", "family"]
+    family = ["doc_id", "document", "family"]
     occurrence = met.groupBy(*family, "first", "windows", "n_items", "level", shift).agg(
         F.collect_set("item_word").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
@@ -410,12 +406,18 @@ def leaks(
     )
     verbatim = verbatim.where(F.col("same") / F.col("windows") >= leak_share)
     verbatim = verbatim.join(named, ["family", "values"]).select(
-        F.col("doc_id").alias("doc"), F.col("family").alias("of"), "id", "same_occurrences"
+        F.col("doc_id").alias("doc"),
+        F.col("document").alias("in"),
+        F.col("family").alias("of"),
+        "id",
+        "same_occurrences",
     )
     of = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("family") == F.col("of"))
+    of &= F.col("document") == F.col("in")
     either = found.join(verbatim, of, "left")
     result = either.select(
         "doc_id",
+        "document",
         F.when(F.col("of").isNull(), F.col("first")).otherwise(F.col("id")).alias("item_id"),
         "matched",
         "windows",
@@ -425,17 +427,92 @@ def leaks(
         .alias("reworded"),
         "n_items",
     )
-    # Texts of one item id, or of none, may be several: the one held most stands for it.
+    return result.unionByName(_runs(met, texts, named, run_words))
+
+
+def _runs(met: DataFrame, texts: DataFrame, named: DataFrame, run_words: int) -> DataFrame:
+    """Leaks by ``run_words`` words in a row that are those of an item, slots included."""
+    shift = (F.col("word") - F.col("item_word")).alias("shift")
+    filled = F.when(F.size("slots") > 0, F.xxhash64("item_word", "key", "slots"))
+    keys = ["doc_id", "document", "family", "windows", "n_items"]
+    long = met.where((F.col("windows") + WINDOW - 1 >= run_words) & (F.col("level") == 1))
+    # Places without slots are those of every text of the family.
+    occurrence = long.groupBy(*keys, F.col("values").alias("first_values"), shift).agg(
+        F.collect_set(F.when(filled.isNull(), F.col("item_word"))).alias("free"),
+        F.collect_set(F.when(filled.isNotNull(), F.struct("item_word", filled.alias("own")))).alias(
+            "marks"
+        ),
+        (F.max("item_word") - F.min("item_word") + WINDOW).alias("span"),
+    )
+    occurrence = stored(occurrence.where(F.col("span") >= run_words).drop("span"), "long-occurrences")
+    marked = occurrence.select(*keys, "shift", "free", F.inline("marks"))
+    own = texts.dropna(subset=["own"]).distinct()
+    marked = marked.join(own, ["family", "own"]).groupBy(*keys, "shift", "free", "values")
+    marked = marked.agg(F.collect_set("item_word").alias("same"))
+    plain = occurrence.select(*keys, "shift", "free", F.col("first_values").alias("values"))
+    plain = plain.withColumn("same", F.array().cast("array<long>"))
+    places = F.array_sort(F.array_union("free", "same"))
+    start = F.struct(*[F.lit(x).cast("long").alias(n) for n, x in (("at", 0), ("last", -WINDOW - 1), ("most", 0))])
+
+    def step(run, place):
+        # Windows that leave no word out between them.
+        at = F.when(place - run["last"] <= WINDOW, run["at"]).otherwise(place)
+        most = F.greatest(run["most"], place - at + WINDOW)
+        return F.struct(at.alias("at"), place.alias("last"), most.alias("most"))
+
+    run = marked.unionByName(plain).withColumn("places", places)
+    run = run.where(F.aggregate("places", start, step)["most"] >= run_words)
+    matched = F.size("places").cast("long")
+    return run.join(named, ["family", "values"]).select(
+        "doc_id",
+        "document",
+        F.col("id").alias("item_id"),
+        matched.alias("matched"),
+        "windows",
+        (matched / F.col("windows")).alias("share"),
+        F.lit(False).alias("reworded"),
+        "n_items",
+    )
+
+
+def leaks(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    leak_share: float = LEAK_SHARE,
+    run_words: int = RUN_WORDS,
+) -> DataFrame:
+    """A row for each document (doc_id, text) and benchmark item (item_id, text) that it holds.
+
+    doc_id, item_id, matched and windows (of the item), share = matched / windows,
+    reworded (some slot has another value), n_items. A leak has at least ``leak_share`` of an
+    item's windows, in occurrences whose slots are consistent. n_items counts the items of
+    one family: they have the same template, and their values recur in the same places. Each of
+    them whose own values the document holds in such a share has a row. If none has, the smallest id stands
+    for the family. Words that begin a sentence match as words and as names. Items of five to ten
+    words are looked for as exact words too. Items of fewer than five words, and longer ones without a
+    window of enough words, have no windows and are never found. Null texts are empty.
+    Rows that
+    repeat a document's id are judged one by one, and the text held most stands for them. A run of
+    ``run_words`` words with the item's own values is a leak whatever its share. Further columns are ignored.
+    """
+    found = _leaks(documents, benchmark, leak_share, run_words)
+    # Texts of one id, or of none, may be several: the one held most stands for it.
     best = F.max(F.struct("share", "matched", "windows", ~F.col("reworded"), "reworded", "n_items"))
-    result = result.groupBy("doc_id", "item_id").agg(best.alias("best"))
-    return result.select("doc_id", "item_id", "best.matched", "best.windows", "best.share", "best.reworded", "best.n_items")
+    found = found.groupBy("doc_id", "item_id").agg(best.alias("best"))
+    columns = ["matched", "windows", "share", "reworded", "n_items"]
+    return found.select("doc_id", "item_id", *[f"best.{c}" for c in columns])
 
 
 def without_leaks(
-    documents: DataFrame, benchmark: DataFrame, leak_share: float = LEAK_SHARE
+    documents: DataFrame,
+    benchmark: DataFrame,
+    leak_share: float = LEAK_SHARE,
+    run_words: int = RUN_WORDS,
 ) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    ids = leaks(documents, benchmark, leak_share).select(F.col("doc_id").alias("leaked_id"))
+    found = _leaks(documents, benchmark, leak_share, run_words)
+    ids = found.select(F.col("doc_id").alias("leaked_id"), F.col("document").alias("leaked_text"))
     leaked = broadcast_if_small(stored(ids.distinct(), "leaked-ids"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("leaked_id"))
+    same &= F.xxhash64("text") == F.col("leaked_text")
     return documents.join(leaked, same, "left_anti")

@@ -97,3 +97,23 @@ def test_openings_are_words_and_names(spark):
     got = found(leaks(frame, bench), "doc_id", "item_id", "reworded", "share")
     pairs = [(0, 1, True), (1, 2, False), (2, 3, False), (3, 3, False), (5, 3, True)]
     assert got == [(*pair, 1.0) for pair in pairs]
+
+
+def test_long_runs_and_rows_of_one_id(spark):
+    rng = random.Random(9)
+    long = f"{sentence(rng, 70)} 12 {sentence(rng, 60)} 12 {sentence(rng, 300)}"
+    words = long.split()
+    items = [(1, long), (2, ask(12, 300, "Anna"))]
+    documents = [
+        (1, long.replace(" 12 ", " 13 ", 1)),  # one number of two edited
+        (2, " ".join(words[200:300])),  # a hundred words of over four hundred
+        (3, " ".join(words[200:240])),
+        (None, f"{sentence(rng, 9)}. {ask(12, 300, 'Anna')}"),
+        (None, f"{sentence(rng, 9)}. {ask(45, 300, 'Anna').replace('300', '12')}"),
+        (None, f"{sentence(rng, 9)}. {sentence(rng, 60)}"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    got = found(leaks(frame, bench), "doc_id", "item_id", "reworded")
+    assert got == [(None, 2, False), (1, 1, False), (2, 1, False)]
+    assert found(without_leaks(frame, bench), "text") == sorted([(documents[2][1],), (documents[5][1],)])
