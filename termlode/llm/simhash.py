@@ -230,17 +230,19 @@ def one_of_each(
     """
     found = near_duplicates(documents, shingle_words, radius, bucket_rows)
     is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # Names that the documents don't have, as they are joined to these small tables.
+    key, kept_print = fresh_name(documents, "id"), fresh_name(documents, "kept_print")
     ids = stored(
-        found.groupBy(F.col("doc_id").alias("id"))
+        found.groupBy(F.col("doc_id").alias(key))
         .agg(F.count("*").alias("rows"), F.count_if(is_first).alias("firsts")),
         "first-ids",
     )
-    plain = F.col("id").isNotNull() & (F.col("rows") == 1)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id"))
+    plain = F.col(key).isNotNull() & (F.col("rows") == 1)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key))
     # All ids but those of a single row that stays: they are fewer, and often few.
-    others = stored(ids.where(~(plain & (F.col("firsts") == 1))).select("id"), "other-ids")
+    others = stored(ids.where(~(plain & (F.col("firsts") == 1))).select(key), "other-ids")
     kept = documents.join(broadcast_if_small(others), same, "left_anti")
-    repeated = stored(ids.where(~plain & (F.col("firsts") > 0)).select("id"), "repeated-ids")
+    repeated = stored(ids.where(~plain & (F.col("firsts") > 0)).select(key), "repeated-ids")
     if not repeated.head(1):
         return kept
     # A repeated id may stand for rows of several components: these are told by their print.
@@ -256,6 +258,6 @@ def one_of_each(
     firsts = found.where(is_first).groupBy("root").agg(
         F.min(F.struct("doc_id", "print")).alias("of")
     )
-    firsts = firsts.select(F.col("of.doc_id").alias("id"), F.col("of.print").alias("kept_print"))
-    chosen = printed.join(firsts, same & (F.col(name) == F.col("kept_print")), "left_semi")
+    firsts = firsts.select(F.col("of.doc_id").alias(key), F.col("of.print").alias(kept_print))
+    chosen = printed.join(firsts, same & (F.col(name) == F.col(kept_print)), "left_semi")
     return kept.unionByName(chosen.dropDuplicates(["doc_id", name]).drop(name))

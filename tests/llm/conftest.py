@@ -5,7 +5,7 @@ import pytest
 
 SF_DIR = Path("/root/testdata/sf0.001")
 # Columns that the operators use for themselves, beside those of documents.
-EXTRA = ("score", "print", "queue", "core", "toxicity", "spans", "kept")
+EXTRA = ("score", "print", "queue", "core", "toxicity", "spans", "kept", "id", "kept_print")
 
 
 @pytest.fixture(scope="session")
