@@ -13,11 +13,9 @@ from termlode.llm.common import stored
 from termlode.llm.decontaminate import without_leaks
 from termlode.llm.packing import pack
 from termlode.llm.repeats import without_repeats
-from termlode.llm.simhash import one_of_each
+from termlode.llm.simhash import RADIUS, SHINGLE_WORDS, one_of_each
 from termlode.llm.toxicity import without_toxic
 
-# Near-duplicates: shingles of five words, and a radius beyond op5's for more recall.
-SHINGLE_WORDS, RADIUS = 5, 6
 # Repeats: fifty words have about 320 bytes, and hardly ever fewer than 240.
 REPEAT_BYTES, REPEAT_ANCHOR = 240, 80
 
@@ -28,7 +26,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays; shingles and bits are op5's."""
     return one_of_each(docs, SHINGLE_WORDS, RADIUS)
 
 
