@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlode.llm.decontaminate import leaks
+from termlode.llm.grid_join import near_duplicates as near_vectors
 from termlode.llm.html_text import extract_text
 from termlode.llm.language import identify
 from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
@@ -78,6 +79,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         op1_html_text,
@@ -90,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_packing,
         op9_quality,
         op10_license_scan,
+        op13_embedding_duplicates,
     ]
     return {query.__name__: query for query in registered}
 
