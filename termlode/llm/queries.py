@@ -14,6 +14,7 @@ from termlode.llm.html_text import extract_text
 from termlode.llm.language import identify
 from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan, words_of
 from termlode.llm.packing import pack
+from termlode.llm.prefix_trie import prefix_trie
 from termlode.llm.quality import quality_scores
 from termlode.llm.repeats import remove_repeats
 from termlode.llm.simhash import near_duplicates
@@ -79,6 +80,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_packing,
         op9_quality,
         op10_license_scan,
+        op11_prefix_trie,
         op13_embedding_duplicates,
     ]
     return {query.__name__: query for query in registered}
