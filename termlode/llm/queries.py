@@ -16,6 +16,7 @@ from termlode.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES, license_scan,
 from termlode.llm.packing import pack
 from termlode.llm.prefix_trie import prefix_trie
 from termlode.llm.quality import quality_scores
+from termlode.llm.repair import repair
 from termlode.llm.repeats import remove_repeats
 from termlode.llm.simhash import near_duplicates
 from termlode.llm.top_k import top_k
@@ -84,6 +85,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(_table(spark, sf_dir, "conversations"))
+
+
 def op13_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality,
         op10_license_scan,
         op11_prefix_trie,
+        op12_repair,
         op13_embedding_duplicates,
     ]
     return {query.__name__: query for query in registered}

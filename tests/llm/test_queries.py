@@ -8,7 +8,7 @@ import __spark_entry__
 import corpus_pipeline
 from termlode.llm import queries
 
-TABLES = ["documents", "pages", "benchmark", "labels", "embeddings"]
+TABLES = ["documents", "pages", "benchmark", "labels", "embeddings", "conversations"]
 
 
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in queries.queries()}
     assert set(queries.queries()) <= set(names) and names["pipeline"] is corpus_pipeline.run
 
 
