@@ -329,11 +329,9 @@ def near_intervals(intervals: DataFrame, epsilon: float, parts: int) -> DataFram
         nodes = intervals.groupBy(key.alias("key")).agg(*boxes)
         levels.append(nodes.withColumn("parent", F.shiftright("key", FAN_BITS)))
         depth += 1
-    pairs = spark.range(1).select(F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q"))
-    # The root has no box of its own to fail by; its children are the first to be tried.
+    # The topmost level has one node, its own parent.
+    pairs = spark.range(1).select(F.col("id").alias("p"), F.col("id").alias("q"))
     for nodes in reversed(levels):
-        if nodes is levels[-1]:
-            nodes = nodes.withColumn("parent", F.lit(0).cast("long"))
         left, right = (
             nodes.select(*[F.col(c).alias(f"{side}_{c}") for c in nodes.columns])
             for side in ("left", "right")
