@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 
 import termlode
 from termlode.operators import tables
-from termlode.plans.scratch import prepared_index, scratch_path
+from termlode.plans.blocks import postings_of
+from termlode.plans.scratch import prepared_blocked_index, prepared_index, scratch_path
 
 QUERY = "the theory of inter"
 REPEATED = "the theory of inter inter"
 PAGE_QUERY = "De la ouier en pour"
 UNKNOWN = "Xyzzyx 1999 qqqqqqq"
+PHRASE, CLOSE_TERMS, SNIPPET_QUERY = "of the", "the of and", "that the theory of reand"
+# Documents with one of two leaves, and without two others.
+CONDITION = (termlode.has("the") | termlode.has("de la")) & ~(
+    termlode.has("of the") | (termlode.has("und") & ~termlode.has("des"))
+)
+AROUND = 3
 N, MOST = 10, 1000
 # Small enough that the batch is cut into several slices.
 SLICE_BYTES = 20_000
@@ -256,6 +263,53 @@ def unique_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def _blocked(spark: SparkSession, sf_dir: str) -> termlode.BlockedIndex:
+    return prepared_blocked_index(_documents(spark, sf_dir), f"{sf_dir}/documents")
+
+
+def blocked_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists of the blocked index, unfolded."""
+    rows = postings_of(_blocked(spark, sf_dir).blocks, "term")
+    return rows.select("doc_id", "term", *[F.col(c).cast("long").alias(c) for c in ("tf", "len")])
+
+
+def bm25_topn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(termlode.pruned_search(_blocked(spark, sf_dir), QUERY, N), BM25_DIGITS)
+
+
+def batch_bm25_topn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = termlode.pruned_search(_blocked(spark, sf_dir), _benchmark(spark, sf_dir), N)
+    return _rounded(found.withColumnRenamed("query_id", "item_id"), BM25_DIGITS)
+
+
+def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(termlode.phrase_search(_blocked(spark, sf_dir), PHRASE, N), BM25_DIGITS)
+
+
+def phrase_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return termlode.phrase_matches(_blocked(spark, sf_dir), PHRASE)
+
+
+def proximity_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return termlode.proximity_search(_blocked(spark, sf_dir), CLOSE_TERMS, N)
+
+
+def boolean_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(termlode.boolean_search(_blocked(spark, sf_dir), CONDITION, MOST), BM25_DIGITS)
+
+
+def search_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = termlode.search_with_snippets(_blocked(spark, sf_dir), SNIPPET_QUERY, N, AROUND)
+    return _rounded(found, BM25_DIGITS)
+
+
+def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = [(), ("title",), ("url",), ("title", "url")]
+    found = termlode.facet_counts(_index(spark, sf_dir), QUERY, sets)
+    names = {"title": "lang", "url": "source"}
+    return _rounded(found.withColumnsRenamed(names), BM25_DIGITS, "best_score")
+
+
 def unknown_term_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return termlode.bm25_search(_index(spark, sf_dir), UNKNOWN, N)
 
@@ -333,6 +387,15 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         batch_tfdf_topn_sliced,
         tfdf_forward_index,
         unique_documents,
+        blocked_postings,
+        bm25_topn_pruned,
+        batch_bm25_topn_pruned,
+        phrase_matches,
+        phrase_search,
+        proximity_search,
+        boolean_search,
+        search_snippets,
+        facet_counts,
     ]
     return {query.__name__: query for query in registered}
 
@@ -431,6 +494,94 @@ def _page_sql() -> str:
     url, score FROM ({found}) found JOIN pages ON page_id = found.doc_id"""
 
 
+def _list_sql(items: list[str]) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in items) + "]"
+
+
+def _phrase_sql(phrase: str) -> str:
+    """Documents with a phrase: its places by comparing every stretch of its length."""
+    words = phrase.split()
+    return f"""SELECT doc_id, len(toks) AS len, list_filter(range(len(toks) - {len(words) - 1}),
+        lambda i: toks[i + 1 : i + {len(words)}] = {_list_sql(words)}) AS spots FROM tokens"""
+
+
+_RANKED_SQL = """CAST(row_number() OVER (ORDER BY
+    CASE WHEN score > 0 THEN round(ln(score) * 1e9) END DESC NULLS LAST, doc_id) AS INTEGER)"""
+
+
+def _phrase_search_sql() -> str:
+    return f"""{_index_sql()},
+    found AS (SELECT * FROM ({_phrase_sql(PHRASE)}) WHERE len(spots) > 0),
+    counted AS (SELECT *, len(spots) AS tf, (SELECT count(*) FROM found) AS df FROM found),
+    scored AS (SELECT doc_id, {_bm25_part()} AS score, CAST(tf AS INTEGER) AS matches,
+                      CAST(spots[1] AS INTEGER) AS first FROM counted, stats)
+    SELECT * FROM (SELECT {_RANKED_SQL} AS rank, doc_id, round(score, {BM25_DIGITS}) AS score,
+                          matches, first FROM scored) WHERE rank <= {N}"""
+
+
+# Of documents with toks and terms, the smallest stretch with all terms that starts at a token.
+_SPANS_SQL = """
+    starts AS (SELECT *, unnest(range(len(toks))) AS first FROM asked_docs),
+    spans AS (SELECT doc_id, first, list_transform(terms,
+                lambda t: nullif(list_position(toks[first + 1 :], t), 0)) AS ends, terms
+              FROM starts WHERE list_contains(terms, toks[first + 1])),
+    best AS (SELECT doc_id, min({'span': list_max(ends), 'first': first}) AS b FROM spans
+             WHERE list_count(ends) = len(terms) GROUP BY doc_id)"""
+
+
+def _proximity_sql() -> str:
+    terms = _list_sql(CLOSE_TERMS.split())
+    return f"""{_index_sql()},
+    asked_docs AS (SELECT doc_id, toks, {terms} AS terms FROM tokens
+                   WHERE list_has_all(toks, {terms})),{_SPANS_SQL}
+    SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY b.span, doc_id) AS INTEGER) AS rank,
+                          doc_id, CAST(b.span AS INTEGER) AS span, CAST(b.first AS INTEGER) AS first
+                   FROM best) WHERE rank <= {N}"""
+
+
+def _boolean_sql() -> str:
+    def phrase(text: str) -> str:
+        return f"(SELECT doc_id FROM ({_phrase_sql(text)}) WHERE len(spots) > 0)"
+
+    start = _index_sql() + _query_sql(_one("the de la")) + _scores_sql(_bm25_part())
+    return f"""{start},
+    met AS (SELECT doc_id FROM tokens WHERE
+      (list_contains(toks, 'the') OR doc_id IN {phrase("de la")})
+      AND NOT (doc_id IN {phrase("of the")}
+               OR (list_contains(toks, 'und') AND NOT list_contains(toks, 'des')))),
+    -- A term under two nots is wanted again.
+    more AS (SELECT p.doc_id, {_bm25_part()} AS part FROM postings p
+             JOIN frequencies USING (term) JOIN lengths USING (doc_id), stats WHERE term = 'des'),
+    hits_met AS (SELECT doc_id, score + coalesce(part, CAST(0 AS DOUBLE)) AS score
+                 FROM scores JOIN met USING (doc_id) LEFT JOIN more USING (doc_id))
+    SELECT * FROM (SELECT {_RANKED_SQL} AS rank, doc_id, round(score, {BM25_DIGITS}) AS score
+                   FROM hits_met) WHERE rank <= {MOST}"""
+
+
+def _snippet_sql() -> str:
+    terms = _list_sql(SNIPPET_QUERY.split())
+    top = _index_sql() + _query_sql(_one(SNIPPET_QUERY)) + _scores_sql(_bm25_part())
+    return f"""{top},
+    asked_docs AS (SELECT doc_id, toks, list_intersect({terms}, toks) AS terms FROM tokens
+                   JOIN ranked USING (doc_id) WHERE rank <= {N}),{_SPANS_SQL},
+    cut AS (SELECT doc_id, toks, len(terms) AS found, greatest(0, coalesce(b.first, 0) - {AROUND})
+              AS first, least(len(toks) - 1, coalesce(b.first + b.span - 1, 0) + {AROUND}) AS last
+            FROM asked_docs LEFT JOIN best USING (doc_id))
+    SELECT rank, doc_id, round(score, {BM25_DIGITS}) AS score, CAST(found AS INTEGER) AS found,
+           CAST(first AS INTEGER) AS first, CAST(last AS INTEGER) AS last,
+           array_to_string(toks[first + 1 : last + 1], ' ') AS snippet
+    FROM ranked JOIN cut USING (doc_id) WHERE rank <= {N}"""
+
+
+def _facet_sql() -> str:
+    start = _index_sql() + _query_sql(_one(QUERY)) + _scores_sql(_bm25_part())
+    return f"""{start}
+    SELECT lang, source, CAST(grouping(lang, source) AS BIGINT) AS level, count(*) AS documents,
+           round(max(score), {BM25_DIGITS}) AS best_score
+    FROM hits JOIN documents USING (doc_id)
+    GROUP BY GROUPING SETS ((), (lang), (source), (lang, source))"""
+
+
 def search_sql() -> dict[str, str]:
     """For each query of the search library, the same result as DuckDB SQL."""
     index = _index_sql()
@@ -480,6 +631,16 @@ def search_sql() -> dict[str, str]:
               AS weight_sum
             FROM lengths l LEFT JOIN (postings JOIN frequencies USING (term)) p
               ON p.doc_id = l.doc_id GROUP BY l.doc_id""",
+        "blocked_postings": f"{index} SELECT doc_id, term, tf, len FROM postings JOIN lengths USING (doc_id)",
+        "bm25_topn_pruned": top,
+        "batch_bm25_topn_pruned": _batch_sql(bm25, BM25_DIGITS),
+        "phrase_matches": f"""{index} SELECT doc_id, CAST(len(spots) AS INTEGER) AS matches,
+            CAST(spots[1] AS INTEGER) AS first FROM ({_phrase_sql(PHRASE)}) WHERE len(spots) > 0""",
+        "phrase_search": _phrase_search_sql(),
+        "proximity_search": _proximity_sql(),
+        "boolean_search": _boolean_sql(),
+        "search_snippets": _snippet_sql(),
+        "facet_counts": _facet_sql(),
         "unique_documents": """SELECT doc_id,
             md5(CASE WHEN doc_id % 5 = 0 THEN least(text, 'A ' || text) ELSE text END) AS text_md5
             FROM documents""",

@@ -2,6 +2,11 @@
 
 from termlode.functions.scoring import bm25_idf, bm25_term_score, tfdf_weight
 from termlode.functions.text import term_counts, tokenize
+from termlode.plans.blocks import (
+    BlockedIndex,
+    load_blocked_index,
+    write_blocked_index,
+)
 from termlode.plans.index import (
     SearchIndex,
     build_index,
@@ -13,9 +18,21 @@ from termlode.plans.index import (
     write_index,
     write_tfdf_index,
 )
+from termlode.plans.matching import (
+    Condition,
+    boolean_search,
+    has,
+    phrase_matches,
+    phrase_search,
+    proximity_search,
+    search_with_snippets,
+    with_snippets,
+)
+from termlode.plans.pruning import pruned_search
 from termlode.plans.search import (
     bm25_scores,
     bm25_search,
+    facet_counts,
     known_query_terms,
     score_all,
     tfdf_scores,
@@ -33,21 +50,32 @@ from termlode.sources import (
 from termlode.sources.ranking import read_ranking, write_ranking
 
 __all__ = [
+    "BlockedIndex",
+    "Condition",
     "SearchIndex",
     "as_corpus",
     "bm25_idf",
     "bm25_scores",
     "bm25_search",
     "bm25_term_score",
+    "boolean_search",
     "build_index",
     "drop_duplicate_ids",
+    "facet_counts",
+    "has",
     "known_query_terms",
+    "load_blocked_index",
     "load_index",
     "load_tfdf_index",
+    "phrase_matches",
+    "phrase_search",
+    "proximity_search",
+    "pruned_search",
     "read_json_corpus",
     "read_ranking",
     "read_raw_corpus",
     "score_all",
+    "search_with_snippets",
     "spread_few_splits",
     "suggest_shards",
     "term_counts",
@@ -59,6 +87,8 @@ __all__ = [
     "tokenize",
     "with_details",
     "with_metadata",
+    "with_snippets",
+    "write_blocked_index",
     "write_index",
     "write_ranking",
     "write_tfdf_index",

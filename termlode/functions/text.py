@@ -33,6 +33,47 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _runs(ordered: Column, same: Callable[[Column, Column], Column], run) -> Column:
+    """``run`` of the first and last place (from 1) of each run of equal items in order.
+
+    An item is compared with the one after it, null at the end. Both arrays are bound, so
+    that the lambdas never compute them again.
+    """
+    ends = F.array_compact(
+        F.transform(
+            ordered, lambda item, i: F.when(~F.coalesce(same(F.get(ordered, i + 1), item), F.lit(False)), i + 1)
+        )
+    )
+
+    def each(ends: Column) -> Column:
+        return F.transform(
+            ends,
+            lambda end, k: run(F.when(k == 0, 1).otherwise(F.get(ends, k - 1) + 1), end),
+        )
+
+    return _bind(ends, each)
+
+
+def term_positions(tokens: Column) -> Column:
+    """Tokens to an array of (term, positions), in term order; positions count from 0.
+
+    Terms are sorted together with their places, so the places of a term are a slice.
+    """
+    placed = F.transform(tokens, lambda term, i: F.struct(term.alias("term"), i.alias("at")))
+
+    def runs(ordered: Column) -> Column:
+        def run(first: Column, last: Column) -> Column:
+            places = F.slice(ordered, first, last - first + 1)
+            return F.struct(
+                F.get(ordered, last - 1)["term"].alias("term"),
+                F.transform(places, lambda place: place["at"]).alias("positions"),
+            )
+
+        return _runs(ordered, lambda after, item: after["term"] == item["term"], run)
+
+    return _bind(F.sort_array(placed), runs)
+
+
 def term_counts(tokens: Column) -> Column:
     """Tokens to an array of (term, tf), in term order.
 

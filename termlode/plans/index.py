@@ -64,11 +64,11 @@ def build_index(corpus: DataFrame) -> SearchIndex:
         frequencies=frequencies,
         stats=tables.corpus_stats(lengths, frequencies),
         first_docs=first_documents(lengths),
-        details=_details(corpus),
+        details=details_of(corpus),
     )
 
 
-def _details(corpus: DataFrame) -> DataFrame:
+def details_of(corpus: DataFrame) -> DataFrame:
     shown = [
         F.col(c) if c in corpus.columns else F.lit(None).cast("string").alias(c)
         for c in ("title", "url")
@@ -94,20 +94,20 @@ def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> Sear
     written last: a folder without them is unfinished.
     """
     spark = corpus.sparkSession
-    _check_location(root)
+    check_location(root)
     shards = shards or suggest_shards(corpus)
 
     placed = corpus.select("doc_id", "text").repartition(shards, "doc_id")
-    _write_bucketed(tables.forward_index(placed), root, "forward", shards, ["doc_id"])
-    forward = _bucketed(spark, root, "forward", shards, ["doc_id"])
+    write_bucketed(tables.forward_index(placed), root, "forward", shards, ["doc_id"])
+    forward = bucketed(spark, root, "forward", shards, ["doc_id"])
     repeated = forward.groupBy("doc_id").count().where("count > 1").limit(1).collect()
     if repeated:
         raise ValueError(f"ids must be unique, and {repeated[0]['doc_id']!r} is not")
-    _details(corpus).sort("doc_id").write.mode("errorifexists").parquet(f"{root}/details")
+    details_of(corpus).sort("doc_id").write.mode("errorifexists").parquet(f"{root}/details")
 
     rows = tables.postings(forward)
-    _write_bucketed(rows, root, "postings", shards, ["term", "doc_id"])
-    posting_rows = _bucketed(spark, root, "postings", shards, ["term", "doc_id"])
+    write_bucketed(rows, root, "postings", shards, ["term", "doc_id"])
+    posting_rows = bucketed(spark, root, "postings", shards, ["term", "doc_id"])
 
     frequencies = tables.document_frequency(posting_rows).sort("term")
     frequencies.write.mode("errorifexists").parquet(f"{root}/frequencies")
@@ -124,12 +124,12 @@ def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> Sear
 
 def load_index(spark: SparkSession, root: str) -> SearchIndex:
     """An index written before, also by another session."""
-    _check_location(root)
+    check_location(root)
     stats = spark.read.parquet(f"{root}/stats")
     shards = stats.select("shards").first()["shards"]
     return SearchIndex(
-        forward=_bucketed(spark, root, "forward", shards, ["doc_id"]),
-        postings=_bucketed(spark, root, "postings", shards, ["term", "doc_id"]),
+        forward=bucketed(spark, root, "forward", shards, ["doc_id"]),
+        postings=bucketed(spark, root, "postings", shards, ["term", "doc_id"]),
         frequencies=spark.read.parquet(f"{root}/frequencies"),
         stats=stats.drop("shards"),
         first_docs=spark.read.parquet(f"{root}/first_docs"),
@@ -172,48 +172,53 @@ def tfdf_forward(index: SearchIndex) -> DataFrame:
 
 def write_tfdf_index(index: SearchIndex, root: str) -> DataFrame:
     """Store the forward index of the tf/df ranking in a new folder; returns it read back."""
-    _check_location(root)
+    check_location(root)
     tfdf_forward(index).write.mode("errorifexists").parquet(root)
     return load_tfdf_index(index.stats.sparkSession, root)
 
 
 def load_tfdf_index(spark: SparkSession, root: str) -> DataFrame:
     """A forward index of the tf/df ranking written before."""
-    _check_location(root)
+    check_location(root)
     return spark.read.parquet(root)
 
 
-def _check_location(root: str) -> None:
+def check_location(root: str) -> None:
     if not (root.startswith("/") or ":/" in root):
         raise ValueError(f"an index needs an absolute path or a URI, not {root!r}")
 
 
-def _table_name(root: str, part: str, shards: int) -> str:
+def table_name(root: str, part: str, shards: int) -> str:
     place = hashlib.sha256(f"{root.rstrip('/')}|{shards}".encode()).hexdigest()[:16]
     return f"termlode_{place}_{part}"
 
 
-def _write_bucketed(
-    frame: DataFrame, root: str, part: str, shards: int, order: list[str]
+def write_bucketed(
+    frame: DataFrame, root: str, part: str, shards: int, order: list[str], key: str = "doc_id"
 ) -> None:
     """Write one part; an existing folder is an error, a table left without one is not."""
-    name = _table_name(root, part, shards)
+    name = table_name(root, part, shards)
     frame.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     (
         frame.write.format("parquet")
         .mode("errorifexists")
-        .bucketBy(shards, "doc_id")
+        .bucketBy(shards, key)
         .sortBy(*order)
         .option("path", f"{root}/{part}")
         .saveAsTable(name)
     )
 
 
-def _bucketed(
-    spark: SparkSession, root: str, part: str, shards: int, order: list[str]
+def bucketed(
+    spark: SparkSession,
+    root: str,
+    part: str,
+    shards: int,
+    order: list[str],
+    key: str = "doc_id",
 ) -> DataFrame:
     """A stored part as a table, so that Spark knows its buckets."""
-    name = _table_name(root, part, shards)
+    name = table_name(root, part, shards)
     if not spark.catalog.tableExists(name):
         path = f"{root}/{part}"
         quoted = path.replace("\\", "\\\\").replace("'", "\\'")
@@ -221,7 +226,7 @@ def _bucketed(
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet"
-            f" CLUSTERED BY (doc_id) SORTED BY ({', '.join(order)}) INTO {shards} BUCKETS"
+            f" CLUSTERED BY (`{key}`) SORTED BY ({', '.join(order)}) INTO {shards} BUCKETS"
             f" LOCATION '{quoted}'"
         )
     spark.catalog.refreshTable(name)

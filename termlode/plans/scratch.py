@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TYPE_CHECKING, Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from termlode.plans.index import SearchIndex, write_index
 
+if TYPE_CHECKING:
+    from termlode.plans.blocks import BlockedIndex
+
 
 def shared_folder(spark: SparkSession) -> str | None:
     """The session's checkpoint folder; a temporary one only on a local master.
@@ -46,14 +51,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_required_folder(spark)}/termlode-{name}-{uuid.uuid4().hex}"
 
 
-_prepared: dict[tuple[str, str], SearchIndex] = {}
+_prepared: dict[tuple[str, str], Any] = {}
 
 
-def prepared_index(corpus: DataFrame, name: str) -> SearchIndex:
-    """An index of a corpus straight from files, written once per session and name."""
-    spark = corpus.sparkSession
+def prepared(spark: SparkSession, name: str, make: Callable[[str], Any]) -> Any:
+    """What ``make`` writes below a new folder, made once per session and name."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _prepared:
-        root = scratch_path(spark, "index")
-        _prepared[key] = write_index(corpus, root)
+        _prepared[key] = make(scratch_path(spark, "index"))
     return _prepared[key]
+
+
+def prepared_index(corpus: DataFrame, name: str) -> SearchIndex:
+    """An index of a corpus straight from files, written once per session and name."""
+    return prepared(corpus.sparkSession, name, lambda root: write_index(corpus, root))
+
+
+def prepared_blocked_index(corpus: DataFrame, name: str) -> BlockedIndex:
+    """The same for a blocked index."""
+    from termlode.plans.blocks import write_blocked_index
+
+    return prepared(
+        corpus.sparkSession, f"{name}/blocked", lambda root: write_blocked_index(corpus, root)
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -42,7 +42,7 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class _Asked:
+class Asked:
     """Queries after tokenizing, the same in every use: query_id, terms (term, qtf)."""
 
     queries: DataFrame
@@ -54,7 +54,7 @@ class _Asked:
         return self.queries.select("query_id")
 
 
-def _ask(queries: DataFrame | str, spark: SparkSession, broadcast_bytes: int) -> _Asked:
+def ask(queries: DataFrame | str, spark: SparkSession, broadcast_bytes: int) -> Asked:
     """Tokenizes the queries once, and cuts their terms into slices that can be broadcast.
 
     A frame of queries is settled first: it may give other rows when it is read again, and
@@ -66,18 +66,18 @@ def _ask(queries: DataFrame | str, spark: SparkSession, broadcast_bytes: int) ->
     else:
         counted = settle(count_terms(queries, "query_id", "query"))
     terms = _terms_of(counted)
-    sized = terms.select("term", _row_bytes("term", "query_id").alias("bytes"))
+    sized = terms.select("term", row_bytes("term", "query_id").alias("bytes"))
     head = sized.limit(FILTER_TERMS + 1).collect()
     few = len(head) <= FILTER_TERMS
     known = sorted({row["term"] for row in head}) if few else None
     size = sum(row["bytes"] for row in head) if few else sized.agg(F.sum("bytes")).first()[0]
     number = max(1, -(-size // max(1, broadcast_bytes)))
     if number == 1:
-        return _Asked(counted, [terms], known)
+        return Asked(counted, [terms], known)
     # A slice has at least one query.
     number = min(number, counted.count())
     place = F.pmod(F.xxhash64("query_id"), F.lit(number))
-    return _Asked(counted, [terms.where(place == i) for i in range(number)], known)
+    return Asked(counted, [terms.where(place == i) for i in range(number)], known)
 
 
 def _terms_of(counted: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def _terms_of(counted: DataFrame) -> DataFrame:
     return terms.where(F.col("term").isNotNull())
 
 
-def _row_bytes(*columns: str) -> Column:
+def row_bytes(*columns: str) -> Column:
     """Bytes of a row with these columns in a broadcast table."""
     size = F.lit(ROW_BYTES)
     for column in columns:
@@ -97,7 +97,7 @@ def known_query_terms(
     index: SearchIndex, queries: DataFrame | str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """query_id, term, qtf, df; terms that no document contains are left out."""
-    asked = _ask(queries, index.stats.sparkSession, broadcast_bytes)
+    asked = ask(queries, index.stats.sparkSession, broadcast_bytes)
     return _all([_with_df(index, terms, asked.known) for terms in asked.slices])
 
 
@@ -105,7 +105,7 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _narrow(frame: DataFrame, known: list[str] | None) -> DataFrame:
+def narrow(frame: DataFrame, known: list[str] | None) -> DataFrame:
     """Only rows with these terms, as a chain of equalities.
 
     A list of more than ten values would reach the scan as its minimum and maximum.
@@ -116,17 +116,17 @@ def _narrow(frame: DataFrame, known: list[str] | None) -> DataFrame:
 
 
 def _with_df(index: SearchIndex, terms: DataFrame, known: list[str] | None) -> DataFrame:
-    joined = _narrow(index.frequencies, known).join(F.broadcast(terms), "term")
+    joined = narrow(index.frequencies, known).join(F.broadcast(terms), "term")
     return joined.select("query_id", "term", "qtf", "df")
 
 
-def _scores(index: SearchIndex, asked: _Asked, weight: Column, contribution: Column) -> DataFrame:
+def _scores(index: SearchIndex, asked: Asked, weight: Column, contribution: Column) -> DataFrame:
     """query_id, doc_id, score of all documents with at least one query term.
 
     One pass over the postings for each slice of the queries. The weights of a slice go to
     every task, so that no posting moves: the scores of a document add up in its bucket.
     """
-    rows = _narrow(index.postings, asked.known)
+    rows = narrow(index.postings, asked.known)
     parts = []
     for terms in asked.slices:
         weights = _with_df(index, terms, asked.known)
@@ -143,10 +143,10 @@ def _search(
     n: int,
     include_zero: bool,
     broadcast_bytes: int,
-    scores: Callable[[_Asked], DataFrame],
+    scores: Callable[[Asked], DataFrame],
 ) -> DataFrame:
     check_result_count(n)
-    asked = _ask(queries, index.stats.sparkSession, broadcast_bytes)
+    asked = ask(queries, index.stats.sparkSession, broadcast_bytes)
     hits = scores(asked)
     if isinstance(queries, str):
         top = best_of_one(hits, n)
@@ -160,7 +160,7 @@ def _search(
 
 
 def _bm25(
-    index: SearchIndex, asked: _Asked, k1: float, b: float, tf_scale: float
+    index: SearchIndex, asked: Asked, k1: float, b: float, tf_scale: float
 ) -> DataFrame:
     scoring.check_bm25(k1, b, tf_scale)
     weight = scoring.bm25_idf(F.col("df"), index.stat("n_docs"))
@@ -170,7 +170,7 @@ def _bm25(
     return _scores(index, asked, weight, part)
 
 
-def _tfdf(index: SearchIndex, asked: _Asked) -> DataFrame:
+def _tfdf(index: SearchIndex, asked: Asked) -> DataFrame:
     df = F.col("df")
     weight = F.struct(scoring.tfdf_weight(F.col("qtf"), df).alias("query"), df.alias("df"))
     part = F.col("weight.query") * scoring.tfdf_weight(F.col("tf"), F.col("weight.df"))
@@ -191,7 +191,7 @@ def bm25_scores(
     frequency; 10 gives the scores of an index whose frequencies were stored with
     one decimal and read back without the point.
     """
-    asked = _ask(queries, index.stats.sparkSession, broadcast_bytes)
+    asked = ask(queries, index.stats.sparkSession, broadcast_bytes)
     return _bm25(index, asked, k1, b, tf_scale)
 
 
@@ -203,7 +203,7 @@ def tfdf_scores(
     The query side carries the df of its terms, so the document weights are
     computed here for the matching postings alone.
     """
-    return _tfdf(index, _ask(queries, index.stats.sparkSession, broadcast_bytes))
+    return _tfdf(index, ask(queries, index.stats.sparkSession, broadcast_bytes))
 
 
 def bm25_search(
@@ -225,7 +225,7 @@ def bm25_search(
     no posting moves.
     """
 
-    def scores(asked: _Asked) -> DataFrame:
+    def scores(asked: Asked) -> DataFrame:
         return _bm25(index, asked, k1, b, tf_scale)
 
     return _search(index, queries, n, include_zero, broadcast_bytes, scores)
@@ -240,7 +240,7 @@ def tfdf_search(
 ) -> DataFrame:
     """The n best documents by the tf/df dot product; see bm25_search."""
 
-    def scores(asked: _Asked) -> DataFrame:
+    def scores(asked: Asked) -> DataFrame:
         return _tfdf(index, asked)
 
     return _search(index, queries, n, include_zero, broadcast_bytes, scores)
@@ -267,7 +267,7 @@ def with_metadata(
     """
     details = corpus.drop("text")
     results = settle(results)
-    size = results.agg(F.sum(_row_bytes("doc_id"))).first()[0] or 0
+    size = results.agg(F.sum(row_bytes("doc_id"))).first()[0] or 0
     if size <= broadcast_bytes:
         ids = results.select("doc_id").distinct()
         details = details.join(F.broadcast(ids), "doc_id", "left_semi")
@@ -289,3 +289,28 @@ def with_details(
         return with_metadata(results, details, broadcast_bytes)
     chosen = reduce(or_, [F.col("doc_id") == row["doc_id"] for row in ids], F.lit(False))
     return results.join(F.broadcast(details.where(chosen)), "doc_id", "left")
+
+
+def facet_counts(
+    index: SearchIndex,
+    query: str,
+    sets: Sequence[Sequence[str]] = ((), ("title",), ("url",)),
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """How many documents match a query, by sets of the columns that the index keeps.
+
+    All documents with at least one of the query's terms count, not only the best of them.
+    The result has the columns of all sets, ``level`` (one bit for each column that the row's
+    set leaves out, the last column lowest), documents and best_score. All sets are counted
+    in one pass, in each task first.
+    """
+    columns = list(dict.fromkeys(name for one in sets for name in one))
+    hits = bm25_scores(index, query, broadcast_bytes=broadcast_bytes).select("doc_id", "score")
+    joined = hits.join(index.details.select("doc_id", *columns), "doc_id")
+    measures = [F.count("*").alias("documents"), F.max("score").alias("best_score")]
+    if not columns:
+        return joined.agg(F.lit(0).cast("long").alias("level"), *measures)
+    grouped = joined.groupingSets(sets, *columns)
+    return grouped.agg(F.grouping_id().alias("level"), *measures).select(
+        *columns, "level", "documents", "best_score"
+    )

@@ -13,6 +13,10 @@ TABLES = ["documents", "pages", "benchmark"]
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no generated tables")
 
 
+def nulls_first(row):
+    return [(x is not None, x) for x in row]
+
+
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()
@@ -35,8 +39,8 @@ def test_entry(spark):
 def test_query_equals_sql(spark, database, name):
     frame = entry_point.queries()[name](spark, str(SF_DIR))
     columns = sorted(frame.columns)
-    found = sorted(tuple(row) for row in frame.select(*columns).collect())
+    found = sorted((tuple(row) for row in frame.select(*columns).collect()), key=nulls_first)
     sql = f"SELECT {', '.join(columns)} FROM ({entry_point.oracle_sql()[name]})"
-    expected = sorted(database.execute(sql).fetchall())
+    expected = sorted(database.execute(sql).fetchall(), key=nulls_first)
     assert found == expected
     assert found
