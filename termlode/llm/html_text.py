@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
@@ -42,12 +43,22 @@ CHROME_NAMES = (
     " search share sharebar sharing sidebar sidenav signin signup skip social sponsor sponsored"
     " subscribe subscription teaser toolbar topbar widget widgets"
 ).split()
+# Elements whose content is raw text up to their end, or that of the page.
+TO_THE_END = "script style noscript iframe textarea title".split()
+# Names that may stand on a wrapper around a whole page, beside being chrome themselves.
+WRAPPER_NAMES = (
+    "banner dropdown login menu modal nav navbar navigation notice overlay search share sidebar"
+    " sidenav signin skip subscribe toolbar topbar widget widgets"
+).split()
+# Share of a page's words that such a wrapper holds if there is no article in it.
+WRAPPED_SHARE = 0.75
 # These are chrome outside of an article; inside, they hold its title.
 CHROME_OUTSIDE = "header masthead".split()
 
 _RAW, _BLOCK, _VOID = frozenset(RAW), frozenset(BLOCK), frozenset(VOID)
 _CHROME_TAGS, _CHROME_ROLES = frozenset(CHROME_TAGS), frozenset(CHROME_ROLES)
 _CHROME_NAMES, _CHROME_OUTSIDE = frozenset(CHROME_NAMES), frozenset(CHROME_OUTSIDE)
+_TO_THE_END, _WRAPPER_NAMES = frozenset(TO_THE_END), frozenset(WRAPPER_NAMES)
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _STATE_NAMES = ("has-", "has_", "with-", "with_", "no-", "no_", "is-", "is_", "show-", "show_")
 
@@ -63,41 +74,51 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-@dataclass
+@dataclass(eq=False)
 class _Open:
+    """An open element; a wrapper is chrome that may hold a whole page."""
+
     tag: str
     chrome: bool
+    wrapper: bool
     article: bool
 
 
-def _is_chrome(tag: str, rest: str, in_article: bool) -> bool:
+def _chrome(tag: str, rest: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is chrome, and if so, whether it may be a wrapper."""
     if tag in ("html", "body"):
-        return False
+        return False, False
     if tag in _CHROME_TAGS or (tag == "header" and not in_article):
-        return True
+        return True, tag == "form"
     if not rest or "=" not in rest and "hidden" not in rest:
-        return False
+        return False, False
     for name, *values in _ATTRIBUTE.findall(rest):
         value = "".join(values)
         name = name.lower()
         if name == "hidden" or name == "style" and _HIDDEN.search(value):
-            return True
+            return True, False
         if name == "role" and value.lower() in _CHROME_ROLES:
-            return True
+            return True, False
         if name in ("class", "id"):
             for word in value.split():
                 if word.lower().startswith(_STATE_NAMES):
                     continue
                 apart = re.sub(r"([a-z])([A-Z])", r"\1 \2", word).lower()
                 parts = set(re.findall(r"[a-z]+", apart))
-                if parts & _CHROME_NAMES or not in_article and parts & _CHROME_OUTSIDE:
-                    return True
-    return False
+                named = parts & _CHROME_NAMES
+                if named or not in_article and parts & _CHROME_OUTSIDE:
+                    return True, bool(named) and named <= _WRAPPER_NAMES
+    return False, False
 
 
 def text_blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
-    """(text, link density, in an article, in chrome, heading) of all non-empty blocks."""
+    """(text, link density, in an article, in chrome, heading) of all non-empty blocks.
+
+    A wrapper outside of all articles is no chrome if all article blocks of the page are in
+    it, or if it holds most words of a page without any.
+    """
     blocks: list[tuple[str, float, bool, bool, bool]] = []
+    wrapped: list[list[_Open]] = []
     stack: list[_Open] = []
     parts: list[str] = []
     linked: list[str] = []
@@ -109,8 +130,12 @@ def text_blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 share = len(" ".join(html.unescape("".join(linked)).split())) / len(text)
-                chrome = any(o.chrome for o in stack)
-                article = any(o.article for o in stack)
+                inner = max((i for i, o in enumerate(stack) if o.article), default=-1)
+                article = inner >= 0
+                around = [o for o in stack[: inner + 1] if o.chrome] if article else stack
+                wrapped.append([o for o in around if o.wrapper])
+                chrome = any(o.chrome for o in stack[inner + 1 :] if article or not o.wrapper)
+                chrome = chrome or any(not o.wrapper for o in around if o.chrome)
                 blocks.append((text, min(1.0, share), article, chrome, heading))
             parts.clear()
             linked.clear()
@@ -131,7 +156,7 @@ def text_blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
         if tag in _RAW and not closing:
             if not found["rest"].endswith("/"):
                 end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                if tag == "head" and not end:
+                if not end and tag not in _TO_THE_END:
                     continue
                 at = end.end() if end else len(page)
             if tag != "button":
@@ -160,14 +185,34 @@ def text_blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
             if tag in ("li", "dd", "dt", "tr", "td", "th", "option") and stack:
                 if stack[-1].tag == tag:
                     stack.pop()
-        chrome = _is_chrome(tag, found["rest"], in_article)
+        chrome, wrapper = _chrome(tag, found["rest"], in_article)
         if tag in _BLOCK or chrome:
             article = tag in ("article", "main") or 'role="main"' in found["rest"]
             if not found["rest"].endswith("/"):
-                stack.append(_Open(tag, chrome, article))
+                stack.append(_Open(tag, chrome, wrapper, article))
     add(page[at:])
     close_block()
-    return blocks
+    harmless = _harmless(blocks, wrapped)
+    return [
+        (*block[:3], block[3] or not harmless.issuperset(around), block[4])
+        for block, around in zip(blocks, wrapped, strict=True)
+    ]
+
+
+def _harmless(
+    blocks: list[tuple[str, float, bool, bool, bool]], wrapped: list[list[_Open]]
+) -> set[_Open]:
+    """Wrappers that are no chrome; ``wrapped`` has those around each block."""
+    articles = [set(w) for b, w in zip(blocks, wrapped, strict=True) if b[2] and not b[3]]
+    if articles:
+        return set.intersection(*articles)
+    if any(block[2] for block in blocks):
+        return set()
+    words: Counter = Counter()
+    for block, around in zip(blocks, wrapped, strict=True):
+        words.update(dict.fromkeys(around, len(block[0].split())))
+    least = WRAPPED_SHARE * sum(len(block[0].split()) for block in blocks)
+    return {wrapper for wrapper, count in words.items() if count >= least}
 
 
 FEATURES = (
