@@ -16,20 +16,19 @@ trigram table is fitted on a bounded sample of labelled documents.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termlode.llm.common import stored, text_slices, to_tasks
 
-# The sample: of the languages with the most documents, those with the smallest hash of
-# id, of at most so many characters.
-LANGUAGES, SAMPLE_ROWS, SAMPLE_CHARS = 64, 200, 8_000
+# The sample: of every language, the documents with the smallest hashes of id and text, of
+# at most so many characters.
+SAMPLE_ROWS, SAMPLE_CHARS = 200, 8_000
 BUCKETS = 1 << 16
 # Weight of a text in trigrams, and of the smoothing in pages.
 TEXT_WEIGHT, SMOOTHING = 100.0, 5.0
@@ -84,26 +83,27 @@ def fit_trigrams(texts: list[str], labels: list[str]) -> tuple[list[str], np.nda
     return languages, np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
-def labelled_sample(documents: DataFrame) -> tuple[list[str], list[str]]:
-    """Texts and languages of a bounded sample; rows without a language don't count."""
-    known = documents.where(F.length(F.trim("lang")) > 0)
-    counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    # Twice as many rows by hash as wanted of each language, in one scan.
-    share = {r["lang"]: 2 * SAMPLE_ROWS / r["count"] for r in counted.collect()}
-    if not share:
-        return [], []
-    shares = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
-    place = F.xxhash64("doc_id").alias("place")
-    low = F.pmod(place, F.lit(1 << 20)) < F.element_at(shares, F.col("lang")) * (1 << 20)
-    short = known.where((F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS) & low)
-    rows = short.select("lang", place, "text").limit(4 * SAMPLE_ROWS * len(share)).collect()
-    texts, labels, taken = [], [], Counter()
-    for row in sorted(rows):
-        if taken[row["lang"]] < SAMPLE_ROWS:
-            taken[row["lang"]] += 1
-            texts.append(row["text"])
-            labels.append(row["lang"])
-    return texts, labels
+def labelled_sample(
+    documents: DataFrame, sample_rows: int = SAMPLE_ROWS
+) -> tuple[list[str], list[str]]:
+    """Texts and languages of a bounded sample; rows without a language don't count.
+
+    Every language is in it, and of each language the same rows on each run. The hashes are
+    ranked without their texts, a few per task and language; rows with the same id and text
+    are one.
+    """
+    short = documents.where(
+        (F.length(F.trim("lang")) > 0)
+        & (F.length("text") > 0)
+        & (F.length("text") <= SAMPLE_CHARS)
+    ).select("lang", F.xxhash64("doc_id", "text").alias("place"), "text")
+    places = short.select("lang", "place").distinct()
+    at = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    lowest = places.withColumn("at", at).where(F.col("at") <= sample_rows).select("lang", "place")
+    chosen = short.join(F.broadcast(lowest), ["lang", "place"]).groupBy("lang", "place")
+    rows = chosen.agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda row: (row["lang"], row["place"]))
+    return [row["text"] for row in rows], [row["lang"] for row in rows]
 
 
 _READ = (

@@ -1,6 +1,6 @@
 import random
 
-from termlode.llm.language import declared_language, host_parts, identify, page_words
+from termlode.llm.language import declared_language, host_parts, identify, labelled_sample, page_words
 
 from .conftest import found
 
@@ -47,3 +47,13 @@ def test_parts_of_pages_and_addresses():
     assert host_parts("http://10.0.0.1/") == ("10.0.0.1", "10.0.0.1", "")
     assert host_parts(None) == host_parts("x") == ("", "", "")
     assert page_words("<script>no</script><b>Ab</b>-c 12 &amp; <!-- d") .split() == ["ab", "c"]
+
+
+def test_the_sample_has_every_language_and_no_repeats(spark):
+    rows = [(i, f"text {i}", f"l{i % 90:02d}") for i in range(900)]
+    rows += [(None, "the same", "l00")] * 500 + [(1, "", "empty"), (2, "x" * 9000, "long"), (3, "t", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, labels = labelled_sample(frame, 5)
+    assert sorted(set(labels)) == [f"l{k:02d}" for k in range(90)]
+    assert all(labels.count(x) == 5 for x in set(labels)) and len(set(texts)) == len(texts)
+    assert labelled_sample(frame.repartition(7), 5) == (texts, labels)
