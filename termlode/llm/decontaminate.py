@@ -8,7 +8,8 @@ stands for one value of the document and the other way round, as in a question t
 asked anew with other numbers and names. Equal templates with unrelated values don't count.
 
 Texts are read in numpy, all words of a slice at once. A bitmap of the benchmark's hashes,
-of fixed size, keeps all but a few windows from leaving their task; the join decides.
+of a size that follows their number, keeps all but a few windows from leaving their task; the
+join decides.
 """
 
 from __future__ import annotations
@@ -20,14 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlode.llm.common import broadcast_if_small, stored, to_tasks
+from termlode.llm.common import broadcast_if_small, fresh_name, stored, to_tasks
 
 WINDOW, LEAST_WINDOW = 10, 5
 # Share of a window that must be words, not slots; share of an item's windows in a leak.
 LITERAL_SHARE, LEAK_SHARE = 0.5, 0.5
 # So many words in a row as they are in an item are a leak, whatever their share.
 RUN_WORDS = 50
-BITMAP_BITS = 22
+# Bits of the bitmap for each window of the benchmark, as a power of two, and its least size.
+SPARE_BITS, LEAST_BITS = 4, 16
 PART_BYTES, OVERLAP_BYTES = 1 << 19, 1 << 14
 # Words that are units after a number.
 UNITS = (
@@ -50,6 +52,8 @@ _byte = np.arange(256)
 _UPPER = (_byte >= 65) & (_byte <= 90)
 _DIGIT = (_byte >= 48) & (_byte <= 57)
 _WORD = _UPPER | _DIGIT | (_byte >= 97) & (_byte <= 122) | (_byte >= 128)
+# Bytes at which a text may be cut: no part of a word, and no point or comma of a number.
+_GAP = ~_WORD & (_byte != 44) & (_byte != 46)
 _STOP = np.isin(_byte, list(b".!?:;\n\"()[]"))
 _LOWERED = np.where(_UPPER, _byte + 32, _byte).astype(np.uint8)
 
@@ -161,12 +165,17 @@ def _parts(raw: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
         if end >= len(raw):
             yield raw[start:], start
             return
-        blanks = np.nonzero(raw[end - OVERLAP_BYTES : end] == 32)[0]
-        if len(blanks):
-            end += int(blanks[-1]) - OVERLAP_BYTES
+        gaps = np.nonzero(_GAP[raw[end - OVERLAP_BYTES : end]])[0]
+        if len(gaps):
+            end += int(gaps[-1]) - OVERLAP_BYTES
         yield raw[start:end], start
-        back = np.nonzero(raw[end - OVERLAP_BYTES : end - 1] == 32)[0]
-        start = end - OVERLAP_BYTES + int(back[0]) if len(back) else end
+        start = start + _next_part(raw[start:end])
+
+
+def _next_part(part: np.ndarray) -> int:
+    """Where the next part begins: at the first gap of the overlap."""
+    back = np.nonzero(_GAP[part[-OVERLAP_BYTES:-1]])[0]
+    return len(part) - OVERLAP_BYTES + int(back[0]) if len(back) else len(part)
 
 
 def template_windows(
@@ -179,10 +188,7 @@ def template_windows(
         rows = _windows(*words, sizes, bitmap, None, int(offset > 0))
         found += [(base + w, *rest) for w, *rest in rows]
         if offset + len(part) < len(raw):
-            # The next part begins at the first blank of the overlap.
-            back = np.nonzero(part[-OVERLAP_BYTES:-1] == 32)[0]
-            cut = len(part) - OVERLAP_BYTES + int(back[0]) if len(back) else len(part)
-            base += int((starts < cut).sum())
+            base += int((starts < _next_part(part)).sum())
     return found
 
 
@@ -220,7 +226,7 @@ def _hashed(code, slot, value, sizes, bitmap, doc, skipped, loose, strict) -> li
         at = at[fits]
         keys = _mixed(sums.of(at, at + size) ^ np.uint64(size if inexact else ~size & 0xFFFF))
         if bitmap is not None:
-            place = keys & np.uint64((1 << BITMAP_BITS) - 1)
+            place = keys & np.uint64(8 * len(bitmap) - 1)
             held = bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
             at, keys = at[held > 0], keys[held > 0]
         for w, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
@@ -289,10 +295,11 @@ def _read(sizes: list[int] | None, bitmap: np.ndarray | None):
                         continue
                     family = _family(*words)
                     own = [min(WINDOW, len(code))]
-                    for window in template_windows(raw, own, None):
-                        rows.append((*key, *window, *family))
-                    if len(code) <= WINDOW:
-                        # As exact words too, a family of its own.
+                    windows = template_windows(raw, own, None)
+                    rows += [(*key, *window, *family) for window in windows]
+                    if len(code) <= WINDOW or not windows:
+                        # As exact words too, a family of its own: short items, and those
+                        # of slots for the most part, which have no other window.
                         none = np.zeros(len(code), bool)
                         exact = _family(values, none, values, none)
                         for window in _hashed(values, None, values, own, None, None, 0, 0, None):
@@ -351,10 +358,12 @@ def _leaks(
         "items",
     )
     sizes = [row["size"] for row in wanted.select("size").distinct().collect()]
-    # At most one row per bit of the bitmap.
-    place = F.col("key").bitwiseAND((1 << BITMAP_BITS) - 1).alias("place")
+    # As large as the benchmark needs, so that few windows of other texts pass by chance.
+    keys = wanted.select(F.count_distinct("key")).first()[0]
+    bits = max(LEAST_BITS, keys.bit_length() + SPARE_BITS)
+    place = F.col("key").bitwiseAND((1 << bits) - 1).alias("place")
     places = wanted.select(place).distinct().toPandas()["place"].to_numpy(np.int64)
-    bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
     np.bitwise_or.at(bitmap, places >> 3, (1 << (places & 7)).astype(np.uint8))
 
     docs = documents.select(
@@ -489,8 +498,8 @@ def leaks(
     one family: they have the same template, and their values recur in the same places. Each of
     them whose own values the document holds in such a share has a row. If none has, the smallest id stands
     for the family. Words that begin a sentence match as words and as names. Items of five to ten
-    words are looked for as exact words too. Items of fewer than five words, and longer ones without a
-    window of enough words, have no windows and are never found. Null texts are empty.
+    words, and longer ones without a window of enough words, are looked for as exact words too.
+    Items of fewer than five words have no windows and are never found. Null texts are empty.
     Rows that
     repeat a document's id are judged one by one, and the text held most stands for them. A run of
     ``run_words`` words with the item's own values is a leak whatever its share. Further columns are ignored.
@@ -511,8 +520,9 @@ def without_leaks(
 ) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
     found = _leaks(documents, benchmark, leak_share, run_words)
-    ids = found.select(F.col("doc_id").alias("leaked_id"), F.col("document").alias("leaked_text"))
+    leaked_id, leaked_text = (fresh_name(documents, c) for c in ("leaked_id", "leaked_text"))
+    ids = found.select(F.col("doc_id").alias(leaked_id), F.col("document").alias(leaked_text))
     leaked = broadcast_if_small(stored(ids.distinct(), "leaked-ids"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("leaked_id"))
-    same &= F.xxhash64("text") == F.col("leaked_text")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(leaked_id))
+    same &= F.xxhash64("text") == F.col(leaked_text)
     return documents.join(leaked, same, "left_anti")

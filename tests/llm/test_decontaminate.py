@@ -1,9 +1,17 @@
 import random
 
 import numpy as np
+import pytest
 
 from termlode.llm import decontaminate
-from termlode.llm.decontaminate import canonical, leaks, without_leaks
+from termlode.llm.decontaminate import (
+    _windows,
+    _words,
+    canonical,
+    leaks,
+    template_windows,
+    without_leaks,
+)
 
 from .conftest import found, sentence
 
@@ -117,3 +125,33 @@ def test_long_runs_and_rows_of_one_id(spark):
     got = found(leaks(frame, bench), "doc_id", "item_id", "reworded")
     assert got == [(None, 2, False), (1, 1, False), (2, 1, False)]
     assert found(without_leaks(frame, bench), "text") == sorted([(documents[2][1],), (documents[5][1],)])
+
+
+NUMBERS = "Evaluate 12 + 34 - 56 + 78 - 90 + 13 - 24 + 35 - 46 + 57 - 68 + 79 now"
+
+
+def test_items_of_slots_are_found_verbatim(spark):
+    """An item that is all numbers has no window of words, but itself."""
+    items = spark.createDataFrame([(1, NUMBERS)], "item_id long, text string")
+    docs = [(1, f"As before: {NUMBERS}. And so on."), (2, NUMBERS.replace("3", "4"))]
+    docs += [(3, "Evaluate 1 + 2 now, and then 3.")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in leaks(frame, items).collect()] == [(1, 1)]
+
+
+@pytest.mark.parametrize("gap", ["\n", " ", "\t", "; "])
+def test_windows_of_long_texts_are_those_of_short_ones(gap):
+    rng = random.Random(3)
+    words = [rng.choice(["alpha", "Tom", "17", "kg", "beta", "3.5", "é"]) for _ in range(200_000)]
+    text = np.frombuffer(gap.join(words).encode(), np.uint8)
+    got = {(w, key) for w, _, key, _, loose in template_windows(text, [10], None) if not loose}
+    _, *whole = _words(text)
+    expected = {(r[0], r[2]) for r in _windows(*whole, [10], None, None, 0) if not r[4]}
+    assert got == expected
+
+
+def test_documents_may_have_any_columns(spark):
+    items = spark.createDataFrame([(1, NUMBERS)], "item_id long, text string")
+    rows = [(1, NUMBERS, 5, "a"), (2, "Something else altogether.", 6, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, leaked_id long, leaked_text string")
+    assert [tuple(r) for r in without_leaks(docs, items).collect()] == [rows[1]]
