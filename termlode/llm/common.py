@@ -27,12 +27,23 @@ def to_tasks(frame: DataFrame, work, schema) -> DataFrame:
     """frame.mapInArrow with batches of bounded size.
 
     Spark fills a batch to 64 MB by default, of which a task holds several copies. The
-    session's setting is lowered, as it is read when the frame is executed.
+    session's setting is read when the frame is executed, so it is lowered here; one that is
+    lower already stays.
     """
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < _as_bytes(frame, conf.get(name)) <= BATCH_BYTES:
+        conf.set(name, BATCH_BYTES)
     return frame.mapInArrow(work, schema)
 
 
+def _as_bytes(frame: DataFrame, size: str) -> int:
+    """A size as Spark's settings write it; no bound is written as a negative number."""
+    if size.lstrip("-").isdigit():
+        return int(size)
+    java = frame.sparkSession._jvm.org.apache.spark.network.util.JavaUtils
+    return java.byteStringAsBytes(size)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read again.
 
