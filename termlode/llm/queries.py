@@ -8,6 +8,11 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termlode.llm.conversation_sql import (
+    embedding_duplicates_sql,
+    prefix_trie_sql,
+    repair_sql,
+)
 from termlode.llm.decontaminate import leaks
 from termlode.llm.grid_join import near_duplicates as near_vectors
 from termlode.llm.html_text import extract_text
@@ -166,6 +171,9 @@ def _license_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "op10_license_scan": _license_sql(),
+        "op11_prefix_trie": prefix_trie_sql(),
+        "op12_repair": repair_sql(),
+        "op13_embedding_duplicates": embedding_duplicates_sql(),
         "op7_top_k": """
             WITH ready AS (
               SELECT vec_id, list_transform(embedding,
