@@ -28,8 +28,9 @@ WINDOW, LEAST_WINDOW = 10, 5
 LITERAL_SHARE, LEAK_SHARE = 0.5, 0.5
 # So many words in a row as they are in an item are a leak, whatever their share.
 RUN_WORDS = 50
-# Bits of the bitmap for each window of the benchmark, as a power of two, and its least size.
-SPARE_BITS, LEAST_BITS = 4, 16
+# Bits of the bitmap for each window of the benchmark, as a power of two, and the powers of two
+# between which its size stays: beyond, it lets more windows pass, which the join then drops.
+SPARE_BITS, LEAST_BITS, MOST_BITS = 8, 16, 31
 PART_BYTES, OVERLAP_BYTES = 1 << 19, 1 << 14
 # Words that are units after a number.
 UNITS = (
@@ -360,7 +361,7 @@ def _leaks(
     sizes = [row["size"] for row in wanted.select("size").distinct().collect()]
     # As large as the benchmark needs, so that few windows of other texts pass by chance.
     keys = wanted.select(F.count_distinct("key")).first()[0]
-    bits = max(LEAST_BITS, keys.bit_length() + SPARE_BITS)
+    bits = min(MOST_BITS, max(LEAST_BITS, keys.bit_length() + SPARE_BITS))
     place = F.col("key").bitwiseAND((1 << bits) - 1).alias("place")
     places = wanted.select(place).distinct().toPandas()["place"].to_numpy(np.int64)
     bitmap = np.zeros(1 << (bits - 3), np.uint8)
