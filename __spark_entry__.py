@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 import termlode
 from termlode.operators import tables
 from termlode.plans.blocks import postings_of
-from termlode.plans.scratch import prepared_blocked_index, prepared_index, scratch_path
+from termlode.plans.scratch import (
+    prepared,
+    prepared_blocked_index,
+    prepared_index,
+    scratch_path,
+)
 
 QUERY = "the theory of inter"
 REPEATED = "the theory of inter inter"
@@ -24,6 +29,7 @@ CONDITION = (termlode.has("the") | termlode.has("de la")) & ~(
     termlode.has("of the") | (termlode.has("und") & ~termlode.has("des"))
 )
 AROUND = 3
+REPLACED = "de"
 N, MOST = 10, 1000
 # Small enough that the batch is cut into several slices.
 SLICE_BYTES = 20_000
@@ -135,11 +141,21 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forward_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = tables.term_map(_lazy_index(spark, sf_dir).forward)
     total = F.aggregate(F.map_values("terms"), F.lit(0).cast("long"), lambda a, tf: a + tf)
+    entries = _entries_md5("terms", lambda tf: tf)
     return maps.select(
-        "doc_id", F.size("terms").cast("long").alias("n_terms"), total.alias("total_tf")
+        "doc_id", F.size("terms").cast("long").alias("n_terms"), total.alias("total_tf"), entries
     )
 
 
+def _entries_md5(column: str, shown: Callable[[Column], Column]) -> Column:
+    """A digest of all entries of a map in the order of their terms."""
+    entries = F.array_sort(F.map_entries(column))
+    lines = F.transform(
+        entries, lambda e: F.concat(e["key"], F.lit(":"), shown(e["value"]).cast("string"))
+    )
+    return F.md5(F.array_join(lines, " ").cast("binary")).alias("entries_md5")
+
+
 def tfdf_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = termlode.tfdf_postings(_index(spark, sf_dir)).select("doc_id", "term", "weight")
     return _rounded(weighted, WEIGHT_DIGITS, "weight")
@@ -251,15 +267,17 @@ def tfdf_forward_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = F.transform(F.map_values("weights"), lambda w: F.round(w * 1e9).cast("long"))
     total = F.aggregate(values, F.lit(0).cast("long"), lambda a, w: a + w)
     n_terms = F.size("weights").cast("long").alias("n_terms")
-    return forward.select("doc_id", "len", n_terms, total.alias("weight_sum"))
+    entries = _entries_md5("weights", lambda w: F.round(w * 1e9).cast("long"))
+    return forward.select("doc_id", "len", n_terms, total.alias("weight_sum"), entries)
 
 
 def unique_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents and an altered copy of some, with one row per id."""
+    """The documents, an altered copy of some and the same without ids, with one row per id."""
     corpus = _documents(spark, sf_dir)
     some = corpus.where(F.col("doc_id") % 5 == 0)
     copies = some.withColumn("text", F.concat(F.lit("A "), "text"))
-    once = termlode.drop_duplicate_ids(corpus.unionByName(copies))
+    nameless = some.withColumn("doc_id", F.lit(None).cast("long"))
+    once = termlode.drop_duplicate_ids(corpus.unionByName(copies).unionByName(nameless))
     return once.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
@@ -310,6 +328,48 @@ def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found.withColumnsRenamed(names), BM25_DIGITS, "best_score")
 
 
+def _grown(spark: SparkSession, sf_dir: str) -> str:
+    """An index of the documents, of which one language came late and replaced drafts."""
+    corpus = _documents(spark, sf_dir)
+    late = F.col("title").eqNullSafe(REPLACED)
+    draft = F.concat(F.lit("Draft of the theory "), "text")
+
+    def make(root: str) -> str:
+        drafts = corpus.withColumn("text", F.when(late, draft).otherwise(F.col("text")))
+        termlode.append_documents(drafts, root)
+        termlode.append_documents(corpus.where(late), root)
+        return root
+
+    return prepared(spark, f"{sf_dir}/grown", make)
+
+
+def append_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over an index that was built, appended to and partly replaced."""
+    index = termlode.load_segments(spark, _grown(spark, sf_dir))
+    return _rounded(termlode.bm25_search(index, QUERY, N), BM25_DIGITS)
+
+
+def append_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequencies that were added up from two commits, less what was replaced."""
+    return termlode.load_segments(spark, _grown(spark, sf_dir)).frequencies
+
+
+def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over an index that a stream of the documents' files has filled."""
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+
+    def make(root: str) -> str:
+        # As a pattern, the path may be a file or a folder.
+        files = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
+        arriving = termlode.as_corpus(files, "doc_id", "text", "lang", "source")
+        state = scratch_path(spark, "stream-state")
+        termlode.ingest_stream(arriving, root, state, "documents").awaitTermination()
+        return root
+
+    index = termlode.load_segments(spark, prepared(spark, f"{sf_dir}/streamed", make))
+    return _rounded(termlode.bm25_search(index, QUERY, N), BM25_DIGITS)
+
+
 def unknown_term_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return termlode.bm25_search(_index(spark, sf_dir), UNKNOWN, N)
 
@@ -396,6 +456,9 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         boolean_search,
         search_snippets,
         facet_counts,
+        append_search,
+        append_frequencies,
+        stream_search,
     ]
     return {query.__name__: query for query in registered}
 
@@ -599,7 +662,8 @@ def search_sql() -> dict[str, str]:
         "document_frequency": f"{index} SELECT term, df FROM frequencies",
         "corpus_stats": f"{index} SELECT n_docs, total_len, round(avg_len, 6) AS avg_len FROM stats",
         "forward_index": f"""{index} SELECT l.doc_id, count(term) AS n_terms,
-            CAST(coalesce(sum(tf), 0) AS BIGINT) AS total_tf
+            CAST(coalesce(sum(tf), 0) AS BIGINT) AS total_tf,
+            md5(coalesce(string_agg(term || ':' || tf, ' ' ORDER BY term), '')) AS entries_md5
             FROM lengths l LEFT JOIN postings p ON p.doc_id = l.doc_id GROUP BY l.doc_id""",
         "tfdf_postings": f"""{index} SELECT doc_id, term,
             round(CAST(tf AS DOUBLE) / df, {WEIGHT_DIGITS}) AS weight
@@ -628,7 +692,9 @@ def search_sql() -> dict[str, str]:
         "tfdf_forward_index": f"""{index} SELECT l.doc_id, any_value(len) AS len,
             count(term) AS n_terms,
             CAST(coalesce(sum(CAST(round(CAST(tf AS DOUBLE) / df * 1e9) AS BIGINT)), 0) AS BIGINT)
-              AS weight_sum
+              AS weight_sum,
+            md5(coalesce(string_agg(term || ':' || CAST(round(CAST(tf AS DOUBLE) / df * 1e9) AS
+              BIGINT), ' ' ORDER BY term), '')) AS entries_md5
             FROM lengths l LEFT JOIN (postings JOIN frequencies USING (term)) p
               ON p.doc_id = l.doc_id GROUP BY l.doc_id""",
         "blocked_postings": f"{index} SELECT doc_id, term, tf, len FROM postings JOIN lengths USING (doc_id)",
@@ -641,7 +707,11 @@ def search_sql() -> dict[str, str]:
         "boolean_search": _boolean_sql(),
         "search_snippets": _snippet_sql(),
         "facet_counts": _facet_sql(),
+        "append_search": top,
+        "append_frequencies": f"{index} SELECT term, df FROM frequencies",
+        "stream_search": top,
         "unique_documents": """SELECT doc_id,
             md5(CASE WHEN doc_id % 5 = 0 THEN least(text, 'A ' || text) ELSE text END) AS text_md5
-            FROM documents""",
+            FROM documents UNION ALL
+            SELECT NULL, md5(min(text)) FROM documents WHERE doc_id % 5 = 0""",
     }

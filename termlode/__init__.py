@@ -40,6 +40,13 @@ from termlode.plans.search import (
     with_details,
     with_metadata,
 )
+from termlode.plans.segments import (
+    CommitConflict,
+    append_documents,
+    delete_documents,
+    ingest_stream,
+    load_segments,
+)
 from termlode.sources import (
     as_corpus,
     drop_duplicate_ids,
@@ -51,8 +58,10 @@ from termlode.sources.ranking import read_ranking, write_ranking
 
 __all__ = [
     "BlockedIndex",
+    "CommitConflict",
     "Condition",
     "SearchIndex",
+    "append_documents",
     "as_corpus",
     "bm25_idf",
     "bm25_scores",
@@ -60,12 +69,15 @@ __all__ = [
     "bm25_term_score",
     "boolean_search",
     "build_index",
+    "delete_documents",
     "drop_duplicate_ids",
     "facet_counts",
     "has",
+    "ingest_stream",
     "known_query_terms",
     "load_blocked_index",
     "load_index",
+    "load_segments",
     "load_tfdf_index",
     "phrase_matches",
     "phrase_search",

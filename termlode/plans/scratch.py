@@ -1,55 +1,20 @@
-"""The shared folder for tables that outlive one plan."""
+"""Indexes that are written once per session, and the shared folder that holds them."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from typing import TYPE_CHECKING, Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from termlode.plans.index import SearchIndex, write_index
+from termlode.plans.shared import scratch_path, settle, shared_folder
 
 if TYPE_CHECKING:
     from termlode.plans.blocks import BlockedIndex
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The session's checkpoint folder; a temporary one only on a local master.
-
-    None on a cluster that names no folder: a folder of one machine would be of
-    no use to the others.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None and context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="termlode-"))
-    return context.getCheckpointDir()
-
-
-def settle(frame: DataFrame) -> DataFrame:
-    """The frame as a checkpoint, for what is used twice and must be the same each time."""
-    spark = frame.sparkSession
-    folder = _required_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return frame.checkpoint()
-
-
-def _required_folder(spark: SparkSession) -> str:
-    folder = shared_folder(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-    return folder
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{_required_folder(spark)}/termlode-{name}-{uuid.uuid4().hex}"
-
+__all__ = ["prepared", "prepared_blocked_index", "prepared_index", "scratch_path", "settle", "shared_folder"]
 
 _prepared: dict[tuple[str, str], Any] = {}
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termlode.plans.shared import settle
+
+# Repeated ids up to which they are broadcast.
+BROADCAST_ROWS = 500_000
 RECORD = "id STRING, url STRING, title STRING, text STRING"
 
 
@@ -84,20 +88,37 @@ def estimated_bytes(frame: DataFrame) -> int:
     return int(str(size))
 
 
-def drop_duplicate_ids(corpus: DataFrame) -> DataFrame:
+def drop_duplicate_ids(corpus: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per id, the smallest by text, so that reruns keep the same row.
 
-    An index needs unique ids; this is for a corpus that may repeat them. Repeated ids
-    are found from the ids alone, and only their rows go through the minimum, which is
-    taken in each task first. All other rows pass as they are.
+    An index needs unique ids; this is for a corpus that may repeat them. Rows without an id
+    count as one id. Repeated ids are found from the ids alone and stored; if there are none,
+    the corpus is returned as it is. If they are few, which is counted, they go to every
+    task and no other row moves; only their rows go through the minimum, which is taken in
+    each task first.
     """
+    key = fresh_name(corpus, "repeated_id")
     rest = [name for name in corpus.columns if name not in ("doc_id", "text")]
     columns = ["doc_id", "text", *rest]
-    counts = corpus.groupBy("doc_id").agg(F.count("*").alias("rows"))
-    repeated = counts.where("rows > 1").select("doc_id").hint("shuffle_hash")
+    counts = corpus.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("rows"))
+    repeated = settle(counts.where("rows > 1").select(key))
+    number = repeated.count()
+    if not number:
+        return corpus.select(*columns)
+    if number <= broadcast_rows:
+        repeated = F.broadcast(repeated)
+    same = F.col("doc_id").eqNullSafe(F.col(key))
     row = F.struct("text", *rest)
-    several = corpus.join(repeated, "doc_id", "left_semi")
+    several = corpus.join(repeated, same, "left_semi")
     least = several.groupBy("doc_id").agg(F.min(row).alias("row"))
     chosen = least.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in columns[1:]])
-    once = corpus.join(repeated, "doc_id", "left_anti").select(*columns)
+    once = corpus.join(repeated, same, "left_anti").select(*columns)
     return once.unionByName(chosen)
+
+
+def fresh_name(frame: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

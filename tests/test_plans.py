@@ -50,9 +50,17 @@ def test_details_are_found_by_id(stored):
 
 
 def test_unique_ids_pass_without_sorting(spark, make_corpus):
-    text = plan(termlode.drop_duplicate_ids(make_corpus([(1, "a"), (2, "b")])))
+    unique = make_corpus([(1, "a"), (2, "b"), (None, "c")])
+    assert "Exchange" not in plan(termlode.drop_duplicate_ids(unique))
+    repeats = make_corpus([(1, "a"), (1, "b"), (2, "b"), (None, "d"), (None, "c")])
+    kept = termlode.drop_duplicate_ids(repeats)
+    text = plan(kept)
     once, repeated = text[: text.index("SortAggregate")], text[text.index("SortAggregate") :]
     assert "LeftAnti" in once and "LeftSemi" in repeated
+    # The texts of repeated ids are shuffled once, by their minimum; no other text is.
+    assert text.count("Exchange hashpartitioning") == 1
+    rows = {(r["doc_id"], r["text"]) for r in kept.collect()}
+    assert rows == {(1, "a"), (2, "b"), (None, "c")}
 
 
 def test_scores_of_all_documents_move_no_rows(spark, stored, no_small_tables):
