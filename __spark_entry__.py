@@ -30,6 +30,7 @@ CONDITION = (termlode.has("the") | termlode.has("de la")) & ~(
 )
 AROUND = 3
 REPLACED = "de"
+MISSPELT, EDITS = "thet eanred unghet", 2
 N, MOST = 10, 1000
 # Small enough that the batch is cut into several slices.
 SLICE_BYTES = 20_000
@@ -370,6 +371,28 @@ def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(termlode.bm25_search(index, QUERY, N), BM25_DIGITS)
 
 
+def _fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _index(spark, sf_dir)
+
+    def make(root: str) -> str:
+        termlode.write_fuzzy_index(index, root, EDITS)
+        return root
+
+    return termlode.load_fuzzy_index(spark, prepared(spark, f"{sf_dir}/fuzzy", make))
+
+
+def fuzzy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All terms of the vocabulary near those of a query with misspellings."""
+    found = termlode.fuzzy_terms(_fuzzy(spark, sf_dir), MISSPELT, EDITS)
+    return found.select("asked", "term", "distance", "df")
+
+
+def fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _index(spark, sf_dir)
+    found = termlode.fuzzy_search(index, _fuzzy(spark, sf_dir), MISSPELT, N, EDITS)
+    return _rounded(found, BM25_DIGITS)
+
+
 def unknown_term_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return termlode.bm25_search(_index(spark, sf_dir), UNKNOWN, N)
 
@@ -459,6 +482,8 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         append_search,
         append_frequencies,
         stream_search,
+        fuzzy_terms,
+        fuzzy_search,
     ]
     return {query.__name__: query for query in registered}
 
@@ -602,6 +627,19 @@ def _proximity_sql() -> str:
                    FROM best) WHERE rank <= {N}"""
 
 
+# DuckDB counts edits in bytes: letters of two bytes become signs that no token has.
+_ONE_BYTE = """translate({0}, 'äöüßéèêàçùûôîïâëœæáíóúñ', '0123456789!@$%^&*()_+=-')"""
+
+
+def _near_sql() -> str:
+    """Every term of the vocabulary against every term of the query."""
+    edits = f"levenshtein({_ONE_BYTE.format('asked')}, {_ONE_BYTE.format('term')})"
+    return f"""
+    asked AS (SELECT unnest({_list_sql(MISSPELT.split())}) AS asked),
+    near AS (SELECT * FROM (SELECT asked, term, CAST({edits} AS INTEGER) AS distance, df
+                            FROM asked, frequencies) WHERE distance <= {EDITS})"""
+
+
 def _boolean_sql() -> str:
     def phrase(text: str) -> str:
         return f"(SELECT doc_id FROM ({_phrase_sql(text)}) WHERE len(spots) > 0)"
@@ -710,6 +748,14 @@ def search_sql() -> dict[str, str]:
         "append_search": top,
         "append_frequencies": f"{index} SELECT term, df FROM frequencies",
         "stream_search": top,
+        "fuzzy_terms": f"{index},{_near_sql()} SELECT asked, term, distance, df FROM near",
+        "fuzzy_search": f"""{index},{_near_sql()},
+            weights AS (SELECT term, df, min(distance) AS edits FROM near GROUP BY term, df),
+            scored AS (SELECT p.doc_id, sum({bm25} / (edits + 1)) AS score
+                       FROM postings p JOIN weights USING (term) JOIN lengths USING (doc_id), stats
+                       GROUP BY p.doc_id)
+            SELECT * FROM (SELECT {_RANKED_SQL} AS rank, doc_id, round(score, {BM25_DIGITS}) AS score
+                           FROM scored) WHERE rank <= {N}""",
         "unique_documents": """SELECT doc_id,
             md5(CASE WHEN doc_id % 5 = 0 THEN least(text, 'A ' || text) ELSE text END) AS text_md5
             FROM documents UNION ALL

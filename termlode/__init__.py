@@ -7,6 +7,12 @@ from termlode.plans.blocks import (
     load_blocked_index,
     write_blocked_index,
 )
+from termlode.plans.fuzzy import (
+    fuzzy_search,
+    fuzzy_terms,
+    load_fuzzy_index,
+    write_fuzzy_index,
+)
 from termlode.plans.index import (
     SearchIndex,
     build_index,
@@ -72,10 +78,13 @@ __all__ = [
     "delete_documents",
     "drop_duplicate_ids",
     "facet_counts",
+    "fuzzy_search",
+    "fuzzy_terms",
     "has",
     "ingest_stream",
     "known_query_terms",
     "load_blocked_index",
+    "load_fuzzy_index",
     "load_index",
     "load_segments",
     "load_tfdf_index",
@@ -101,6 +110,7 @@ __all__ = [
     "with_metadata",
     "with_snippets",
     "write_blocked_index",
+    "write_fuzzy_index",
     "write_index",
     "write_ranking",
     "write_tfdf_index",

@@ -105,14 +105,14 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def narrow(frame: DataFrame, known: list[str] | None) -> DataFrame:
+def narrow(frame: DataFrame, known: list[str] | None, column: str = "term") -> DataFrame:
     """Only rows with these terms, as a chain of equalities.
 
     A list of more than ten values would reach the scan as its minimum and maximum.
     """
     if known is None:
         return frame
-    return frame.where(reduce(or_, [F.col("term") == t for t in known], F.lit(False)))
+    return frame.where(reduce(or_, [F.col(column) == t for t in known], F.lit(False)))
 
 
 def _with_df(index: SearchIndex, terms: DataFrame, known: list[str] | None) -> DataFrame:
