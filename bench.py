@@ -18,7 +18,7 @@ import termlode
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-QUERY = "the theory of inter"
+QUERY, PHRASE = "the theory of inter", "of the"
 N = 10
 RUNS = 3
 
@@ -73,6 +73,13 @@ def main() -> None:
     cold = round(time.perf_counter() - start, 3)
     timed = {"index_build": best_of(build, 2)}
     index = built[-1]
+    blocked: list[termlode.BlockedIndex] = []
+
+    def build_blocked() -> None:
+        root = f"{scratch}/blocked-{len(blocked)}"
+        blocked.append(termlode.write_blocked_index(corpus, root))
+
+    timed["blocked_build"] = best_of(build_blocked, 2)
     lazy = termlode.build_index(termlode.spread_few_splits(corpus.select("doc_id", "text")))
     long_query = queries.orderBy("query_id").first()["query"]
     searches: dict[str, Callable[[], DataFrame]] = {
@@ -90,6 +97,9 @@ def main() -> None:
         "bm25_batch_sliced": lambda: termlode.bm25_search(
             index, queries, N, broadcast_bytes=100_000
         ),
+        "bm25_pruned": lambda: termlode.pruned_search(blocked[-1], QUERY, N),
+        "bm25_batch_pruned": lambda: termlode.pruned_search(blocked[-1], queries, N),
+        "phrase_search": lambda: termlode.phrase_search(blocked[-1], PHRASE, N),
     }
     for name, search in searches.items():
         timed[name] = best_of(lambda search=search: run(search()))

@@ -24,7 +24,7 @@ from termlode.sources.corpus import estimated_bytes
 # Bytes of input per range, and ranges per shard where the size is not known.
 RANGE_BYTES, RANGES_PER_SHARD = 16 << 20, 32
 # Postings in the first layer, and how much larger each layer is than the one before it.
-FIRST_LAYER, LAYER_GROWTH, MOST_LAYERS = 64, 4, 14
+FIRST_LAYER, LAYER_GROWTH, MOST_LAYERS = 16, 4, 15
 
 
 @dataclass(frozen=True)

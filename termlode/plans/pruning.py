@@ -5,8 +5,9 @@ from it are lower bounds, and the Nth best of them is a threshold that the resul
 reach. Terms that together can't reach the threshold need no reading to find documents; the
 rest of it is dealt out to the other terms as cutoffs, so that a document below all of them
 can't be a hit. The second pass reads the layers above their term's cutoff and bounds
-each document from above, counting what was not read by its cutoff. The third scores the
-few that are left in full, in their ranges alone. No hit is lost, whatever the parameters.
+each document from below and, counting what was not read by its cutoff, from above; the Nth
+best lower bound is the final threshold. The third scores the few documents that may reach
+it in full, in their ranges alone. No hit is lost, whatever the parameters.
 """
 
 from __future__ import annotations
@@ -87,8 +88,12 @@ def _thresholds(first: DataFrame, n: int, how: _Scoring) -> DataFrame:
     rows = postings_of(first, "query_id", "range", "weight")
     part = how.part(F.col("weight"), F.col("tf"), F.col("len")).alias("part")
     sums = rows.select("query_id", "range", "doc_id", part)
-    sums = sums.groupBy("query_id", "range", "doc_id").agg(F.sum("part").alias("score"))
-    ranked = best(sums, n).groupBy("query_id")
+    return _nth_best(sums.groupBy("query_id", "range", "doc_id").agg(F.sum("part").alias("score")), n)
+
+
+def _nth_best(scores: DataFrame, n: int) -> DataFrame:
+    """query_id, threshold: the nth best score, a little lower; zero if there are fewer."""
+    ranked = best(scores, n).groupBy("query_id")
     least = F.when(F.count("*") == n, F.min("score") * (1 - SLACK))
     return ranked.agg(F.coalesce(least, F.lit(0.0)).alias("threshold"))
 
@@ -147,13 +152,18 @@ def _strong(index: BlockedIndex, weights: DataFrame, known: list[str] | None, ho
     return joined.where(how.bound() * F.col("weight") >= F.col("limit") * (1 - SLACK))
 
 
-def _candidates(strong: DataFrame, weights: DataFrame, how: _Scoring) -> DataFrame:
-    """range, doc_id, query_id of documents whose upper bound reaches the threshold."""
+def _candidates(strong: DataFrame, weights: DataFrame, n: int, how: _Scoring) -> DataFrame:
+    """range, doc_id, query_id of documents whose upper bound reaches the threshold.
+
+    What the second pass has read of a document is a better lower bound than that of the
+    first, so the nth best of these raises the threshold for the third.
+    """
     carried = ["query_id", "range", "weight", "limit"]
     rows = postings_of(strong, *carried)
     part = how.part(F.col("weight"), F.col("tf"), F.col("len"))
     rows = rows.select("query_id", "range", "doc_id", "limit", part.alias("part"))
     found = rows.groupBy("query_id", "range", "doc_id").agg(
+        F.sum("part").alias("score"),
         F.sum(F.col("part") - F.col("limit")).alias("over"),
         F.max(F.col("part") >= F.col("limit") * (1 - SLACK)).alias("reaches"),
     )
@@ -161,9 +171,13 @@ def _candidates(strong: DataFrame, weights: DataFrame, how: _Scoring) -> DataFra
         F.sum("limit").alias("unread"), F.first("goal").alias("goal")
     )
     bounded = found.join(F.broadcast(limits), "query_id")
-    room = F.col("goal") * (1 - SLACK)
-    enough = F.col("reaches") & (F.col("over") + F.col("unread") * (1 + SLACK) >= room)
-    return bounded.where(enough).select("range", "doc_id", "query_id")
+    bounded = bounded.withColumn("most", F.col("over") + F.col("unread") * (1 + SLACK))
+    enough = F.col("reaches") & (F.col("most") >= F.col("goal") * (1 - SLACK))
+    likely = settle(bounded.where(enough).select("range", "doc_id", "query_id", "score", "most"))
+    goals = _nth_best(likely.select("query_id", "doc_id", "score"), n)
+    reached = likely.join(F.broadcast(goals), "query_id", "left")
+    reached = reached.where(F.col("most") >= F.coalesce("threshold", F.lit(0.0)) * (1 - SLACK))
+    return reached.select("range", "doc_id", "query_id")
 
 
 def passes(
@@ -179,7 +193,7 @@ def passes(
     first = _matching(index.blocks.where("layer = 0"), weights, known)
     weights = settle(_limits(weights, _thresholds(first, n, how)))
     strong = _strong(index, weights, known, how)
-    candidates = settle(_candidates(strong, weights, how))
+    candidates = settle(_candidates(strong, weights, n, how))
 
     blocks = index.blocks
     ranges = candidates.select("range").distinct().limit(FILTER_TERMS + 1).collect()
