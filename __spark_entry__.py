@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import termlode
 from termlode.operators import tables
+from termlode.plans import sketches
 from termlode.plans.blocks import postings_of
 from termlode.plans.scratch import (
     prepared,
@@ -393,6 +394,31 @@ def fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found, BM25_DIGITS)
 
 
+def sketched_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per language, and whether sketches merged from sources are within their bounds."""
+    corpus = _documents(spark, sf_dir)
+    parts = termlode.corpus_sketches(corpus, ["title", "url"])
+    said = termlode.sketch_estimates(termlode.merge_sketches(parts, ["title"]), N)
+    said = said.withColumnsRenamed({"documents": "said_documents", "terms": "said_terms"})
+    words = corpus.select("title", F.explode(termlode.tokenize(F.col("text"))).alias("term"))
+    counts = words.groupBy("title", "term").agg(F.count("*").alias("n"))
+    exact = corpus.groupBy("title").agg(F.count_distinct("doc_id").alias("documents"))
+    exact = exact.join(counts.groupBy("title").agg(F.count("*").alias("terms")), "title")
+    top = said.select("title", "tokens", F.explode("top_terms").alias("top"))
+    top = top.select("title", "tokens", F.col("top.item").alias("term"), F.col("top.count").alias("said"))
+    wrong = F.max(F.abs(F.col("said") - F.col("n")) / F.col("tokens")).alias("wrong")
+    wrong = top.join(counts, ["title", "term"]).groupBy("title").agg(wrong)
+
+    def close(name: str) -> Column:
+        off = F.abs(F.col(f"said_{name}") - F.col(name)) / F.col(name)
+        return (off <= sketches.DISTINCT_ERROR).alias(f"{name}_close")
+
+    both = exact.join(said, "title").join(wrong, "title")
+    near = (F.col("wrong") <= sketches.COUNT_ERROR).alias("top_close")
+    names = [F.col("title").alias("lang"), "documents", "terms", "tokens"]
+    return both.select(*names, close("documents"), close("terms"), near)
+
+
 def unknown_term_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return termlode.bm25_search(_index(spark, sf_dir), UNKNOWN, N)
 
@@ -484,6 +510,7 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_search,
         fuzzy_terms,
         fuzzy_search,
+        sketched_counts,
     ]
     return {query.__name__: query for query in registered}
 
@@ -749,6 +776,10 @@ def search_sql() -> dict[str, str]:
         "append_frequencies": f"{index} SELECT term, df FROM frequencies",
         "stream_search": top,
         "fuzzy_terms": f"{index},{_near_sql()} SELECT asked, term, distance, df FROM near",
+        "sketched_counts": f"""{index} SELECT lang, count(DISTINCT d.doc_id) AS documents,
+            count(DISTINCT term) AS terms, CAST(sum(tf) AS BIGINT) AS tokens,
+            TRUE AS documents_close, TRUE AS terms_close, TRUE AS top_close
+            FROM documents d LEFT JOIN postings p ON p.doc_id = d.doc_id GROUP BY lang""",
         "fuzzy_search": f"""{index},{_near_sql()},
             weights AS (SELECT term, df, min(distance) AS edits FROM near GROUP BY term, df),
             scored AS (SELECT p.doc_id, sum({bm25} / (edits + 1)) AS score

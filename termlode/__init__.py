@@ -53,6 +53,7 @@ from termlode.plans.segments import (
     ingest_stream,
     load_segments,
 )
+from termlode.plans.sketches import corpus_sketches, merge_sketches, sketch_estimates
 from termlode.sources import (
     as_corpus,
     drop_duplicate_ids,
@@ -75,6 +76,7 @@ __all__ = [
     "bm25_term_score",
     "boolean_search",
     "build_index",
+    "corpus_sketches",
     "delete_documents",
     "drop_duplicate_ids",
     "facet_counts",
@@ -88,6 +90,7 @@ __all__ = [
     "load_index",
     "load_segments",
     "load_tfdf_index",
+    "merge_sketches",
     "phrase_matches",
     "phrase_search",
     "proximity_search",
@@ -97,6 +100,7 @@ __all__ = [
     "read_raw_corpus",
     "score_all",
     "search_with_snippets",
+    "sketch_estimates",
     "spread_few_splits",
     "suggest_shards",
     "term_counts",
