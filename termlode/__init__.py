@@ -52,6 +52,7 @@ from termlode.plans.segments import (
     delete_documents,
     ingest_stream,
     load_segments,
+    merge_segments,
 )
 from termlode.plans.sketches import corpus_sketches, merge_sketches, sketch_estimates
 from termlode.sources import (
@@ -90,6 +91,7 @@ __all__ = [
     "load_index",
     "load_segments",
     "load_tfdf_index",
+    "merge_segments",
     "merge_sketches",
     "phrase_matches",
     "phrase_search",

@@ -93,17 +93,21 @@ def write_index(corpus: DataFrame, root: str, shards: int | None = None) -> Sear
     buckets without a shuffle; drop_duplicate_ids removes them. The statistics are
     written last: a folder without them is unfinished.
     """
-    spark = corpus.sparkSession
     check_location(root)
     shards = shards or suggest_shards(corpus)
-
     placed = corpus.select("doc_id", "text").repartition(shards, "doc_id")
-    write_bucketed(tables.forward_index(placed), root, "forward", shards, ["doc_id"])
+    return write_parts(tables.forward_index(placed), details_of(corpus), root, shards)
+
+
+def write_parts(rows: DataFrame, details: DataFrame, root: str, shards: int) -> SearchIndex:
+    """Writes an index from rows of a forward index, which lie in ``shards`` parts by id."""
+    spark = rows.sparkSession
+    write_bucketed(rows, root, "forward", shards, ["doc_id"])
     forward = bucketed(spark, root, "forward", shards, ["doc_id"])
     repeated = forward.groupBy("doc_id").count().where("count > 1").limit(1).collect()
     if repeated:
         raise ValueError(f"ids must be unique, and {repeated[0]['doc_id']!r} is not")
-    details_of(corpus).sort("doc_id").write.mode("errorifexists").parquet(f"{root}/details")
+    details.sort("doc_id").write.mode("errorifexists").parquet(f"{root}/details")
 
     rows = tables.postings(forward)
     write_bucketed(rows, root, "postings", shards, ["term", "doc_id"])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from termlode.operators import tables
 from termlode.operators.topn import first_documents
 from termlode.plans import index as plain
-from termlode.plans.index import SearchIndex, load_index, write_index
+from termlode.plans.index import SearchIndex, load_index, write_index, write_parts
 from termlode.sources.corpus import BROADCAST_ROWS, drop_duplicate_ids
 
 _VERSION = "{:012d}.json"
@@ -161,7 +161,7 @@ def append_documents(
     """
     spark = corpus.sparkSession
     version, entries = _entries(spark, root, None)
-    if name is not None and any(entry["name"] == name for entry in entries):
+    if name is not None and any(name in (e["name"], *e.get("merged", [])) for e in entries):
         return version
     # An attempt that failed before its commit may have left a folder of this name.
     folder = name or uuid.uuid4().hex
@@ -178,6 +178,31 @@ def delete_documents(ids: DataFrame, root: str) -> int:
     return _write_entry(spark, root, uuid.uuid4().hex, ids.select("doc_id").distinct(), None)
 
 
+def merge_segments(spark: SparkSession, root: str, shards: int | None = None) -> int:
+    """Rewrites what is alive of all segments as one; the new version.
+
+    No text is read: the new segment comes from the forward rows of the old ones. A search
+    then opens one segment again. Earlier versions keep theirs. ``shards`` is by default that
+    of the largest segment.
+    """
+    version, entries = _entries(spark, root, None)
+    forward = _live(spark, root, entries, "forward")
+    if forward is None:
+        raise ValueError(f"there are no documents below {root}")
+    if shards is None:
+        folders = [_folder(root, e) for e in entries if e["documents"]]
+        shards = max(spark.read.parquet(f"{x}/index/stats").first()["shards"] for x in folders)
+    entry = {"name": uuid.uuid4().hex, "documents": True, "dead": {}}
+    rows = forward.drop("segment").repartition(shards, "doc_id")
+    details = _live(spark, root, entries, "details").drop("segment")
+    segment = write_parts(rows, details, f"{_folder(root, entry)}/index", shards)
+    segment.first_docs.write.parquet(f"{_folder(root, entry)}/first_docs")
+    # Streams find their commits by name, also those before the merge.
+    entry["merged"] = [name for e in entries for name in [e["name"], *e.get("merged", [])]]
+    _commit(spark, root, version + 1, [entry])
+    return version + 1
+
+
 def load_segments(spark: SparkSession, root: str, version: int | None = None) -> SearchIndex:
     """The index as of a version, by default the last, as one for all searches.
 

@@ -13,6 +13,7 @@ from termlode.plans.segments import (
     delete_documents,
     ingest_stream,
     load_segments,
+    merge_segments,
     versions,
 )
 
@@ -61,9 +62,6 @@ def test_build_append_replace_delete_equals_one_build(spark, make_corpus, tmp_pa
     assert delete_documents(gone, root) == 4
     for i in (0, 35):
         del final[i]
-    whole = termlode.write_index(make_corpus(list(final.items())), str(tmp_path / "less"), 2)
-    same_index(spark, load_segments(spark, root), whole)
-
     # A deleted document may come back, and earlier versions are still there.
     append_documents(make_corpus([(35, "a a h")]), root, 2)
     final[35] = "a a h"
@@ -74,6 +72,15 @@ def test_build_append_replace_delete_equals_one_build(spark, make_corpus, tmp_pa
     with pytest.raises(ValueError):
         load_segments(spark, root, 9)
 
+    # Merging changes nothing but the number of segments.
+    assert merge_segments(spark, root) == 6
+    merged = load_segments(spark, root)
+    same_index(spark, merged, whole)
+    assert len(segments._entries(spark, root, None)[1]) == 1
+    append_documents(make_corpus([(100, "b b"), (101, "h")]), root, 2)
+    assert load_segments(spark, root).stats.first()["n_docs"] == len(final) + 1
+    same_index(spark, load_segments(spark, root, 1), first)
+
 
 def test_a_version_is_committed_once(spark, make_corpus, tmp_path, monkeypatch):
     root = str(tmp_path / "raced")
@@ -127,3 +134,6 @@ def test_a_stream_is_indexed_exactly_once(spark, make_corpus, tmp_path, monkeypa
     same_index(spark, load_segments(spark, root), whole)
     run()
     assert versions(spark, root) == [1, 2, 3]
+    merge_segments(spark, root)
+    assert append_documents(make_corpus([(1, "again")]), root, 1, "crawl-000000000000") == 4
+    same_index(spark, load_segments(spark, root), whole)
