@@ -451,7 +451,7 @@ def near_duplicates(
     known = rooted.join(least, "root").select(*key, others, "component_id")
     linked = points.select("vec_id", *key).join(known, key)
     alone = rows.where(~_takes_part(rows))
-    result = linked.select("vec_id", "n_links", "component_id").unionByName(
-        alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    )
+    none = F.lit(0).cast("long").alias("n_links")
+    alone = alone.select("vec_id", none, F.col("vec_id").alias("component_id"))
+    result = linked.select("vec_id", "n_links", "component_id").unionByName(alone)
     return result.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -48,7 +48,9 @@ _STRETCH_TYPE = pa.schema(
         ("ends", pa.bool_()),
     ]
 )
-_NODES = "path binary, parent binary, depth int, size long, members long, first long, ends array<long>"
+_NODES = (
+    "path binary, parent binary, depth int, size long, members long, first long, ends array<long>"
+)
 _NODE_TYPE = pa.schema(
     [
         ("path", pa.binary()),
