@@ -39,11 +39,12 @@ def _runs(ordered: Column, same: Callable[[Column, Column], Column], run) -> Col
     An item is compared with the one after it, null at the end. Both arrays are bound, so
     that the lambdas never compute them again.
     """
-    ends = F.array_compact(
-        F.transform(
-            ordered, lambda item, i: F.when(~F.coalesce(same(F.get(ordered, i + 1), item), F.lit(False)), i + 1)
-        )
-    )
+
+    def last(item: Column, i: Column) -> Column:
+        goes_on = F.coalesce(same(F.get(ordered, i + 1), item), F.lit(False))
+        return F.when(~goes_on, i + 1)
+
+    ends = F.array_compact(F.transform(ordered, last))
 
     def each(ends: Column) -> Column:
         return F.transform(

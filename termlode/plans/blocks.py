@@ -86,7 +86,9 @@ def _layers(rows: DataFrame, avg_len: Column) -> DataFrame:
     cut = lists.select("range", "term", "list", F.explode(used).alias("b"))
     part = F.slice("list", F.col("b.start") + 1, F.col("b.n"))
     by_doc = F.sort_array(
-        F.transform(part, lambda p: F.struct(p["doc_id"], p["tf"], p["len"], p["positions"], p["order"]))
+        F.transform(
+            part, lambda p: F.struct(p["doc_id"], p["tf"], p["len"], p["positions"], p["order"])
+        )
     )
     cut = cut.select("range", "term", F.col("b.layer").alias("layer"), by_doc.alias("part"))
     return cut.select(

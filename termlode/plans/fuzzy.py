@@ -113,7 +113,7 @@ def fuzzy_search(
     k1: float = scoring.K1,
     b: float = scoring.B,
 ) -> DataFrame:
-    """The n best documents by BM25 over all terms near the query's: (query_id,) rank, doc_id, score.
+    """(query_id,) rank, doc_id, score: the best by BM25 over all terms near the query's.
 
     A term counts by its own idf, divided by one more than its distance to the nearest term
     of the query. Documents without any near term are no hits.
@@ -121,9 +121,12 @@ def fuzzy_search(
     check_result_count(n)
     scoring.check_bm25(k1, b)
     near = fuzzy_terms(fuzzy, queries, distance)
-    nearest = near.groupBy("query_id", "term").agg(F.min("distance").alias("edits"), F.first("df").alias("df"))
+    nearest = near.groupBy("query_id", "term").agg(
+        F.min("distance").alias("edits"), F.first("df").alias("df")
+    )
     idf = scoring.bm25_idf(F.col("df"), index.stat("n_docs"))
-    weights = settle(nearest.select("query_id", "term", (idf / (F.col("edits") + 1)).alias("weight")))
+    weight = (idf / (F.col("edits") + 1)).alias("weight")
+    weights = settle(nearest.select("query_id", "term", weight))
     head = weights.select("term").distinct().limit(FILTER_TERMS + 1).collect()
     known = sorted(row["term"] for row in head) if len(head) <= FILTER_TERMS else None
     few = F.broadcast(weights) if weights.count() <= BROADCAST_ROWS else weights

@@ -60,11 +60,12 @@ def _phrase_rows(index: BlockedIndex, tokens: list[str]) -> DataFrame:
         lambda start: (start >= 0)
         & F.forall("offsets", lambda o: (o == first) | F.array_contains("positions", start + o)),
     )
-    rows = rows.select("range", "doc_id", "len", starts.alias("starts")).where(F.size("starts") > 0)
+    rows = rows.select("range", "doc_id", "len", starts.alias("starts"))
+    rows = rows.where(F.size("starts") > 0)
+    # From the shortest list on, so that an intersection is never longer than that.
+    sized = F.collect_list(F.struct(F.size("starts").alias("n"), "starts"))
     lists = rows.groupBy("range", "doc_id").agg(
-        F.first("len").alias("len"),
-        # From the shortest list on, so that an intersection is never longer than that.
-        F.sort_array(F.collect_list(F.struct(F.size("starts").alias("n"), "starts"))).alias("lists"),
+        F.first("len").alias("len"), F.sort_array(sized).alias("lists")
     )
     lists = lists.where(F.size("lists") == len(offsets))
     common = F.aggregate(
@@ -104,7 +105,8 @@ def phrase_search(
     tokens = _tokens(index, phrase)
     empty = index.forward.select("range", "doc_id", "len", F.array(F.lit(0)).alias("starts"))
     rows = _phrase_rows(index, tokens) if tokens else empty.where("false")
-    found = settle(rows.select("doc_id", "len", F.size("starts").alias("matches"), F.array_min("starts").alias("first")))
+    places = [F.size("starts").alias("matches"), F.array_min("starts").alias("first")]
+    found = settle(rows.select("doc_id", "len", *places))
     df = found.agg(F.count("*").alias("df")).scalar()
     idf = scoring.bm25_idf(df, index.stat("n_docs"))
     part = scoring.bm25_term_score(
@@ -166,7 +168,9 @@ def proximity_search(index: BlockedIndex, text: str, n: int) -> DataFrame:
     named = spark.createDataFrame(list(zip(terms, count())), "term string, number int")
     blocks = _asked_blocks(index, terms).join(F.broadcast(named), "term")
     rows = _with_positions(blocks, "number")
-    place = F.transform("positions", lambda at: F.struct(at.alias("at"), F.col("number").alias("term")))
+    place = F.transform(
+        "positions", lambda at: F.struct(at.alias("at"), F.col("number").alias("term"))
+    )
     rows = rows.select("range", "doc_id", place.alias("places"))
     lists = rows.groupBy("range", "doc_id").agg(F.collect_list("places").alias("lists"))
     lists = lists.where(F.size("lists") == max(1, len(terms)))
@@ -241,7 +245,8 @@ class _Not(Condition):
 def _bits(numbers: list[int], words: int) -> list[int]:
     """The leaves with these numbers, as longs of WORD_BITS bits."""
     return [
-        sum(1 << (k % WORD_BITS) for k in numbers if k // WORD_BITS == word) for word in range(words)
+        sum(1 << (k % WORD_BITS) for k in numbers if k // WORD_BITS == word)
+        for word in range(words)
     ]
 
 
@@ -329,7 +334,9 @@ def with_snippets(index: BlockedIndex, results: DataFrame, text: str, around: in
     places = F.flatten(
         F.transform(
             "hits",
-            lambda t, k: F.transform(t["positions"], lambda at: F.struct(at.alias("at"), k.alias("term"))),
+            lambda t, k: F.transform(
+                t["positions"], lambda at: F.struct(at.alias("at"), k.alias("term"))
+            ),
         )
     )
     span = _smallest_span(F.sort_array(places), F.size("hits"))

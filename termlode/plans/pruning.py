@@ -88,7 +88,8 @@ def _thresholds(first: DataFrame, n: int, how: _Scoring) -> DataFrame:
     rows = postings_of(first, "query_id", "range", "weight")
     part = how.part(F.col("weight"), F.col("tf"), F.col("len")).alias("part")
     sums = rows.select("query_id", "range", "doc_id", part)
-    return _nth_best(sums.groupBy("query_id", "range", "doc_id").agg(F.sum("part").alias("score")), n)
+    sums = sums.groupBy("query_id", "range", "doc_id").agg(F.sum("part").alias("score"))
+    return _nth_best(sums, n)
 
 
 def _nth_best(scores: DataFrame, n: int) -> DataFrame:

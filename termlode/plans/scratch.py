@@ -14,7 +14,14 @@ if TYPE_CHECKING:
     from termlode.plans.blocks import BlockedIndex
 
 
-__all__ = ["prepared", "prepared_blocked_index", "prepared_index", "scratch_path", "settle", "shared_folder"]
+__all__ = [
+    "prepared",
+    "prepared_blocked_index",
+    "prepared_index",
+    "scratch_path",
+    "settle",
+    "shared_folder",
+]
 
 _prepared: dict[tuple[str, str], Any] = {}
 

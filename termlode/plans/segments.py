@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from termlode.operators import tables
 from termlode.operators.topn import first_documents
@@ -247,7 +248,9 @@ def load_segments(spark: SparkSession, root: str, version: int | None = None) ->
     )
 
 
-def ingest_stream(stream: DataFrame, root: str, checkpoint: str, name: str, shards: int | None = None):
+def ingest_stream(
+    stream: DataFrame, root: str, checkpoint: str, name: str, shards: int | None = None
+) -> StreamingQuery:
     """Starts appending a stream of documents (doc_id, text, title, url); the running query.
 
     Each micro-batch is one commit under the name of the stream and the batch's number. A
