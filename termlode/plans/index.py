@@ -30,6 +30,7 @@ class SearchIndex:
     stats        n_docs, total_len, avg_len, n_postings; one row
     first_docs   doc_id; the smallest ids, for documents that rank with score zero
     details      doc_id, title, url; what is shown of a result, sorted by id when stored
+    shards       buckets of a stored index
     """
 
     forward: DataFrame
@@ -38,6 +39,7 @@ class SearchIndex:
     stats: DataFrame
     first_docs: DataFrame
     details: DataFrame
+    shards: int | None = None
 
     @property
     def doc_lengths(self) -> DataFrame:
@@ -138,6 +140,7 @@ def load_index(spark: SparkSession, root: str) -> SearchIndex:
         stats=stats.drop("shards"),
         first_docs=spark.read.parquet(f"{root}/first_docs"),
         details=spark.read.parquet(f"{root}/details"),
+        shards=shards,
     )
 
 

@@ -20,6 +20,7 @@ from termlode.operators.topn import (
     pad_with_zeros,
 )
 from termlode.plans.index import SearchIndex
+from termlode.plans.narrowing import Narrowed, narrow_postings
 from termlode.plans.scratch import settle
 
 # Query terms are broadcast in slices of this size, and top hits up to it, measured before.
@@ -120,13 +121,27 @@ def _with_df(index: SearchIndex, terms: DataFrame, known: list[str] | None) -> D
     return joined.select("query_id", "term", "qtf", "df")
 
 
-def _scores(index: SearchIndex, asked: Asked, weight: Column, contribution: Column) -> DataFrame:
-    """query_id, doc_id, score of all documents with at least one query term.
+def _asked_postings(index: SearchIndex, asked: Asked, broadcast_bytes: int) -> Narrowed:
+    """What each pass of a batch reads."""
+    if asked.known is not None:
+        return Narrowed(narrow(index.postings, asked.known))
+    if len(asked.slices) == 1:
+        return Narrowed(index.postings)
+
+    def size(terms: DataFrame) -> int:
+        return terms.agg(F.sum(row_bytes("term"))).first()[0] or 0
+
+    return narrow_postings(index, _terms_of(asked.queries), size, broadcast_bytes)
+
+
+def _scores(
+    index: SearchIndex, asked: Asked, rows: DataFrame, weight: Column, contribution: Column
+) -> list[DataFrame]:
+    """query_id, doc_id, score of all documents with at least one query term, slice by slice.
 
     One pass over the postings for each slice of the queries. The weights of a slice go to
     every task, so that no posting moves: the scores of a document add up in its bucket.
     """
-    rows = narrow(index.postings, asked.known)
     parts = []
     for terms in asked.slices:
         weights = _with_df(index, terms, asked.known)
@@ -134,7 +149,7 @@ def _scores(index: SearchIndex, asked: Asked, weight: Column, contribution: Colu
         matched = rows.join(F.broadcast(weights), "term")
         added = matched.select("query_id", "doc_id", contribution.alias("part"))
         parts.append(added.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score")))
-    return _all(parts)
+    return parts
 
 
 def _search(
@@ -143,38 +158,45 @@ def _search(
     n: int,
     include_zero: bool,
     broadcast_bytes: int,
-    scores: Callable[[Asked], DataFrame],
+    scores: Callable[[Asked, DataFrame], list[DataFrame]],
 ) -> DataFrame:
     check_result_count(n)
     asked = ask(queries, index.stats.sparkSession, broadcast_bytes)
-    hits = scores(asked)
+    narrowed = _asked_postings(index, asked, broadcast_bytes)
+    hits = scores(asked, narrowed.rows)
     if isinstance(queries, str):
-        top = best_of_one(hits, n)
+        top = best_of_one(_all(hits), n)
         if include_zero:
             return pad_with_zeros(top, asked.ids, index.first_docs, n).drop("query_id")
         return best(top, n).drop("query_id")
-    top = best(hits, n)
+    tops = [best(slice_hits, n) for slice_hits in hits]
+    if len(tops) > 1 or include_zero:
+        # Slices run one by one: a single one's weights and hits are held at a time.
+        tops = [settle(top) for top in tops]
+    if len(tops) > 1:
+        narrowed.discard()
+    top = _all(tops)
     if not include_zero:
         return top
-    return pad_short_lists(settle(top), asked.ids, index.first_docs, n)
+    return pad_short_lists(top, asked.ids, index.first_docs, n)
 
 
 def _bm25(
-    index: SearchIndex, asked: Asked, k1: float, b: float, tf_scale: float
-) -> DataFrame:
+    index: SearchIndex, asked: Asked, rows: DataFrame, k1: float, b: float, tf_scale: float
+) -> list[DataFrame]:
     scoring.check_bm25(k1, b, tf_scale)
     weight = scoring.bm25_idf(F.col("df"), index.stat("n_docs"))
     part = scoring.bm25_term_score(
         F.col("weight"), F.col("tf") * tf_scale, F.col("len"), index.stat("avg_len"), k1, b
     )
-    return _scores(index, asked, weight, part)
+    return _scores(index, asked, rows, weight, part)
 
 
-def _tfdf(index: SearchIndex, asked: Asked) -> DataFrame:
+def _tfdf(index: SearchIndex, asked: Asked, rows: DataFrame) -> list[DataFrame]:
     df = F.col("df")
     weight = F.struct(scoring.tfdf_weight(F.col("qtf"), df).alias("query"), df.alias("df"))
     part = F.col("weight.query") * scoring.tfdf_weight(F.col("tf"), F.col("weight.df"))
-    return _scores(index, asked, weight, part)
+    return _scores(index, asked, rows, weight, part)
 
 
 def bm25_scores(
@@ -192,7 +214,8 @@ def bm25_scores(
     one decimal and read back without the point.
     """
     asked = ask(queries, index.stats.sparkSession, broadcast_bytes)
-    return _bm25(index, asked, k1, b, tf_scale)
+    rows = _asked_postings(index, asked, broadcast_bytes).rows
+    return _all(_bm25(index, asked, rows, k1, b, tf_scale))
 
 
 def tfdf_scores(
@@ -203,7 +226,8 @@ def tfdf_scores(
     The query side carries the df of its terms, so the document weights are
     computed here for the matching postings alone.
     """
-    return _tfdf(index, ask(queries, index.stats.sparkSession, broadcast_bytes))
+    asked = ask(queries, index.stats.sparkSession, broadcast_bytes)
+    return _all(_tfdf(index, asked, _asked_postings(index, asked, broadcast_bytes).rows))
 
 
 def bm25_search(
@@ -221,12 +245,12 @@ def bm25_search(
     ``queries`` is one text, or a frame of query_id (unique) and query; n is 0 to
     1000. Documents without any query term score zero and fill up short results,
     by id, unless ``include_zero`` is false. A frame is read once. Its terms go to
-    every task in slices of ``broadcast_bytes``, with a pass over the postings each;
-    no posting moves.
+    every task in slices of ``broadcast_bytes``, one after the other, each with a pass over
+    the postings of all asked terms (narrow_postings); no posting moves.
     """
 
-    def scores(asked: Asked) -> DataFrame:
-        return _bm25(index, asked, k1, b, tf_scale)
+    def scores(asked: Asked, rows: DataFrame) -> list[DataFrame]:
+        return _bm25(index, asked, rows, k1, b, tf_scale)
 
     return _search(index, queries, n, include_zero, broadcast_bytes, scores)
 
@@ -240,8 +264,8 @@ def tfdf_search(
 ) -> DataFrame:
     """The n best documents by the tf/df dot product; see bm25_search."""
 
-    def scores(asked: Asked) -> DataFrame:
-        return _tfdf(index, asked)
+    def scores(asked: Asked, rows: DataFrame) -> list[DataFrame]:
+        return _tfdf(index, asked, rows)
 
     return _search(index, queries, n, include_zero, broadcast_bytes, scores)
 
