@@ -32,6 +32,7 @@ CONDITION = (termlode.has("the") | termlode.has("de la")) & ~(
 AROUND = 3
 REPLACED = "de"
 MISSPELT, EDITS = "thet eanred unghet", 2
+WIDENED, SIMILARITY_DIGITS = "the und reand", 6
 N, MOST = 10, 1000
 # Small enough that the batch is cut into several slices.
 SLICE_BYTES = 20_000
@@ -394,6 +395,24 @@ def fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found, BM25_DIGITS)
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _index(spark, sf_dir)
+    return prepared(
+        spark, f"{sf_dir}/vectors", lambda root: termlode.write_vectors(index, f"{root}/vectors")
+    )
+
+
+def similar_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The terms that keep the company of a query's."""
+    found = termlode.similar_terms(_vectors(spark, sf_dir), WIDENED, N)
+    return _rounded(found, SIMILARITY_DIGITS, "similarity")
+
+
+def expanded_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = termlode.expanded_search(_index(spark, sf_dir), _vectors(spark, sf_dir), WIDENED, N)
+    return _rounded(found, BM25_DIGITS)
+
+
 def sketched_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per language, and whether sketches merged from sources are within their bounds."""
     corpus = _documents(spark, sf_dir)
@@ -446,7 +465,7 @@ _pipeline = _optional("corpus_pipeline")
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or pipeline; each takes (spark, sf_dir)."""
-    registered = search_queries()
+    registered = search_queries() | vector_queries()
     if _llm is not None:
         registered |= _llm.queries()
     if _pipeline is not None:
@@ -515,6 +534,11 @@ def search_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in registered}
 
 
+def vector_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries over factors of the index, which SQL can't express."""
+    return {query.__name__: query for query in (similar_terms, expanded_search)}
+
+
 def _tokens_sql(text: str) -> str:
     """Tokens of a text, following the rule step by step and token by token."""
     # The characters that a token loses, and those that part tokens.

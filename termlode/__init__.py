@@ -55,6 +55,12 @@ from termlode.plans.segments import (
     merge_segments,
 )
 from termlode.plans.sketches import corpus_sketches, merge_sketches, sketch_estimates
+from termlode.plans.vectors import (
+    expanded_search,
+    similar_terms,
+    term_vectors,
+    write_vectors,
+)
 from termlode.sources import (
     as_corpus,
     drop_duplicate_ids,
@@ -80,6 +86,7 @@ __all__ = [
     "corpus_sketches",
     "delete_documents",
     "drop_duplicate_ids",
+    "expanded_search",
     "facet_counts",
     "fuzzy_search",
     "fuzzy_terms",
@@ -102,10 +109,12 @@ __all__ = [
     "read_raw_corpus",
     "score_all",
     "search_with_snippets",
+    "similar_terms",
     "sketch_estimates",
     "spread_few_splits",
     "suggest_shards",
     "term_counts",
+    "term_vectors",
     "tfdf_forward",
     "tfdf_postings",
     "tfdf_scores",
@@ -120,4 +129,5 @@ __all__ = [
     "write_index",
     "write_ranking",
     "write_tfdf_index",
+    "write_vectors",
 ]

@@ -238,3 +238,10 @@ def bucketed(
         )
     spark.catalog.refreshTable(name)
     return spark.table(name)
+
+
+def discard_bucketed(spark: SparkSession, root: str, part: str, shards: int) -> None:
+    """Deletes a stored part of which nothing more is read, and its table."""
+    spark.sql(f"DROP TABLE IF EXISTS {table_name(root, part, shards)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{part}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

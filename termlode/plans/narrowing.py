@@ -8,7 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlode.plans.index import SearchIndex, bucketed, table_name, write_bucketed
+from termlode.plans.index import (
+    SearchIndex,
+    bucketed,
+    discard_bucketed,
+    table_name,
+    write_bucketed,
+)
 from termlode.plans.shared import scratch_path, settle
 
 # Where the asked terms have more than this share of the postings, all are read in place.
@@ -61,8 +67,6 @@ def narrow_postings(
             table.bucketBy(shards, "doc_id").sortBy(*_ORDER).saveAsTable(name)
 
     def discard() -> None:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard_bucketed(spark, root, "postings", shards)
 
     return Narrowed(bucketed(spark, root, "postings", shards, _ORDER), discard)

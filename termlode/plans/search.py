@@ -25,6 +25,8 @@ from termlode.plans.scratch import settle
 
 # Query terms are broadcast in slices of this size, and top hits up to it, measured before.
 BROADCAST_BYTES = 64 << 20
+# So many slices are answered in one plan, which holds their broadcasts.
+SLICES_AT_ONCE = 8
 # Bytes that a broadcast row takes beside its term and id.
 ROW_BYTES = 64
 # Up to so many query terms are put into the scan filters.
@@ -169,12 +171,11 @@ def _search(
         if include_zero:
             return pad_with_zeros(top, asked.ids, index.first_docs, n).drop("query_id")
         return best(top, n).drop("query_id")
-    tops = [best(slice_hits, n) for slice_hits in hits]
-    if len(tops) > 1 or include_zero:
-        # Slices run one by one: a single one's weights and hits are held at a time.
+    groups = [hits[k : k + SLICES_AT_ONCE] for k in range(0, len(hits), SLICES_AT_ONCE)]
+    tops = [best(_all(group), n) for group in groups]
+    if len(hits) > 1 or include_zero:
         tops = [settle(top) for top in tops]
-    if len(tops) > 1:
-        narrowed.discard()
+    narrowed.discard()
     top = _all(tops)
     if not include_zero:
         return top
@@ -245,7 +246,7 @@ def bm25_search(
     ``queries`` is one text, or a frame of query_id (unique) and query; n is 0 to
     1000. Documents without any query term score zero and fill up short results,
     by id, unless ``include_zero`` is false. A frame is read once. Its terms go to
-    every task in slices of ``broadcast_bytes``, one after the other, each with a pass over
+    every task in slices of ``broadcast_bytes``, a few at a time, each with a pass over
     the postings of all asked terms (narrow_postings); no posting moves.
     """
 

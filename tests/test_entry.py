@@ -44,3 +44,9 @@ def test_query_equals_sql(spark, database, name):
     expected = sorted(database.execute(sql).fetchall(), key=nulls_first)
     assert found == expected
     assert found
+
+
+@pytest.mark.parametrize("name", list(entry_point.vector_queries()))
+def test_vector_queries_run(spark, name):
+    rows = entry_point.queries()[name](spark, str(SF_DIR)).collect()
+    assert rows and name not in entry_point.oracle_sql()
