@@ -14,8 +14,8 @@ from termlode.operators.joins import attach_df
 from termlode.operators.topn import first_documents
 from termlode.sources.corpus import estimated_bytes
 
-# Bytes of input per shard.
-SHARD_BYTES = 512 << 20
+# Bytes of input per shard: what a task sorts and adds up there fits into its memory.
+SHARD_BYTES = 16 << 20
 # The planner gives such sizes to what it knows nothing of.
 UNKNOWN_BYTES = 1 << 60
 
@@ -148,8 +148,8 @@ def suggest_shards(corpus: DataFrame) -> int:
     """A number of shards that follows the size of a corpus, without running a job.
 
     The size is the planner's estimate, which for files is their bytes, split or not. One
-    shard takes half a GB: few enough tasks for a search, small enough ones for the build.
-    Every core gets at least one shard, and no table more buckets than Spark allows. A
+    shard takes 16 MB of it, some 2.5 million postings of prose, so that no task's sort or sum
+    grows with the corpus or spills. Every core gets at least one shard, and no table more buckets than Spark allows. A
     corpus of unknown size gets as many as spark.sql.shuffle.partitions.
     """
     spark = corpus.sparkSession

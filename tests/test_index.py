@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import termlode
 from termlode.operators import joins, tables
+from termlode.plans import index
 
 
 def rows(frame, *columns):
@@ -150,3 +151,13 @@ def test_tfdf_postings(hand_index, stored):
     for index in (hand_index, stored[1]):
         found = termlode.tfdf_postings(index).collect()
         assert {(r["doc_id"], r["term"]): r["weight"] for r in found} == weights(HAND)
+
+
+def test_a_shard_holds_the_same_whatever_the_corpus(make_corpus, monkeypatch):
+    corpus = make_corpus(HAND)
+    gigabytes = [1, 6, 60]
+    shards = []
+    for size in gigabytes:
+        monkeypatch.setattr(index, "estimated_bytes", lambda _, size=size: size << 30)
+        shards.append(termlode.suggest_shards(corpus))
+    assert all(number >= 32 * size for number, size in zip(shards, gigabytes, strict=True))
