@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termlode.functions import scoring
@@ -23,6 +23,8 @@ from termlode.sources.corpus import estimated_bytes
 
 # Bytes of input per range, and ranges per shard where the size is not known.
 RANGE_BYTES, RANGES_PER_SHARD = 16 << 20, 32
+# So many numbers are looked at for each range, to deal the ranges evenly to the buckets.
+NUMBERS_TRIED = 32
 # Postings in the first layer, and how much larger each layer is than the one before it.
 FIRST_LAYER, LAYER_GROWTH, MOST_LAYERS = 16, 4, 15
 
@@ -114,13 +116,27 @@ def suggest_ranges(corpus: DataFrame, shards: int) -> int:
     return max(shards, -(-size // RANGE_BYTES))
 
 
+def range_numbers(spark: SparkSession, ranges: int, shards: int) -> list[int]:
+    """Numbers for ranges of which every bucket gets as many, or one less.
+
+    Spark buckets by a hash of the number. Consecutive numbers leave some buckets empty and
+    bring several ranges to others, whose tasks are then as many times larger.
+    """
+    numbers = spark.range(0, max(ranges, shards) * NUMBERS_TRIED, 1, 1)
+    number = F.col("id").cast("int").alias("number")
+    tried = numbers.select(number, F.pmod(F.hash(F.col("id").cast("int")), F.lit(shards)).alias("bucket"))
+    turn = F.row_number().over(Window.partitionBy("bucket").orderBy("number"))
+    placed = tried.withColumn("turn", turn).orderBy("turn", "number").limit(ranges)
+    return [row["number"] for row in placed.select("number").collect()]
+
+
 def write_blocked_index(
     corpus: DataFrame, root: str, shards: int | None = None, ranges: int | None = None
 ) -> BlockedIndex:
     """Build a blocked index below a new folder and return it as load_blocked_index does.
 
     The text is shuffled once, by range, and tokenized once. Forward index and blocks are
-    bucketed by range, so lists are gathered and scores added up where they stand. Blocks
+    bucketed by range, as many in each bucket, so lists are gathered and scores added up where they stand. Blocks
     are sorted by term and layer within a bucket: a scan for the strongest layers of a few
     terms skips all other pages. Ids must be unique. The statistics are written last.
     """
@@ -128,7 +144,9 @@ def write_blocked_index(
     plain.check_location(root)
     shards = shards or plain.suggest_shards(corpus)
     ranges = ranges or suggest_ranges(corpus, shards)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(ranges)).cast("int").alias("range")
+    numbers = range_numbers(spark, ranges, shards)
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(len(numbers))).cast("int")
+    place = F.get(F.array(*[F.lit(number) for number in numbers]), at).alias("range")
     placed = corpus.select(place, "doc_id", "text").repartition(shards, "range")
     tokens = placed.select("range", "doc_id", tokenize(F.col("text")).alias("tokens"))
     forward = tokens.select(

@@ -234,3 +234,13 @@ def test_snippets(small):
         assert row["snippet"].split() == tokens[row["first"] : row["last"] + 1]
     none = search_with_snippets(index, "zzz", 2).collect()
     assert [r["found"] for r in none] == [0, 0]
+
+
+def test_buckets_get_as_many_ranges(spark, make_corpus, tmp_path):
+    rows = [(i, "a b") for i in range(400)]
+    index = termlode.write_blocked_index(make_corpus(rows), str(tmp_path / "even"), 4, 10)
+    bucket = F.pmod(F.hash("range"), F.lit(4)).alias("bucket")
+    counts = index.forward.groupBy(bucket).agg(F.count_distinct("range").alias("n")).collect()
+    assert sorted(r["n"] for r in counts) == [2, 2, 3, 3]
+    assert index.forward.count() == 400
+    assert len(blocks.range_numbers(spark, 375, 375)) == 375
