@@ -38,7 +38,8 @@ class Passes:
     strong      the layers of the second pass, with the columns of weights
     candidates  range, doc_id, query_id: all documents that may be hits
     final       the layers of the third pass, in the candidates' ranges
-    hits        query_id, doc_id, score of the candidates
+    hits        query_id, doc_id, score of the candidates; of all documents in their ranges,
+                where the candidates are too many for a broadcast
     """
 
     weights: DataFrame
@@ -189,7 +190,12 @@ def passes(
     how: _Scoring,
     broadcast_bytes: int,
 ) -> Passes:
-    """The three passes over one slice of query terms; what is used twice is settled."""
+    """The three passes over one slice of query terms; what is used twice is settled.
+
+    Candidates that are too many to be broadcast spare little, and a join with them would
+    shuffle every posting for every query that asks for it. Their ranges are scored in full
+    then, where they stand: the others among the documents have lower scores.
+    """
     weights = settle(_weights(index, terms, known, how))
     first = _matching(index.blocks.where("layer = 0"), weights, known)
     weights = settle(_limits(weights, _thresholds(first, n, how)))
@@ -205,8 +211,8 @@ def passes(
     final = _matching(blocks, weights.select("query_id", "term", "weight"), known)
     rows = postings_of(final, "query_id", "range", "weight")
     size = candidates.agg(F.sum(row_bytes("doc_id", "query_id"))).first()[0] or 0
-    few = F.broadcast(candidates) if size <= broadcast_bytes else candidates
-    rows = rows.join(few, ["range", "doc_id", "query_id"])
+    if size <= broadcast_bytes:
+        rows = rows.join(F.broadcast(candidates), ["range", "doc_id", "query_id"])
     part = how.part(F.col("weight"), F.col("tf"), F.col("len")).alias("part")
     scores = rows.select("query_id", "range", "doc_id", part)
     hits = scores.groupBy("query_id", "range", "doc_id").agg(F.sum("part").alias("score"))

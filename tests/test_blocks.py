@@ -244,3 +244,17 @@ def test_buckets_get_as_many_ranges(spark, make_corpus, tmp_path):
     assert sorted(r["n"] for r in counts) == [2, 2, 3, 3]
     assert index.forward.count() == 400
     assert len(blocks.range_numbers(spark, 375, 375)) == 375
+
+
+def test_many_candidates_move_no_postings(spark, large):
+    """Too many to broadcast, candidates are not joined: their ranges are scored in place."""
+    plain, blocked = large
+    queries = spark.createDataFrame([(1, "a b"), (2, "h g")], "query_id long, query string")
+    asked = ask(queries, spark, 1 << 26)
+    how = pruning._Scoring(blocked.stat("avg_len"), 2.0, 0.75, 1.0)
+    found = pruning.passes(blocked, asked.slices[0], None, 10, how, 0)
+    text = found.hits._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+    columns = ("query_id", "rank", "doc_id", F.round("score", 6))
+    got = listed(pruning.best(found.hits, 10), *columns)
+    assert got == listed(termlode.bm25_search(plain, queries, 10), *columns)
