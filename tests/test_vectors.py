@@ -103,3 +103,10 @@ def test_an_empty_index_has_no_vectors(make_corpus, tmp_path):
     assert plans.term_vectors(empty).count() == 0
     with pytest.raises(ValueError, match="dimensions"):
         plans.term_vectors(empty, 65)
+
+
+def test_no_posting_meets_its_frequency_and_vectors_are_turned_once(small):
+    rows = plans._weighted(small)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in rows and "Exchange" not in rows
+    text = plans.term_vectors(small, 4, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("zip_with") == 1
