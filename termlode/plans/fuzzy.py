@@ -21,6 +21,8 @@ from termlode.plans.shared import settle
 DISTANCE, MOST_DISTANCE = 1, 2
 # Terms of more letters are listed by their length; no token has a sign like its mark.
 MOST_LETTERS, LENGTH_MARK = 40, "#"
+# Terms whose lists, some fifty rows each, one task sorts without spilling.
+SORTED_TERMS = 40_000
 # Matching terms up to which they are broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -33,20 +35,21 @@ def _check_distance(distance: int) -> None:
 def deletions(term: Column, distance: int) -> Column:
     """All that is left of a term when up to ``distance`` letters are deleted, itself included."""
 
-    def once(text: Column) -> Column:
+    def without(text: Column, letters: int) -> Column:
+        """``text`` less so many letters, the first of them before the others."""
+        if not letters:
+            return F.array(text)
         size = F.length(text)
-        left = F.transform(
-            F.sequence(F.lit(1), size),
-            lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, size)),
-        )
+
+        def after(i: Column) -> Column:
+            kept = F.substring(text, F.lit(1), i - 1)
+            rest = without(F.substring(text, i + 1, size), letters - 1)
+            return F.transform(rest, lambda left: F.concat(kept, left))
+
+        left = F.flatten(F.transform(F.sequence(F.lit(1), size), after))
         return F.when(size > 0, left).otherwise(F.array().cast("array<string>"))
 
-    found = F.array(term)
-    layer = found
-    for _ in range(distance):
-        layer = F.array_distinct(F.flatten(F.transform(layer, once)))
-        found = F.array_union(found, layer)
-    return found
+    return F.array_distinct(F.concat(*[without(term, k) for k in range(distance + 1)]))
 
 
 def _mark(size: Column) -> Column:
@@ -56,7 +59,8 @@ def _mark(size: Column) -> Column:
 def write_fuzzy_index(index: SearchIndex, root: str, distance: int = DISTANCE) -> DataFrame:
     """Store the neighbourhoods of an index's vocabulary in a new folder; returns them read back.
 
-    key, term, df, sorted by key, so that a lookup skips the row groups of other keys.
+    key, term, df, sorted by key, so that a lookup skips the row groups of other keys. The
+    sort has a task for a bounded number of terms, so none of them grows or spills.
     """
     check_location(root)
     _check_distance(distance)
@@ -65,8 +69,17 @@ def write_fuzzy_index(index: SearchIndex, root: str, distance: int = DISTANCE) -
         deletions(F.col("term"), distance)
     )
     rows = index.frequencies.select(F.explode(keys).alias("key"), "term", "df")
-    rows.sort("key", "term").write.mode("errorifexists").parquet(root)
-    return load_fuzzy_index(index.frequencies.sparkSession, root)
+    spark = index.frequencies.sparkSession
+    parts = sort_parts(index.frequencies.count(), spark.sparkContext.defaultParallelism)
+    dealt = rows.repartitionByRange(parts, "key", "term")
+    sorted_rows = dealt.sortWithinPartitions("key", "term")
+    sorted_rows.write.mode("errorifexists").option("compression", "zstd").parquet(root)
+    return load_fuzzy_index(spark, root)
+
+
+def sort_parts(terms: int, cores: int) -> int:
+    """Tasks that sort the lists of a vocabulary: what one of them holds does not grow with it."""
+    return max(cores, -(-terms // SORTED_TERMS))
 
 
 def load_fuzzy_index(spark: SparkSession, root: str) -> DataFrame:

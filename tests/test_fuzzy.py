@@ -1,6 +1,7 @@
 """Terms spelt almost alike, against every term of the vocabulary."""
 
 import random
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +70,23 @@ def test_deletions(spark):
     assert one["d"] == ["a", "aa", "aab", "ab", "b"]
     none = spark.range(1).select(fuzzy.deletions(F.lit(""), 2).alias("d")).first()
     assert none["d"] == [""]
+
+
+def test_a_task_sorts_a_bounded_number_of_terms(words, built, tmp_path, monkeypatch):
+    assert fuzzy.sort_parts(54_000_000, 12) == 1350
+    monkeypatch.setattr(fuzzy, "SORTED_TERMS", 10)
+    stored = fuzzy.write_fuzzy_index(built[1], str(tmp_path / "many"), 2)
+    listed = stored.select("key", "term", F.input_file_name().alias("file")).collect()
+    assert len({r["file"] for r in listed}) > 4
+    for file in {r["file"] for r in listed}:
+        keys = [(r["key"], r["term"]) for r in listed if r["file"] == file]
+        assert keys == sorted(keys)
+    assert len({(r["key"], r["term"]) for r in listed}) == len(listed)
+
+
+def test_deletions_are_all_subsequences(spark):
+    frame = spark.createDataFrame([("abcab",), ("é",), ("",)], "t string")
+    for distance in (0, 1, 2):
+        for text, found in frame.select("t", fuzzy.deletions(F.col("t"), distance)).collect():
+            kept = range(max(0, len(text) - distance), len(text) + 1)
+            assert sorted(found) == sorted({"".join(c) for k in kept for c in combinations(text, k)})
