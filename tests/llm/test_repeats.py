@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 
 from termlode.llm import repeats
+from termlode.llm.queries import op4_repeats
 from termlode.llm.repeats import remove_repeats, without_repeats
 from termlode.llm.suffix_sort import blind_trie, sort_suffixes
 
@@ -61,6 +63,33 @@ def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     assert [tuple(s) for s in got[2]] == [(0, 500)]
 
 
+def test_query_goes_by_bytes_not_by_words(spark, tmp_path):
+    """Passages of 60 words that stand in three documents each: 400 bytes are removed, 399 are not."""
+    rng = random.Random(7)
+    texts, gone = [], []
+    for size in (330, 399, 400, 600):
+        letters = size - 59
+        lengths = [letters // 60] * 59 + [letters - letters // 60 * 59]
+        passage = " ".join("".join(rng.choices("abcdefghij", k=n)) for n in lengths)
+        assert len(passage) == size and len(passage.split()) == 60
+        for copy in "123":
+            # Every neighbour of a passage differs, so that only the passage repeats.
+            before, after = ("".join(rng.choices("vwxyz", k=300)) for _ in range(2))
+            texts.append(before + copy + passage + copy + after)
+            gone.append((301, size if size >= 400 else 0))
+    texts += ["", None, "clean " * 3]
+    gone += [(0, 0)] * 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    expected = []
+    for i, (text, (at, n)) in enumerate(zip(texts, gone, strict=True)):
+        raw = (text or "").encode()
+        kept = hashlib.sha256(raw[:at] + raw[at + n :]).hexdigest()
+        expected.append((i, len(raw), n, int(n > 0), kept))
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert found(op4_repeats(spark, str(tmp_path)), *columns) == expected
+
+
 def test_hard_documents(hard_documents, hard_texts, no_documents):
     texts = [(t or "").encode() for _, t in hard_texts]
     got = found(remove_repeats(hard_documents, 40, 12, 4), "doc_id", "n_bytes", "spans", "kept")
