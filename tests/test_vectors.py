@@ -2,6 +2,9 @@
 
 import math
 import random
+import re
+import time
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -110,3 +113,76 @@ def test_no_posting_meets_its_frequency_and_vectors_are_turned_once(small):
     assert "Join" not in rows and "Exchange" not in rows
     text = plans.term_vectors(small, 4, 1)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("zip_with") == 1
+
+
+def products(vectors):
+    rows = {r["term"]: np.array(r["vector"]) for r in vectors.collect()}
+    ours = np.array([rows[t] for t in sorted(rows)])
+    return sorted(rows), ours @ ours.T
+
+
+@pytest.mark.parametrize("postings", [40, 10**7])
+def test_parts_of_any_size_give_the_same(make_corpus, docs, tmp_path, monkeypatch, postings):
+    terms, table = plain(docs)
+    monkeypatch.setattr(plans, "PART_POSTINGS", postings)
+    monkeypatch.setattr(plans, "TASKS_PER_CORE", 1)
+    index = termlode.write_index(make_corpus(docs), str(tmp_path / "index"), shards=6)
+    parts, _ = plans._shape(index)
+    n = index.stats.first()["n_postings"]
+    assert -(-n // parts) <= postings and (parts % 6 == 0 or parts == 4)
+    got, ours = products(plans.term_vectors(index, 21))
+    assert got == terms and np.allclose(ours, table @ table.T, atol=1e-8)
+
+
+def test_an_index_that_is_not_stored_gives_the_same(make_corpus, docs):
+    terms, table = plain(docs)
+    got, ours = products(plans.term_vectors(termlode.build_index(make_corpus(docs)), 21))
+    assert got == terms and np.allclose(ours, table @ table.T, atol=1e-8)
+
+
+def test_neither_postings_nor_sums_of_documents_cross_the_network(small, monkeypatch):
+    written = []
+
+    def noted(frame, root, part, shards, order, key="doc_id"):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        written.append((frame.columns, re.sub(r"#\d+L?", "", plan)))
+        write(frame, root, part, shards, order, key)
+
+    write = plans.write_bucketed
+    monkeypatch.setattr(plans, "write_bucketed", noted)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    with plans.settings(small.postings.sparkSession, {threshold: "-1"}):
+        plans.term_vectors(small, 4, 1)
+    places = [plan for columns, plan in written if columns == ["part", "doc_id", "z"]]
+    sums = [plan for columns, plan in written if columns == ["term", "df", "y"]]
+    assert len(places) == 2 and len(sums) == 4
+    for plan in places:
+        # Terms go to their parts once, with the sums that are in a table by term already.
+        assert re.findall(r"Exchange hashpartitioning\((\w+), ", plan) == ["part"]
+        exchanged = plan[plan.index("Exchange hashpartitioning(part") :]
+        assert "weight" not in exchanged and "doc_id" not in exchanged
+    for plan in sums:
+        below = re.findall(r"Exchange hashpartitioning\((\w+), ", plan)
+        assert set(below) <= {"term"} and len(below) <= 1
+        assert not below or plan.index("partial_count") > plan.index("Exchange hash")
+
+
+def test_nothing_is_left_but_the_vectors(spark, small, tmp_path):
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = disk.getAllFiles().mkString(" ").split()
+        return [name for name in names if "/shuffle_" in name]
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before, kept = set(files()), set(folder.rglob("*"))
+    names = {t.name for t in spark.catalog.listTables()}
+    settings = spark.conf.getAll
+    termlode.write_vectors(small, str(tmp_path / "vectors"), 4, 1)
+    for _ in range(100):
+        if set(files()) <= before:
+            break
+        time.sleep(0.1)
+    assert set(files()) <= before
+    assert {path for path in folder.rglob("*") if path.is_file()} <= kept
+    assert {t.name for t in spark.catalog.listTables()} <= names
+    assert spark.conf.getAll == settings
