@@ -167,22 +167,41 @@ def test_neither_postings_nor_sums_of_documents_cross_the_network(small, monkeyp
         assert not below or plan.index("partial_count") > plan.index("Exchange hash")
 
 
-def test_nothing_is_left_but_the_vectors(spark, small, tmp_path):
-    def files():
-        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+def shuffled(spark, but=None):
+    """Shuffle files on disk; Spark deletes them in the background."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    for _ in range(100):
         names = disk.getAllFiles().mkString(" ").split()
-        return [name for name in names if "/shuffle_" in name]
+        found = {name for name in names if "/shuffle_" in name}
+        if but is None or found <= but:
+            break
+        time.sleep(0.1)
+    return found
+
 
+def test_nothing_is_left_but_the_vectors(spark, small, tmp_path):
     folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
-    before, kept = set(files()), set(folder.rglob("*"))
-    names = {t.name for t in spark.catalog.listTables()}
-    settings = spark.conf.getAll
+    before, kept = shuffled(spark), set(folder.rglob("*"))
+    names, settings = {t.name for t in spark.catalog.listTables()}, spark.conf.getAll
     termlode.write_vectors(small, str(tmp_path / "vectors"), 4, 1)
-    for _ in range(100):
-        if set(files()) <= before:
-            break
-        time.sleep(0.1)
-    assert set(files()) <= before
+    assert shuffled(spark, before) <= before
     assert {path for path in folder.rglob("*") if path.is_file()} <= kept
     assert {t.name for t in spark.catalog.listTables()} <= names
     assert spark.conf.getAll == settings
+
+
+def test_expanded_search_of_a_growing_index_leaves_no_shuffled_vectors(
+    spark, make_corpus, docs, small, found, tmp_path, monkeypatch
+):
+    monkeypatch.setattr(plans, "PART_POSTINGS", 100)
+    root = str(tmp_path / "grown")
+    termlode.append_documents(make_corpus(docs[:30]), root, 2)
+    termlode.append_documents(make_corpus(docs[30:]), root, 2)
+    index = termlode.load_segments(spark, root)
+    before = shuffled(spark)
+    vectors = termlode.write_vectors(index, str(tmp_path / "vectors"), 21)
+    assert shuffled(spark, before) <= before
+    got = termlode.expanded_search(index, vectors, "sail", 30, 3, 0.05).orderBy("rank").collect()
+    expected = termlode.expanded_search(small, found, "sail", 30, 3, 0.05).orderBy("rank").collect()
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in expected] and got
+    assert [r["score"] for r in got] == pytest.approx([r["score"] for r in expected])
